@@ -38,7 +38,7 @@ from tidemark.session import broadcast_if_small
 VERSION = "_version"
 COMMIT_TIME = "_commit_timestamp"
 HISTORY_SCHEMA = (
-    "version int, timestamp timestamp, operation string, batch_id long, schema string, "
+    "version int, timestamp timestamp, operation string, batch_tag string, schema string, "
     "snapshot boolean, inserted long, updated long, deleted long"
 )
 
@@ -142,10 +142,10 @@ class VersionedTable:
         counts = {INSERT: self._folder("snapshots", version, df.schema).count(), DELETE: replaced}
         return self._commit(version, "WRITE", counts, df.schema, snapshot=True)
 
-    def append(self, df: DataFrame, evolve: bool = False, batch_id: int | None = None) -> int | None:
+    def append(self, df: DataFrame, evolve: bool = False, batch_tag: str | None = None) -> int | None:
         """Add rows. With ``evolve`` new columns join the schema, NULL in older rows."""
         log = self._log()
-        if self._done(log, batch_id):
+        if self._done(log, batch_tag):
             return None
         current = self._schema(log, log[-1].version)
         extra = [f for f in df.schema.fields if f.name not in current.names]
@@ -153,7 +153,7 @@ class VersionedTable:
             raise ValueError(f"new columns {[f.name for f in extra]}: pass evolve=True to add them")
         empty = self.spark.createDataFrame([], current)
         rows = empty.unionByName(df, allowMissingColumns=True)
-        return self._record(rows.withColumn(CHANGE_TYPE, F.lit(INSERT)), "APPEND", batch_id)
+        return self._record(rows.withColumn(CHANGE_TYPE, F.lit(INSERT)), "APPEND", batch_tag)
 
     def update(self, predicate: Column, values: Mapping[str, Column]) -> int | None:
         current = self.as_of()
@@ -177,13 +177,13 @@ class VersionedTable:
         source: DataFrame,
         on: str | list[str],
         clauses: Callable[[MergePlan], MergePlan],
-        batch_id: int | None = None,
+        batch_tag: str | None = None,
     ) -> int | None:
-        """Merge ``source``; ``clauses`` adds the WHEN clauses. A ``batch_id`` is applied once only."""
-        if self._done(self._log(), batch_id):
+        """Merge ``source``; ``clauses`` adds the WHEN clauses. A ``batch_tag`` is applied once only."""
+        if self._done(self._log(), batch_tag):
             return None
         plan = clauses(merge_into(self.as_of(), source, on))
-        return self._record(plan.changes(), "MERGE", batch_id)
+        return self._record(plan.changes(), "MERGE", batch_tag)
 
     def compact(self) -> int:
         """Write a new snapshot of the latest version, in files of even size."""
@@ -193,20 +193,20 @@ class VersionedTable:
         current.coalesce(target_files(self.spark, f"{self.path}/snapshots")).write.mode("overwrite").parquet(path)
         return self._commit(version, "OPTIMIZE", {}, current.schema, snapshot=True)
 
-    def _done(self, log: list, batch_id: int | None) -> bool:
-        return batch_id is not None and any(r.batch_id == batch_id for r in log)
+    def _done(self, log: list, batch_tag: str | None) -> bool:
+        return batch_tag is not None and any(r.batch_tag == batch_tag for r in log)
 
     def _write_changes(self, changes: DataFrame, version: int) -> str:
         path = f"{self.path}/changes/{VERSION}={version}"
         changes.write.mode("overwrite").parquet(path)
         return path
 
-    def _record(self, changes: DataFrame, operation: str, batch_id: int | None = None) -> int:
+    def _record(self, changes: DataFrame, operation: str, batch_tag: str | None = None) -> int:
         version = len(self._log())
         path = self._write_changes(changes, version)
         stored = self.spark.read.schema(changes.schema).parquet(path)
         counts = {r[0]: r[1] for r in stored.groupBy(CHANGE_TYPE).count().collect()}
-        return self._commit(version, operation, counts, changes.drop(CHANGE_TYPE).schema, batch_id=batch_id)
+        return self._commit(version, operation, counts, changes.drop(CHANGE_TYPE).schema, batch_tag=batch_tag)
 
     def _commit(
         self,
@@ -215,12 +215,12 @@ class VersionedTable:
         counts: Mapping[str, int],
         schema: StructType,
         snapshot: bool = False,
-        batch_id: int | None = None,
+        batch_tag: str | None = None,
     ) -> int:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         now = datetime.now(timezone.utc)
         metrics = [counts.get(k, 0) for k in (INSERT, POSTIMAGE, DELETE)]
-        entry = self.spark.createDataFrame([(version, now, operation, batch_id, ddl, snapshot, *metrics)], HISTORY_SCHEMA)
+        entry = self.spark.createDataFrame([(version, now, operation, batch_tag, ddl, snapshot, *metrics)], HISTORY_SCHEMA)
         entry.coalesce(1).write.mode("append").json(f"{self.path}/history")
         return version
 
