@@ -130,7 +130,7 @@ class VersionedTable:
 
     # -- writing ---------------------------------------------------------------------------
 
-    def create(self, df: DataFrame) -> int:
+    def create(self, df: DataFrame, batch_tag: str | None = None) -> int:
         """Version 0, or an overwrite of everything: a new snapshot."""
         log = self._log()
         version = len(log)
@@ -140,7 +140,7 @@ class VersionedTable:
             replaced = self.spark.read.parquet(path).count()
         df.write.mode("overwrite").parquet(f"{self.path}/snapshots/{VERSION}={version}")
         counts = {INSERT: self._folder("snapshots", version, df.schema).count(), DELETE: replaced}
-        return self._commit(version, "WRITE", counts, df.schema, snapshot=True)
+        return self._commit(version, "WRITE", counts, df.schema, snapshot=True, batch_tag=batch_tag)
 
     def append(self, df: DataFrame, evolve: bool = False, batch_tag: str | None = None) -> int | None:
         """Add rows. With ``evolve`` new columns join the schema, NULL in older rows."""

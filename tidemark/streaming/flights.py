@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.columns import canonical_pair, cast_columns, parse_event_ts, route_status
@@ -81,10 +83,23 @@ def cdc_merge_batch(table: VersionedTable, stream_id: str, sequence_by: str | No
     return merge
 
 
-def run_cdc_stream(events: DataFrame, table: VersionedTable, checkpoint: str, sequence_by: str | None = None) -> DataFrame:
-    """Apply every available change event and return the table as it then stands."""
+def load_batch(table: VersionedTable, stream_id: str):
+    """A ``foreachBatch`` callback that appends rows to ``table``; a replayed batch is skipped."""
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        tag = f"{stream_id}#{batch_id}"
+        if table.latest_version() < 0:
+            table.create(batch, batch_tag=tag)
+        else:
+            table.append(batch, batch_tag=tag)
+
+    return load
+
+
+def drain(stream: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hand every available micro-batch to ``each_batch``."""
     query = (
-        events.writeStream.foreachBatch(cdc_merge_batch(table, checkpoint, sequence_by))
+        stream.writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -93,4 +108,9 @@ def run_cdc_stream(events: DataFrame, table: VersionedTable, checkpoint: str, se
         query.awaitTermination()
     finally:
         query.stop()
+
+
+def run_cdc_stream(events: DataFrame, table: VersionedTable, checkpoint: str, sequence_by: str | None = None) -> DataFrame:
+    """Apply every available change event and return the table as it then stands."""
+    drain(events, cdc_merge_batch(table, checkpoint, sequence_by), checkpoint)
     return table.as_of()
