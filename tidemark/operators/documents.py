@@ -80,6 +80,10 @@ def _check_window(size: int, overlap: int) -> int:
     return size - overlap
 
 
+def _join_head(length: int):
+    return lambda chunk, after: F.concat(chunk, F.coalesce(F.left(after, F.lit(length)), F.lit("")))
+
+
 def chunk_fixed(df: DataFrame, doc_id: str, text: str, size: int = 512, overlap: int = 50) -> DataFrame:
     """Slices of ``size`` characters, each starting ``size - overlap`` after the one before.
 
@@ -93,11 +97,8 @@ def chunk_fixed(df: DataFrame, doc_id: str, text: str, size: int = 512, overlap:
     chunks = F.col("_pieces")
     missing, ahead = overlap, 1
     while missing > 0:
-        following = F.slice("_pieces", ahead + 1, F.greatest(F.size("_pieces"), F.lit(1)))
         take = min(missing, step)
-        chunks = F.zip_with(
-            chunks, following, lambda c, f, n=take: F.concat(c, F.coalesce(F.left(f, F.lit(n)), F.lit("")))
-        )
+        chunks = F.zip_with(chunks, F.slice("_pieces", ahead + 1, F.size("_pieces") + 1), _join_head(take))
         missing, ahead = missing - take, ahead + 1
     return cut.select(doc_id, F.posexplode(chunks).alias("chunk_index", "chunk_text"))
 

@@ -34,6 +34,7 @@ class MergePlan:
     target: DataFrame
     source: DataFrame
     on: Sequence[str]
+    source_is_unique: bool = False
     matched: list[_Matched] = field(default_factory=list)
     not_matched: list[tuple[Column, Mapping[str, Column]]] = field(default_factory=list)
 
@@ -58,7 +59,13 @@ class MergePlan:
         return self
 
     def check_source(self) -> None:
-        """Fail if a key occurs twice in the source (rows with a NULL key never match)."""
+        """Fail if a key occurs twice in the source (rows with a NULL key never match).
+
+        The check is a pass over the source; ``source_is_unique`` skips it for a source that was
+        reduced to one row per key just before.
+        """
+        if self.source_is_unique:
+            return
         keys = self.source.dropna(subset=list(self.on))
         repeated = keys.groupBy(*self.on).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         if not repeated.isEmpty():
@@ -141,8 +148,10 @@ def _or_true(condition: Column | None) -> Column:
     return F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
 
 
-def merge_into(target: DataFrame, source: DataFrame, on: str | Sequence[str]) -> MergePlan:
-    return MergePlan(target, source, [on] if isinstance(on, str) else list(on))
+def merge_into(
+    target: DataFrame, source: DataFrame, on: str | Sequence[str], source_is_unique: bool = False
+) -> MergePlan:
+    return MergePlan(target, source, [on] if isinstance(on, str) else list(on), source_is_unique)
 
 
 def update(df: DataFrame, predicate: Column, values: Mapping[str, Column]) -> DataFrame:

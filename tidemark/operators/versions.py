@@ -178,11 +178,12 @@ class VersionedTable:
         on: str | list[str],
         clauses: Callable[[MergePlan], MergePlan],
         batch_tag: str | None = None,
+        source_is_unique: bool = False,
     ) -> int | None:
         """Merge ``source``; ``clauses`` adds the WHEN clauses. A ``batch_tag`` is applied once only."""
         if self._done(self._log(), batch_tag):
             return None
-        plan = clauses(merge_into(self.as_of(), source, on))
+        plan = clauses(merge_into(self.as_of(), source, on, source_is_unique))
         return self._record(plan.changes(), "MERGE", batch_tag)
 
     def compact(self) -> int:

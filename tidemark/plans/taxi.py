@@ -49,7 +49,9 @@ def payment_updates(silver: DataFrame, n: int = UPDATE_ROWS) -> DataFrame:
 
 
 def apply_payment_updates(silver: DataFrame, updates: DataFrame) -> DataFrame:
-    return merge_into(silver, updates, TRIP_KEY).when_matched_update({"payment_type": F.col("s.payment_type")}).to_df()
+    """``updates`` has one row per trip key, as ``payment_updates`` gives it."""
+    plan = merge_into(silver, updates, TRIP_KEY, source_is_unique=True)
+    return plan.when_matched_update({"payment_type": F.col("s.payment_type")}).to_df()
 
 
 def with_driver_notes(silver: DataFrame) -> DataFrame:

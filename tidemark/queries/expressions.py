@@ -254,7 +254,7 @@ def surrogate_keys(t: Tables) -> DataFrame:
 @query(
     "text_enrich",
     "SELECT conv_id, turn, length(text)::int AS char_count, len(list_filter(regexp_split_to_array(text, "
-    f"'{RE2_SPACE}+'), x -> x <> ''))::int AS word_count, "
+    f"'{RE2_SPACE}+'), lambda x: x <> ''))::int AS word_count, "
     f"ends_with(regexp_replace(text, '{RE2_SPACE}+$', ''), '?') AS is_question, "
     "upper(replace(text, 'ß', 'SS')) AS uppercase FROM conversations",
 )
@@ -347,7 +347,7 @@ def array_collect_set(t: Tables) -> DataFrame:
     )
 
 
-_LONG_WORDS = "list_filter(string_split(p_name, ' '), w -> length(w) > 4)"
+_LONG_WORDS = "list_filter(string_split(p_name, ' '), lambda w: length(w) > 4)"
 
 
 @query(
@@ -364,8 +364,8 @@ def explode_outer_rows(t: Tables) -> DataFrame:
     "SELECT label, round(avg(x), 6) AS avg_score FROM (SELECT label, unnest(embedding)::double AS x FROM embeddings) GROUP BY label",
 )
 def explode_then_avg(t: Tables) -> DataFrame:
-    exploded = t.embeddings.select("label", F.explode_outer("embedding").cast("double").alias("score"))
-    return exploded.groupBy("label").agg(F.round(F.avg("score"), 6).alias("avg_score"))
+    exploded = t.embeddings.select("label", F.explode_outer("embedding").alias("score"))
+    return exploded.groupBy("label").agg(F.round(F.avg(F.col("score").cast("double")), 6).alias("avg_score"))
 
 
 @query("json_payload_expand", "SELECT event_id, json_extract_string(props, '$.k')::int AS k FROM events")

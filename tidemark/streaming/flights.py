@@ -78,7 +78,8 @@ def cdc_merge_batch(table: VersionedTable, stream_id: str, sequence_by: str | No
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         tag = f"{stream_id}#{batch_id}"
-        table.merge(latest_cdc(batch), ROUTE_KEY, lambda plan: cdc_clauses(plan, sequence_by), batch_tag=tag)
+        clauses = lambda plan: cdc_clauses(plan, sequence_by)
+        table.merge(latest_cdc(batch), ROUTE_KEY, clauses, batch_tag=tag, source_is_unique=True)
 
     return merge
 

@@ -22,38 +22,39 @@ def run_stream(
     checkpoint: str | None = None,
     keys: Sequence[str] = (),
     trigger: dict | None = None,
-    timeout: int | None = None,
 ) -> DataFrame:
-    """Drive ``df`` and return what the sink holds.
+    """Drive ``df`` over all input at hand and return what the sink holds.
 
-    ``append`` writes through the exactly-once Parquet sink. ``complete`` overwrites one folder per
-    batch. ``update`` stores each batch's changed rows under its batch number and returns the last
-    row per ``keys``; a replayed batch overwrites its own folder. ``sink="memory"`` holds the result
-    in the driver and is meant for small demonstrations only.
+    ``append`` writes through the exactly-once Parquet sink (``sink="table"`` also registers the
+    result as a catalog table). ``complete`` overwrites one folder per batch. ``update`` stores each
+    batch's changed rows under its batch number and returns the last row per ``keys``; a replayed
+    batch overwrites its own folder. ``sink="memory"`` holds the result in the driver: only for
+    results known to be small.
 
-    The default trigger is ``availableNow``; pass ``{"processingTime": "5 seconds"}`` and a
-    ``timeout`` in seconds to run by the clock.
+    The default trigger is ``availableNow``; a clock trigger such as
+    ``{"processingTime": "5 seconds"}`` is stopped once it has caught up.
     """
     spark = df.sparkSession
     path = path or workspace(spark, "stream")
-    checkpoint = checkpoint or f"{path}-checkpoint"
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(**(trigger or {"availableNow": True}))
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint or f"{path}-checkpoint")
+    trigger = trigger or {"availableNow": True}
+    writer = writer.trigger(**trigger)
+    name = f"{sink}_" + path.rsplit("-", 1)[-1]
     if sink == "memory":
-        name = "memory_" + path.rsplit("-", 1)[-1]
-        _finish(writer.format("memory").queryName(name).start(), timeout)
+        _finish(writer.format("memory").queryName(name).start(), trigger)
+        return spark.table(name)
+    if sink == "table":
+        _finish(writer.option("path", path).format("parquet").toTable(name), trigger)
         return spark.table(name)
     if mode == "append":
-        _finish(writer.format("parquet").start(path), timeout)
+        _finish(writer.format("parquet").start(path), trigger)
         return stored(spark, path, df)
     if mode == "complete":
-        _finish(writer.foreachBatch(_overwrite(path)).start(), timeout)
+        _finish(writer.foreachBatch(_overwrite(path)).start(), trigger)
         return stored(spark, path, df)
-    _finish(writer.foreachBatch(_keep_batch(path)).start(), timeout)
+    _finish(writer.foreachBatch(_keep_batch(path)).start(), trigger)
     latest = spark.read.schema(df.schema.add(BATCH, "long")).option("basePath", path).parquet(path)
-    if not keys:
-        return latest
-    return top_n_per_key(latest, keys, [F.col(BATCH).desc()]).drop(BATCH)
+    return top_n_per_key(latest, keys, [F.col(BATCH).desc()]).drop(BATCH) if keys else latest
 
 
 def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -64,9 +65,12 @@ def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return spark.createDataFrame([], like.schema)
 
 
-def _finish(query: StreamingQuery, timeout: int | None) -> None:
+def _finish(query: StreamingQuery, trigger: dict) -> None:
     try:
-        query.awaitTermination(timeout) if timeout else query.awaitTermination()
+        if "availableNow" in trigger or "once" in trigger:
+            query.awaitTermination()
+        else:
+            query.processAllAvailable()
     finally:
         query.stop()
 
@@ -85,10 +89,12 @@ def _keep_batch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_with_retry(start: Callable[[str], DataFrame], spark: SparkSession, label: str = "retry") -> DataFrame:
+def run_with_retry(
+    start: Callable[[str], DataFrame], spark: SparkSession, checkpoint: str | None = None, label: str = "retry"
+) -> DataFrame:
     """``start(checkpoint)``; if it fails, once more with a fresh checkpoint."""
     try:
-        return start(workspace(spark, f"{label}-checkpoint"))
+        return start(checkpoint or workspace(spark, f"{label}-checkpoint"))
     except Exception as first:  # noqa: BLE001 - any start-up failure earns the one retry
         print(f"stream failed ({type(first).__name__}); retrying once with a fresh checkpoint")
         return start(workspace(spark, f"{label}-checkpoint"))
