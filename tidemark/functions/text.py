@@ -45,7 +45,8 @@ def extract_score(
 ) -> Column:
     """First number after ``prefix`` (a pattern), clamped to ``[low, high]``; ``default`` if none."""
     number = F.regexp_extract(as_column(text), f"{prefix}({NUMBER})", 1).try_cast("double")
-    return F.coalesce(F.greatest(F.lit(low), F.least(F.lit(high), number)), F.lit(default))
+    # greatest() and least() skip NULL, so a missing number is told apart first.
+    return F.when(number.isNull(), F.lit(default)).otherwise(F.greatest(F.lit(low), F.least(F.lit(high), number)))
 
 
 def extract_fenced(text: Column | str) -> Column:

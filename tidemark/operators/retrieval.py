@@ -12,6 +12,7 @@ from tidemark.functions.vectors import EPSILON
 from tidemark.session import broadcast_if_small
 
 QUERY_LIMIT = 4096  # Most queries whose vectors are shipped whole to every task.
+DECIMALS = 12  # Digits kept of a similarity.
 BLOCK_ROWS = 32_768  # Vectors per block once queries are too many to ship.
 
 
@@ -24,9 +25,13 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _scores(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Cosine of every query (rows) with every vector (columns)."""
+    """Cosine of every query (rows) with every vector (columns).
+
+    Matrix kernels may differ in the last bits by a row's place in its batch; rounding makes
+    copies of a vector score the same wherever they lie, so that ties go to the lower id.
+    """
     norms = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(vectors, axis=1)[None, :]
-    return (queries @ vectors.T) / (norms + EPSILON)
+    return np.round((queries @ vectors.T) / (norms + EPSILON), DECIMALS)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:

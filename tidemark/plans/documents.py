@@ -19,12 +19,17 @@ from tidemark.operators.retrieval import (
 PROMPT = "Context:\n{context}\n\nQuestion: {question}"
 
 
-def index_documents(docs: DataFrame, doc_id: str, text: str, size: int = 512, overlap: int = 50, embedder: Embedder | None = None) -> DataFrame:
-    """Chunks with a numeric key, a stable text key and their vectors."""
+CHUNK_BITS = 24  # Chunks per document that a vector id has room for, as a power of two.
+
+
+def index_documents(
+    docs: DataFrame, doc_id: str, text: str, size: int = 512, overlap: int = 50, embedder: Embedder | None = None
+) -> DataFrame:
+    """Chunks of documents with whole-number ids: a vector id, a text key and the vector."""
     chunks = chunk_fixed(docs, doc_id, text, size, overlap)
     keyed = chunks.withColumns(
         {
-            "vec_id": F.xxhash64(doc_id, "chunk_index"),
+            "vec_id": F.shiftleft(F.col(doc_id).cast("long"), CHUNK_BITS) + F.col("chunk_index"),
             "chunk_key": surrogate_key(doc_id, "chunk_index"),
         }
     )

@@ -51,13 +51,16 @@ def doc_elements_to_text(t: Tables) -> DataFrame:
     return docs.doc_elements_to_text(t.documents.select("doc_id", elements_json("text").alias("parsed")), "parsed")
 
 
-_FIXED = (
+# The default embedder's slot of a token.
+SLOT_SQL = "('0x' || substr(md5(w), 1, 8))::bigint % 64"
+
+FIXED_SQL = (
     "SELECT doc_id, (start // 462)::int AS chunk_index, substr(text, start + 1, 512) AS chunk_text FROM "
     "(SELECT doc_id, text, unnest(range(0, length(text), 462))::int AS start FROM documents)"
 )
 
 
-@query("chunk_fixed", _FIXED)
+@query("chunk_fixed", FIXED_SQL)
 def chunk_fixed(t: Tables) -> DataFrame:
     return docs.chunk_fixed(t.documents, "doc_id", "text", 512, 50)
 
@@ -112,18 +115,31 @@ def sentence_context(t: Tables) -> DataFrame:
     return docs.sentence_context(t.documents, "doc_id", "text", 1)
 
 
-@query("chunk_semantic")
-def chunk_semantic(t: Tables) -> DataFrame:
-    return docs.chunk_semantic(t.documents, "doc_id", "text", 0.15, 1)
+_SEMANTIC = (
+    f"WITH {_SENTENCES}, ctx AS (SELECT doc_id, i, s[i + 1] AS sentence, array_to_string(s[greatest(i, 1):i + 2], ' ') AS context "
+    "FROM (SELECT *, unnest(range(len(s))) AS i FROM sentences)), words AS (SELECT doc_id, i, "
+    "unnest(string_split(replace(lower(context), chr(10), ' '), ' ')) AS w FROM ctx), "
+    f"slots AS (SELECT doc_id, i, {SLOT_SQL} AS slot, count(*) AS n FROM words WHERE w <> '' GROUP BY 1, 2, 3), "
+    "norms AS (SELECT doc_id, i, sqrt(sum(n * n)) AS norm FROM slots GROUP BY 1, 2), "
+    "dots AS (SELECT a.doc_id, b.i, sum(a.n * b.n) AS dot FROM slots a JOIN slots b ON a.doc_id = b.doc_id AND b.i = a.i + 1 "
+    "AND a.slot = b.slot GROUP BY 1, 2), breaks AS (SELECT c.doc_id, c.i, c.sentence, "
+    "coalesce(1 - coalesce(dot, 0) / (p.norm * n.norm + 1e-10) > 0.15, false)::int AS new_chunk FROM ctx c "
+    "JOIN norms n USING (doc_id, i) LEFT JOIN norms p ON p.doc_id = c.doc_id AND p.i = c.i - 1 "
+    "LEFT JOIN dots d ON d.doc_id = c.doc_id AND d.i = c.i) "
+    "SELECT doc_id, chunk_index::int AS chunk_index, string_agg(sentence, ' ' ORDER BY i) AS chunk_text FROM "
+    "(SELECT *, sum(new_chunk) OVER (PARTITION BY doc_id ORDER BY i) AS chunk_index FROM breaks) GROUP BY 1, 2"
+)
 
 
-_SLOT = "('0x' || substr(md5(w), 1, 8))::bigint % 64"
+@query("chunk_semantic", _SEMANTIC)
+def chunk_semantic(t: Tables) -> DataFrame:
+    return docs.chunk_semantic(t.documents, "doc_id", "text", 0.15, 1)
 
 
 @query(
     "embed_chunks",
-    f"WITH chunks AS ({_FIXED}), words AS (SELECT doc_id, chunk_index, unnest(string_split(replace(lower(chunk_text), "
-    f"chr(10), ' '), ' ')) AS w FROM chunks), slots AS (SELECT doc_id, chunk_index, {_SLOT} AS slot, count(*) AS n "
+    f"WITH chunks AS ({FIXED_SQL}), words AS (SELECT doc_id, chunk_index, unnest(string_split(replace(lower(chunk_text), "
+    f"chr(10), ' '), ' ')) AS w FROM chunks), slots AS (SELECT doc_id, chunk_index, {SLOT_SQL} AS slot, count(*) AS n "
     "FROM words WHERE w <> '' GROUP BY 1, 2, 3), sums AS (SELECT doc_id, chunk_index, sum(n)::double AS n_words, "
     "count(*) AS n_slots, round(sqrt(sum(n * n)), 6) AS norm, max_by(slot, (n, -slot))::int AS top_slot FROM slots GROUP BY 1, 2) "
     "SELECT c.doc_id, c.chunk_index, 64 AS dim, coalesce(n_words, 0) AS n_words, coalesce(n_slots, 0)::int AS n_slots, "
@@ -235,13 +251,13 @@ def prompt_render(t: Tables) -> DataFrame:
 _CATEGORY = {"de": "databricks", "la": "azure"}
 
 
-def _category(question: str):
+def category_of(question: str):
     words = F.split(F.lower(question), " ")
     hits = [F.when(F.array_contains(words, w), F.lit(c)) for w, c in _CATEGORY.items()]
     return F.coalesce(*hits, F.lit("other"))
 
 
-_CATEGORY_SQL = (
+CATEGORY_SQL = (
     "CASE " + " ".join(f"WHEN list_contains(string_split(lower(question), ' '), '{w}') THEN '{c}'" for w, c in _CATEGORY.items())
     + " ELSE 'other' END"
 )
@@ -250,7 +266,7 @@ _GRADED = (
     "lambda x: x <> '')) AS asked, list_distinct(list_filter(regexp_split_to_array(lower(context), '[^\\p{L}\\p{N}]+'), "
     "lambda x: x <> '')) AS given FROM questions), graded AS (SELECT conv_id, turn, question, context, "
     "CASE WHEN coalesce(len(list_intersect(asked, given))::double / nullif(len(asked), 0), 0) >= 0.4 THEN 'yes' ELSE 'no' END AS grade, "
-    f"{_CATEGORY_SQL} AS cat FROM tokens)"
+    f"{CATEGORY_SQL} AS cat FROM tokens)"
 )
 
 
@@ -260,37 +276,37 @@ _GRADED = (
     "CASE WHEN grade = 'no' THEN cat END AS category FROM graded",
 )
 def graded_questions(t: Tables) -> DataFrame:
-    graded = grade_and_route(_questions(t), "question", "context", 0.4, _category("question"))
+    graded = grade_and_route(_questions(t), "question", "context", 0.4, category_of("question"))
     return graded.select("conv_id", "turn", "grade", "route", "category")
 
 
-def _reference_texts(t: Tables) -> DataFrame:
+def reference_texts(t: Tables) -> DataFrame:
     """One reference text per category."""
     rows = [("databricks", "All about tables."), ("azure", "All about clouds.")]
     return t.spark.createDataFrame(rows, "category string, text string")
 
 
-_FALLBACK_SQL = (
+FALLBACK_SQL = (
     "CASE cat WHEN 'databricks' THEN 'All about tables.' WHEN 'azure' THEN 'All about clouds.' "
     "ELSE 'No documentation found for category: ' || cat END"
 )
 
 
-@query("fallback_lookup", f"WITH {_GRADED} SELECT conv_id, turn, cat AS category, {_FALLBACK_SQL} AS fallback_text FROM graded")
+@query("fallback_lookup", f"WITH {_GRADED} SELECT conv_id, turn, cat AS category, {FALLBACK_SQL} AS fallback_text FROM graded")
 def looked_up(t: Tables) -> DataFrame:
-    asked = _questions(t).select("conv_id", "turn", _category("question").alias("category"))
-    return fallback_lookup(asked, _reference_texts(t))
+    asked = _questions(t).select("conv_id", "turn", category_of("question").alias("category"))
+    return fallback_lookup(asked, reference_texts(t))
 
 
 @query(
     "coalesce_answer",
-    f"WITH {_GRADED} SELECT conv_id, turn, CASE WHEN grade = 'no' AND cat <> 'other' THEN {_FALLBACK_SQL} "
+    f"WITH {_GRADED} SELECT conv_id, turn, CASE WHEN grade = 'no' AND cat <> 'other' THEN {FALLBACK_SQL} "
     "WHEN grade = 'yes' THEN context ELSE 'No answer could be determined.' END AS answer FROM graded",
 )
 def answers(t: Tables) -> DataFrame:
     """The fallback text where there is one, else the graded context, else the default."""
-    graded = grade_and_route(_questions(t), "question", "context", 0.4, _category("question"))
-    found = fallback_lookup(graded, _reference_texts(t))
+    graded = grade_and_route(_questions(t), "question", "context", 0.4, category_of("question"))
+    found = fallback_lookup(graded, reference_texts(t))
     final = F.when((F.col("route") == "fallback") & (F.col("category") != "other"), F.col("fallback_text"))
     initial = F.when(F.col("grade") == "yes", F.col("context")).otherwise("")
     return found.select("conv_id", "turn", coalesce_answer(final, initial).alias("answer"))

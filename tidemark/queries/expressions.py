@@ -278,11 +278,17 @@ def keyword_detect(t: Tables) -> DataFrame:
 _NUMBER = r"\d+(?:\.\d+)?"
 
 
+def _score_sql(text: str, prefix: str = "") -> str:
+    number = f"try_cast(regexp_extract({text}, '{prefix}({_NUMBER})', 1) AS double)"
+    clamped = f"greatest(1.0::double, least(10.0::double, {number}))"
+    return f"CASE WHEN {number} IS NULL THEN 5.0::double ELSE {clamped} END"
+
+
 @query(
     "regex_score",
-    f"SELECT doc_id, coalesce(greatest(1.0::double, least(10.0::double, try_cast(regexp_extract(text, '({_NUMBER})', 1) AS double))), 5.0::double) AS score, "
-    f"coalesce(greatest(1.0::double, least(10.0::double, try_cast(regexp_extract(report, 'SCORE:\\s*({_NUMBER})', 1) AS double))), 5.0::double) AS stated "
-    "FROM (SELECT *, CASE WHEN lang = 'de' THEN text ELSE text || chr(10) || 'SCORE: ' || (doc_id % 14)::varchar || '.5' END AS report FROM documents)",
+    f"SELECT doc_id, {_score_sql('text')} AS score, {_score_sql('report', 'SCORE:' + chr(92) + 's*')} AS stated "
+    "FROM (SELECT *, CASE WHEN lang = 'de' THEN text ELSE text || chr(10) || 'SCORE: ' || (doc_id % 14)::varchar || '.5' "
+    "END AS report FROM documents)",
 )
 def regex_score(t: Tables) -> DataFrame:
     rating = F.concat(F.lit("\nSCORE: "), (F.col("doc_id") % 14).cast("string"), F.lit(".5"))

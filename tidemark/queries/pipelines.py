@@ -8,7 +8,7 @@ from tidemark.plans import derive
 from tidemark.plans.documents import answer_questions, index_documents
 from tidemark.plans.flights import LANDING_SCHEMA, run_flight_pipeline
 from tidemark.plans.taxi import run_taxi_pipeline
-from tidemark.queries.documents import _category, _reference_texts
+from tidemark.queries.documents import CATEGORY_SQL, FALLBACK_SQL, FIXED_SQL, SLOT_SQL, category_of, reference_texts
 from tidemark.queries.registry import query
 from tidemark.queries.relational import ROUTE_TOTALS_SQL
 from tidemark.queries.streams import plain_times
@@ -61,9 +61,37 @@ def medallion_flights(t: Tables) -> DataFrame:
     return plain_times(hourly.unionByName(pick("biweekly_distance", "biweekly", "total_distance")))
 
 
-@query("rag_documents")
+def _slots_sql(name: str, table: str, key: str, text: str) -> str:
+    """Hashed term counts of a text column, and their norms."""
+    return (
+        f"{name} AS (SELECT {key}, {SLOT_SQL} AS slot, count(*) AS n FROM (SELECT {key}, unnest(string_split(replace("
+        f"lower({text}), chr(10), ' '), ' ')) AS w FROM {table}) WHERE w <> '' GROUP BY 1, 2), "
+        f"{name}_norm AS (SELECT {key}, sqrt(sum(n * n)) AS norm FROM {name} GROUP BY 1)"
+    )
+
+
+_WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''))"
+
+
+@query(
+    "rag_documents",
+    f"WITH chunks AS (SELECT (doc_id << 24) + chunk_index AS vec_id, chunk_text FROM ({FIXED_SQL})), "
+    + _slots_sql("c", "chunks", "vec_id", "chunk_text")
+    + ", "
+    + _slots_sql("q", "benchmark", "item_id", "text")
+    + ", scored AS (SELECT item_id, vec_id, round(sum(c.n * q.n) / (any_value(q_norm.norm) * any_value(c_norm.norm) + 1e-10), 12) "
+    "AS s FROM c JOIN q USING (slot) JOIN c_norm USING (vec_id) JOIN q_norm USING (item_id) GROUP BY 1, 2), "
+    "hits AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, vec_id) AS rank FROM scored QUALIFY rank <= 3), "
+    "ctx AS (SELECT item_id, string_agg(chunk_text, chr(10) || chr(10) ORDER BY rank) AS context FROM hits JOIN chunks USING (vec_id) GROUP BY 1), "
+    "graded AS (SELECT item_id, b.text AS question, context, CASE WHEN len(list_intersect("
+    + f"{_WORDS.format('b.text')}, {_WORDS.format('context')}))::double / len({_WORDS.format('b.text')}) >= 0.5 "
+    + "THEN 'yes' ELSE 'no' END AS grade FROM benchmark b JOIN ctx USING (item_id)) "
+    "SELECT item_id AS query_id, 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: ' || question AS prompt, "
+    "grade, CASE WHEN grade = 'yes' THEN 'end' ELSE 'fallback' END AS route, "
+    f"CASE WHEN grade = 'yes' THEN context ELSE {FALLBACK_SQL} END AS answer FROM (SELECT *, {CATEGORY_SQL} AS cat FROM graded)",
+)
 def rag_documents(t: Tables) -> DataFrame:
     """The benchmark passages as questions to the indexed documents."""
     questions = t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     index = index_documents(t.documents, "doc_id", "text")
-    return answer_questions(index, questions, _reference_texts(t), _category("question"))
+    return answer_questions(index, questions, reference_texts(t), category_of("question"))

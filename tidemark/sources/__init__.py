@@ -6,6 +6,9 @@ from tidemark.sources.catalog import (
     schema_overview,
     with_cached_view,
 )
+from tidemark.sources.readers import (
+    RESCUED as RESCUED_COLUMN,
+)
 from tidemark.sources.readers import (
     Tables,
     read_binary,
@@ -18,6 +21,7 @@ from tidemark.sources.readers import (
 from tidemark.sources.writers import split_by_key, with_ingestion_ts, write_csv, write_table
 
 __all__ = [
+    "RESCUED_COLUMN",
     "Tables",
     "catalog_overview",
     "compare_counts",
