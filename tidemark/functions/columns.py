@@ -50,7 +50,7 @@ def decode_map(code: Column | str, mapping: Mapping, default: str = "Unknown") -
 
 def canonical_pair(a: Column | str, b: Column | str, sep: str = "-") -> Column:
     """Order-free key of two codes. A missing code is left out, as ``concat_ws`` does."""
-    return F.concat_ws(sep, F.array_sort(F.array(as_column(a), as_column(b))))
+    return F.concat_ws(sep, F.sort_array(F.array(as_column(a), as_column(b))))
 
 
 def parse_event_ts(text: Column | str, year: int | str, fmt: str = "MMddHHmm") -> Column:

@@ -15,9 +15,13 @@ FENCED_BLOCK = r"(?s)```(?:python)?\n(.*?)```"
 NUMBER = r"\d+(?:\.\d+)?"
 
 
+# The look-behind lets a long run of blanks inside a text be tried once, not at each of its places.
+STRIP = f"^{WHITESPACE}++|(?<!{WHITESPACE}){WHITESPACE}++$"
+
+
 def strip_text(text: Column | str) -> Column:
     """Trim Unicode whitespace on both ends."""
-    return F.regexp_replace(as_column(text), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.regexp_replace(as_column(text), STRIP, "")
 
 
 def text_features(text: Column | str) -> list[Column]:

@@ -31,9 +31,9 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return _sum(_product(x, y)) / (norms + F.lit(EPSILON))
 
 
-@lru_cache(maxsize=1 << 16)
-def _bucket(token: str, dim: int) -> int:
-    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
+@lru_cache(maxsize=1 << 17)
+def _token_hash(token: str) -> int:
+    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16)
 
 
 def hashed_embedder(dim: int = 64) -> Embedder:
@@ -43,11 +43,11 @@ def hashed_embedder(dim: int = 64) -> Embedder:
     """
 
     def embed(texts: Sequence[str]) -> np.ndarray:
-        out = np.zeros((len(texts), dim), dtype=np.float32)
-        for i, text in enumerate(texts):
-            slots = [_bucket(t, dim) for t in (text or "").lower().replace("\n", " ").split(" ") if t]
-            if slots:
-                out[i] = np.bincount(slots, minlength=dim)
-        return out
+        places: list[int] = []
+        for row, text in enumerate(texts):
+            tokens = (text or "").lower().replace("\n", " ").split(" ")
+            places += [row * dim + _token_hash(t) % dim for t in tokens if t]
+        counts = np.bincount(places, minlength=len(texts) * dim) if places else np.zeros(len(texts) * dim)
+        return counts.reshape(len(texts), dim).astype(np.float32)
 
     return embed

@@ -1,18 +1,21 @@
 """Document jobs: page text, chunking, sentences, embedding.
 
-Everything but the recursive splitter and the embedder is a built-in expression over one row, so
-no step shuffles. Texts are always processed whole.
+Every operator works within one row at a time, so no step shuffles, and in time linear in the text.
+Built-in expressions do it where they can; the splitters that need a running position, and the
+embedder, run in Python on Arrow batches. Texts are always processed whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.text import extract_fields, fold_elements, strip_text
-from tidemark.functions.vectors import Embedder, cosine, hashed_embedder
+from tidemark.functions.text import WHITESPACE, extract_fields, fold_elements, strip_text
+from tidemark.functions.vectors import EPSILON, Embedder, hashed_embedder
+from tidemark.session import spread
 
 # Named character references decoded by html_to_text (the ampersand comes last).
 ENTITIES = {
@@ -46,7 +49,7 @@ TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
 LANGUAGE = r"(?i)<html[^>]*\blang=[\"']?([a-zA-Z-]+)"
 
 # Fixed value: a sentence ends at whitespace after one of these marks.
-SENTENCE_BREAK = r"(?<=[.!?])\s+"
+SENTENCE_BREAK = f"(?<=[.!?]){WHITESPACE}++"
 
 
 def unescape(text: Column) -> Column:
@@ -64,7 +67,7 @@ def html_to_text(pages: DataFrame, url: str = "url", html: str = "html", separat
     for pattern in HIDDEN:
         body = F.regexp_replace(body, pattern, "")
     body = unescape(F.regexp_replace(body, TAG, separator))
-    return pages.withColumns(
+    return spread(pages).withColumns(
         {
             "source": F.col(url),
             "title": unescape(F.regexp_extract(html, TITLE, 1)),
@@ -93,7 +96,7 @@ def chunk_fixed(df: DataFrame, doc_id: str, text: str, size: int = 512, overlap:
     """
     step = _check_window(size, overlap)
     pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
-    cut = df.select(doc_id, pieces.alias("_pieces"))
+    cut = spread(df.select(doc_id, text)).select(doc_id, pieces.alias("_pieces"))
     chunks = F.col("_pieces")
     missing, ahead = overlap, 1
     while missing > 0:
@@ -103,23 +106,34 @@ def chunk_fixed(df: DataFrame, doc_id: str, text: str, size: int = 512, overlap:
     return cut.select(doc_id, F.posexplode(chunks).alias("chunk_index", "chunk_text"))
 
 
+def _token_windows(size: int, step: int):
+    @F.pandas_udf("array<string>")
+    def windows(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _join_windows(t.split(), size, step) if t else [])
+
+    return windows
+
+
+def _join_windows(tokens: list[str], size: int, step: int) -> list[str]:
+    return [" ".join(tokens[i : i + size]) for i in range(0, len(tokens), step)]
+
+
 def chunk_tokens(df: DataFrame, doc_id: str, text: str, size: int = 250, overlap: int = 0) -> DataFrame:
-    """Windows of ``size`` whitespace tokens (a stand-in for a model's tokenizer)."""
+    """Windows of ``size`` whitespace tokens (a stand-in for a model's tokenizer).
+
+    Cut in Python on Arrow batches: an array slice per window would copy the whole token array
+    for each, while a list slice costs its own length.
+    """
     step = _check_window(size, overlap)
-    tokens = df.select(doc_id, F.split(strip_text(text), r"\s+").alias("_tokens")).filter(
-        F.array_join("_tokens", "") != ""
-    )
-    starts = F.explode(F.sequence(F.lit(0), F.size("_tokens") - 1, F.lit(step)))
-    return (
-        tokens.select(doc_id, "_tokens", starts.alias("start_token"))
-        .withColumn("_window", F.slice("_tokens", F.col("start_token") + 1, F.lit(size)))
-        .select(
-            doc_id,
-            (F.col("start_token") / step).cast("int").alias("chunk_index"),
-            "start_token",
-            F.size("_window").alias("n_tokens"),
-            F.array_join("_window", " ").alias("chunk_text"),
-        )
+    windows = spread(df.select(doc_id, text)).select(doc_id, _token_windows(size, step)(text).alias("_windows"))
+    chunks = windows.select(doc_id, F.posexplode("_windows").alias("chunk_index", "chunk_text"))
+    n_tokens = F.length("chunk_text") - F.length(F.replace("chunk_text", F.lit(" "), F.lit(""))) + 1
+    return chunks.select(
+        doc_id,
+        "chunk_index",
+        (F.col("chunk_index") * step).alias("start_token"),
+        n_tokens.alias("n_tokens"),
+        "chunk_text",
     )
 
 
@@ -199,31 +213,38 @@ def chunk_recursive(df: DataFrame, doc_id: str, text: str, size: int = 1000, ove
             yield pd.DataFrame({doc_id: ids, "chunk_index": index, "start_index": starts, "chunk_text": texts})
 
     schema = f"`{doc_id}` {id_type}, chunk_index int, start_index int, chunk_text string"
-    return df.select(doc_id, text).mapInPandas(split, schema)
+    return spread(df.select(doc_id, text)).mapInPandas(split, schema)
 
 
 def sentence_array(text: Column | str) -> Column:
-    """Sentences of a text in order, trimmed, blanks dropped."""
-    parts = F.transform(F.split(strip_text(text), SENTENCE_BREAK), strip_text)
-    return F.filter(parts, lambda s: s != "")
+    """Sentences of a text in order. The breaks take all blanks with them, so each is trimmed; only
+    a blank text leaves an empty piece to drop."""
+    return F.array_remove(F.split(strip_text(text), SENTENCE_BREAK), "")
 
 
 def split_sentences(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return df.select(doc_id, F.posexplode(sentence_array(text)).alias("sentence_index", "sentence"))
+    cut = spread(df.select(doc_id, text))
+    return cut.select(doc_id, F.posexplode(sentence_array(text)).alias("sentence_index", "sentence"))
 
 
 def context_array(sentences: Column, buffer: int) -> Column:
-    """Each sentence joined with up to ``buffer`` neighbours on either side."""
-    before = lambda i: F.greatest(i - buffer, F.lit(0))
-    return F.transform(
-        sentences,
-        lambda s, i: F.array_join(F.slice(sentences, before(i) + 1, i - before(i) + 1 + buffer), " "),
-    )
+    """Each sentence joined with up to ``buffer`` neighbours on either side.
+
+    The array is zipped with shifted copies of itself, so the cost is linear in the sentences.
+    """
+    gap = F.array_repeat(F.lit(None).cast("string"), 1)
+    join = lambda a, b: F.concat_ws(" ", a, b)  # noqa: E731 - skips the NULL beyond either end
+    contexts, before, after = sentences, sentences, sentences
+    for _ in range(buffer):
+        before = F.slice(F.concat(gap, before), 1, F.size(sentences))
+        after = F.slice(after, 2, F.size(sentences))
+        contexts = F.zip_with(F.zip_with(before, contexts, join), after, join)
+    return contexts
 
 
 def sentence_context(df: DataFrame, doc_id: str, text: str, buffer: int = 1) -> DataFrame:
     """One row per sentence with its context. The neighbours are in the same row: no window."""
-    cut = df.select(doc_id, sentence_array(text).alias("_sentences"))
+    cut = spread(df.select(doc_id, text)).select(doc_id, sentence_array(text).alias("_sentences"))
     pairs = F.arrays_zip(F.col("_sentences").alias("sentence"), context_array(F.col("_sentences"), buffer).alias("context"))
     return cut.select(doc_id, F.posexplode(pairs).alias("sentence_index", "_p")).select(
         doc_id, "sentence_index", "_p.sentence", "_p.context"
@@ -238,20 +259,32 @@ def _embed_column(embedder: Embedder):
     return embed_texts
 
 
-def _embed_lists(embedder: Embedder):
-    @F.pandas_udf("array<array<float>>")
-    def embed_lists(lists: pd.Series) -> pd.Series:
-        return pd.Series([[v.tolist() for v in embedder(list(texts))] if len(texts) else [] for texts in lists])
-
-    return embed_lists
-
-
 def embed(df: DataFrame, column: str, embedder: Embedder | None = None, name: str = "embedding") -> DataFrame:
     """Add a float vector per text. ``embedder`` maps a list of texts to a matrix and runs inside
     the tasks on Arrow batches."""
     return df.withColumn(name, _embed_column(embedder or hashed_embedder())(F.col(column)))
 
 
+def _semantic_runs(embedder: Embedder, threshold: float):
+    """Sentences and their contexts to chunks: cut where neighbouring contexts are far apart."""
+
+    def runs(sentences: Sequence[str], contexts: Sequence[str]) -> list[str]:
+        if len(sentences) < 2:
+            return list(sentences)
+        vectors = np.asarray(embedder(list(contexts)), dtype=np.float64)
+        norms = np.linalg.norm(vectors, axis=1)
+        dots = np.einsum("ij,ij->i", vectors[:-1], vectors[1:])
+        distances = 1 - dots / (norms[:-1] * norms[1:] + EPSILON)
+        edges = [0, *(np.flatnonzero(distances > threshold) + 1), len(sentences)]
+        return [" ".join(sentences[a:b]) for a, b in zip(edges, edges[1:])]
+
+    @F.pandas_udf("array<string>")
+    def split(sentences: pd.Series, contexts: pd.Series) -> pd.Series:
+        return pd.Series([runs(s, c) for s, c in zip(sentences, contexts)])
+
+    return split
+
+
 def chunk_semantic(
     df: DataFrame,
     doc_id: str,
@@ -262,21 +295,10 @@ def chunk_semantic(
 ) -> DataFrame:
     """Runs of sentences, cut where neighbouring contexts are further apart than ``threshold``
     (one minus cosine). A document is handled within its own row, so nothing is shuffled."""
-    s, v = F.col("_sentences"), F.col("_vectors")
-    cut = df.select(doc_id, sentence_array(text).alias("_sentences")).filter(F.size("_sentences") > 0)
-    vectors = cut.withColumn("_vectors", _embed_lists(embedder or hashed_embedder())(context_array(s, buffer)))
-    following = F.slice(v, 2, F.size(v))
-    # The last vector has no follower; its NULL distance is never a break.
-    distances = F.zip_with(v, following, lambda a, b: F.when(b.isNotNull(), F.lit(1.0) - cosine(a, b)))
-    marked = vectors.select(doc_id, "_sentences", distances.alias("_distances"))
-    d = F.col("_distances")
-    breaks = F.filter(
-        F.transform(d, lambda x, i: F.when(x > F.lit(threshold), i + 2)), lambda p: p.isNotNull()
-    )
-    starts = marked.select(doc_id, "_sentences", F.concat(F.array(F.lit(1)), breaks).alias("_starts"))
-    ends = F.concat(F.slice("_starts", 2, F.size("_starts")), F.array(F.size(s) + 1))
-    chunks = F.zip_with("_starts", ends, lambda a, b: F.array_join(F.slice(s, a, b - a), " "))
-    return starts.select(doc_id, F.posexplode(chunks).alias("chunk_index", "chunk_text"))
+    cut = spread(df.select(doc_id, text)).select(doc_id, sentence_array(text).alias("_sentences"))
+    runs = _semantic_runs(embedder or hashed_embedder(), threshold)
+    chunks = runs("_sentences", context_array(F.col("_sentences"), buffer))
+    return cut.select(doc_id, F.posexplode(chunks).alias("chunk_index", "chunk_text"))
 
 
 def word_count(df: DataFrame, text: str) -> DataFrame:

@@ -12,6 +12,7 @@ from tidemark.functions.vectors import EPSILON
 from tidemark.session import broadcast_if_small
 
 QUERY_LIMIT = 4096  # Most queries whose vectors are shipped whole to every task.
+HITS_LIMIT = 100_000  # Most hits, of a few numbers each, that later joins may broadcast.
 DECIMALS = 12  # Digits kept of a similarity.
 BLOCK_ROWS = 32_768  # Vectors per block once queries are too many to ship.
 
@@ -104,7 +105,8 @@ def vector_topk_batch(
     ddl = f"`{query_id}` bigint, `{vec_id}` bigint, similarity double"
     out = pa.schema([(query_id, pa.int64()), (vec_id, pa.int64()), ("similarity", pa.float64())])
     few = q.limit(query_limit + 1).collect()
-    if len(few) <= query_limit:
+    bounded = len(few) <= query_limit
+    if bounded:
         if not few:
             partial = v.sparkSession.createDataFrame([], ddl)
         else:
@@ -113,7 +115,9 @@ def vector_topk_batch(
     else:
         partial = _block_top_k(v, q, k, vec_id, vector, query_id, query_vector, block_rows, out, ddl)
     rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.col("similarity").desc(), F.col(vec_id)))
-    return partial.withColumn("rank", rank).filter(F.col("rank") <= k)
+    hits = partial.withColumn("rank", rank).filter(F.col("rank") <= k)
+    # Few queries have at most k times as many hits: fetching their texts need not shuffle the index.
+    return F.broadcast(hits) if bounded and len(few) * k <= HITS_LIMIT else hits
 
 
 def _block_top_k(v, q, k, vec_id, vector, query_id, query_vector, block_rows, out, ddl) -> DataFrame:

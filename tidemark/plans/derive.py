@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.columns import canonical_pair
-from tidemark.session import broadcast_if_small
+from tidemark.session import broadcast_if_small, spread
 from tidemark.sources.readers import Tables
 
 EVENT_YEAR = 2024
@@ -76,7 +76,7 @@ zones AS (
 def flights(t: Tables) -> DataFrame:
     """Events as raw flight rows: every column text, the date without its year."""
     k = F.from_json("props", "k int")["k"]
-    return t.events.select(
+    return spread(t.events).select(
         F.date_format("ts", "MMddHHmm").alias("date"),
         (k - 20).cast("string").alias("delay"),
         (F.floor(F.col("value") * 10).cast("int") + 50).cast("string").alias("distance"),

@@ -47,6 +47,8 @@ def answer_questions(
 ) -> DataFrame:
     """One row per ``(query_id, question)``: prompt, grade, route and final text.
 
+    ``index`` is read twice, for the vectors and for the texts of the hits: pass a stored table.
+
     The model call is left out: the best context stands for the initial answer, and the fallback
     text for the second attempt.
     """

@@ -76,7 +76,7 @@ def _tokens_sql(size: int, step: int) -> str:
         f"len(tokens[start + 1:start + {size}])::int AS n_tokens, "
         f"array_to_string(tokens[start + 1:start + {size}], ' ') AS chunk_text FROM (SELECT *, "
         f"unnest(range(0, len(tokens), {step})) AS start FROM (SELECT doc_id, regexp_split_to_array("
-        f"regexp_replace(text, '^{RE2_SPACE}+|{RE2_SPACE}+$', '', 'g'), '\\s+') AS tokens FROM documents))"
+        f"regexp_replace(text, '^{RE2_SPACE}+|{RE2_SPACE}+$', '', 'g'), '{RE2_SPACE}+') AS tokens FROM documents))"
     )
 
 
@@ -92,7 +92,7 @@ def chunk_tokens_overlap(t: Tables) -> DataFrame:
 
 _SENTENCES = (
     "sentences AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace("
-    f"regexp_replace(text, '^{RE2_SPACE}+|{RE2_SPACE}+$', '', 'g'), '([.!?])\\s+', '\\1' || chr(30), 'g'), chr(30)), "
+    f"regexp_replace(text, '^{RE2_SPACE}+|{RE2_SPACE}+$', '', 'g'), '([.!?]){RE2_SPACE}+', '\\1' || chr(30), 'g'), chr(30)), "
     f"lambda s: regexp_replace(s, '^{RE2_SPACE}+|{RE2_SPACE}+$', '', 'g')), lambda s: s <> '') AS s FROM documents)"
 )
 

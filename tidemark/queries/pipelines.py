@@ -12,7 +12,7 @@ from tidemark.queries.documents import CATEGORY_SQL, FALLBACK_SQL, FIXED_SQL, SL
 from tidemark.queries.registry import query
 from tidemark.queries.relational import ROUTE_TOTALS_SQL
 from tidemark.queries.streams import plain_times
-from tidemark.session import workspace
+from tidemark.session import materialize, workspace
 from tidemark.sources import Tables, write_csv
 
 
@@ -93,5 +93,5 @@ _WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}
 def rag_documents(t: Tables) -> DataFrame:
     """The benchmark passages as questions to the indexed documents."""
     questions = t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
-    index = index_documents(t.documents, "doc_id", "text")
+    index = materialize(index_documents(t.documents, "doc_id", "text"), "index")
     return answer_questions(index, questions, reference_texts(t), category_of("question"))

@@ -87,7 +87,7 @@ def join_full(t: Tables) -> DataFrame:
 )
 def join_semi(t: Tables) -> DataFrame:
     urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.select("c_custkey", "c_name").join(urgent, "c_custkey", "leftsemi")
+    return t.customer.select("c_custkey", "c_name").join(urgent.distinct(), "c_custkey", "leftsemi")
 
 
 @query(
@@ -96,7 +96,7 @@ def join_semi(t: Tables) -> DataFrame:
 )
 def join_anti(t: Tables) -> DataFrame:
     urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.select("c_custkey", "c_name").join(urgent, "c_custkey", "leftanti")
+    return t.customer.select("c_custkey", "c_name").join(urgent.distinct(), "c_custkey", "leftanti")
 
 
 def _sales(t: Tables) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Largest join side, by Catalyst's own size estimate, that gets a broadcast hint.
 BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 
+# Largest input, by the same estimate, that is dealt out to all cores before costly row work.
+SPREAD_LIMIT_BYTES = 256 * 1024 * 1024
+
 _local_root: dict[str, str] = {}
 
 
@@ -54,6 +57,17 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small batch input before costly per-row work.
+
+    A table of one file with one row group is one task however wide it is. Inputs beyond
+    ``SPREAD_LIMIT_BYTES`` come in many splits already and are left alone: no shuffle at scale.
+    """
+    if df.isStreaming or estimated_bytes(df) > SPREAD_LIMIT_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the workspace and read it back: short lineage, safe on executor loss."""
     spark = df.sparkSession
