@@ -13,7 +13,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import broadcast_if_small
+from tidemark.session import broadcast_if_small, materialize
 
 HOT_ROWS = 1_000_000
 SLICES = 64
@@ -71,8 +71,12 @@ def running_total(
 
 
 def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows: at most one per that many rows, so a small table.
+
+    It is written out, which makes its size known to the joins that use it.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > hot_rows).select(*keys)
+    return materialize(counts.filter(F.col("_n") > hot_rows).select(*keys), "hot-keys")
 
 
 def _position(value: Column, splits: list) -> Column:
@@ -111,23 +115,20 @@ def _sliced(df: DataFrame, keys: Sequence[str], hot: DataFrame, order_by: str, t
             "_slice": F.when(F.col("_hot"), place).otherwise(0),
             "_subslice": F.when(F.col("_hot") & single, sub).otherwise(0),
         }
-    ).drop("_hot")
+    )
 
 
 def _shifted(sliced, keys, total, slice_order, local_order, local, name, cast) -> DataFrame:
     """Window each slice by itself and add the totals of the slices before it.
 
-    The totals hold at most a few thousand rows per hot key; ordinary keys have one slice.
+    The totals hold at most a few thousand rows per hot key; an ordinary key is one slice and needs
+    none. Written out, they are small enough to broadcast, so the rows are shuffled once.
     """
     parts = [*keys, *_SLICE]
     before = Window.partitionBy(*keys).orderBy(*slice_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*parts)
-        .agg(total.alias("_total"))
-        .withColumn("_before", F.sum("_total").over(before))
-        .filter(F.col("_before").isNotNull())
-        .select(*parts, "_before")
-    )
+    totals = sliced.filter("_hot").groupBy(*parts).agg(total.alias("_total"))
+    shifts = totals.withColumn("_before", F.sum("_total").over(before)).filter(F.col("_before").isNotNull())
+    offsets = materialize(shifts.select(*parts, "_before"), "offsets")
     frame = Window.partitionBy(*parts).orderBy(*local_order)
     if cast is None:
         frame = frame.rowsBetween(Window.unboundedPreceding, 0)
@@ -142,5 +143,5 @@ def _shifted(sliced, keys, total, slice_order, local_order, local, name, cast) -
         .alias("r")
         .join(broadcast_if_small(offsets).alias("o"), match, "left")
         .select("r.*", result.alias(name))
-        .drop("_local", *_SLICE)
+        .drop("_local", "_hot", *_SLICE)
     )

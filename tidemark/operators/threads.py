@@ -53,17 +53,17 @@ def over_budget(
 ) -> DataFrame:
     """Running size per thread, whether it has passed ``budget``, and whether a trim to the newest
     ``keep`` messages would keep the message."""
-    running = running_total(df, [thread], turn, size, "running_size", hot_rows)
-    # The turn of the oldest message that stays: one row per thread.
+    sized = df.withColumn("_size", size)
+    running = running_total(sized, [thread], turn, F.col("_size"), "running_size", hot_rows)
+    # One row per thread: its whole size, and the turn of the oldest message that stays.
+    totals = sized.groupBy(thread).agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("_total"))
     newest = top_n_per_key(df.select(thread, turn), [thread], [F.col(turn).desc()], keep)
-    edge = newest.groupBy(thread).agg(F.min(turn).alias("_edge"))
-    totals = df.groupBy(thread).agg(F.sum(size).alias("_total"))
-    per_thread = edge.join(totals, thread)
-    triggered = F.coalesce(F.col("_total"), F.lit(0)) >= budget
-    return running.join(per_thread, thread).select(
-        *running.columns,
+    edges = newest.groupBy(thread).agg(F.min(turn).alias("_edge"))
+    trimmed = totals.filter(F.col("_total") >= budget).join(edges, thread).select(thread, "_edge")
+    return running.join(trimmed, thread, "left").select(
+        *[c for c in running.columns if c != "_size"],
         (F.col("running_size") >= budget).alias("over_budget"),
-        (~triggered | (F.col(turn) >= F.col("_edge"))).alias("kept"),
+        (F.col("_edge").isNull() | (F.col(turn) >= F.col("_edge"))).alias("kept"),
     )
 
 

@@ -33,7 +33,7 @@ from tidemark.operators.merge import (
     merge_into,
 )
 from tidemark.operators.ordered import top_n_per_key
-from tidemark.session import broadcast_if_small
+from tidemark.session import broadcast_if_small, materialize
 
 VERSION = "_version"
 COMMIT_TIME = "_commit_timestamp"
@@ -180,9 +180,13 @@ class VersionedTable:
         batch_tag: str | None = None,
         source_is_unique: bool = False,
     ) -> int | None:
-        """Merge ``source``; ``clauses`` adds the WHEN clauses. A ``batch_tag`` is applied once only."""
+        """Merge ``source``; ``clauses`` adds the WHEN clauses. A ``batch_tag`` is applied once only.
+
+        The source is used several times, so it is written out first; that also tells its true size.
+        """
         if self._done(self._log(), batch_tag):
             return None
+        source = materialize(source, "merge-source")
         plan = clauses(merge_into(self.as_of(), source, on, source_is_unique))
         return self._record(plan.changes(), "MERGE", batch_tag)
 
