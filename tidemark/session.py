@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -14,6 +16,7 @@ BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 SPREAD_LIMIT_BYTES = 256 * 1024 * 1024
 
 _local_root: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def workspace_root(spark: SparkSession) -> str:
@@ -39,6 +42,20 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{workspace_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session's executors, once per application.
+
+    Needed where executors cannot import it by themselves (no ``--py-files``, other folder).
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-ship-"), "tidemark")
+    context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+    _shipped.add(context.applicationId)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for ``df``.
 
