@@ -118,6 +118,15 @@ def test_page_text(spark):
     assert page.page_text == "A & Bx < y© z"
 
 
+def test_uncommon_character_references(spark):
+    import html
+
+    texts = ["caf&eacute; &#233; &#x1F600;", "&amp;lt; &lt;", "a & b; &unknown; &amp;", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(docs.unescape("t")).collect()]
+    assert got == [t and html.unescape(t) for t in texts]
+
+
 def test_text_features(spark):
     texts = ["Can this be enriched?", "  two words ", "", "what ? "]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

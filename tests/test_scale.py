@@ -90,6 +90,12 @@ def test_top_k_of_one_query(vectors):
     assert got[:2] == [3, 203]
 
 
+def test_rows_without_a_vector_are_passed_over(spark, vectors):
+    _, frame = vectors
+    holes = frame.unionByName(spark.createDataFrame([(999, None)], frame.schema))
+    assert vector_topk(holes, [1.0] * 8, 2).collect() == vector_topk(frame, [1.0] * 8, 2).collect()
+
+
 @pytest.mark.parametrize("limit,block", [(100, 1000), (3, 64), (3, 7)])
 def test_top_k_of_many_queries(spark, vectors, limit, block):
     data, frame = vectors

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.session import workspace, workspace_root
-from tidemark.sources import catalog_overview, schema_overview, split_by_key, with_cached_view
+from tidemark.sources import catalog_overview, schema_overview, split_by_key, with_cached_view, write_table
 
 
 def test_scratch_goes_to_the_shared_folder(spark):
@@ -50,3 +50,13 @@ def test_catalog_lists_views_and_tables(spark, tables):
     found = {r.table_name: r.is_temporary for r in catalog_overview(spark).collect()}
     assert found["region_view"] is True
     spark.catalog.dropTempView("region_view")
+
+
+def test_rebalanced_write_keeps_every_row(spark, tables):
+    lines = tables.lineitem.select("l_orderkey", "l_linenumber").repartition(8)
+    plain = write_table(lines, workspace(spark, "plain"), partition_by=["l_linenumber"])
+    even = write_table(lines, workspace(spark, "even"), partition_by=["l_linenumber"], rebalance=True)
+    files = lambda df: df.select("_metadata.file_path").distinct().count()
+    assert files(plain) == 56 and files(even) < 20
+    assert even.columns == ["l_orderkey", "l_linenumber"]
+    assert plain.exceptAll(even).isEmpty() and plain.count() == even.count()

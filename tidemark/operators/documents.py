@@ -7,6 +7,7 @@ embedder, run in Python on Arrow batches. Texts are always processed whole.
 
 from __future__ import annotations
 
+import html as html_lib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,7 +18,7 @@ from tidemark.functions.text import WHITESPACE, extract_fields, fold_elements, s
 from tidemark.functions.vectors import EPSILON, Embedder, hashed_embedder
 from tidemark.session import spread
 
-# Named character references decoded by html_to_text (the ampersand comes last).
+# Character references decoded by built-in expressions (the ampersand comes last).
 ENTITIES = {
     "&lt;": "<",
     "&gt;": ">",
@@ -52,10 +53,26 @@ LANGUAGE = r"(?i)<html[^>]*\blang=[\"']?([a-zA-Z-]+)"
 SENTENCE_BREAK = f"(?<=[.!?]){WHITESPACE}++"
 
 
-def unescape(text: Column) -> Column:
+# A reference that is not among them: such a text is decoded by the standard library instead.
+OTHER_ENTITY = "&(?!(?:" + "|".join(e[1:-1] for e in ENTITIES) + ");)(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+
+
+def _unescape_any():
+    @F.pandas_udf("string")
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(html_lib.unescape, na_action="ignore")
+
+    return decode
+
+
+def unescape(text: str) -> Column:
+    """Decode the character references of a text column. Only texts with an uncommon reference
+    are sent to Python; the rest arrive there as NULL."""
+    native = F.col(text)
     for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+        native = F.replace(native, F.lit(entity), F.lit(char))
+    uncommon = F.when(F.regexp_like(text, F.lit(OTHER_ENTITY)), F.col(text))
+    return F.coalesce(_unescape_any()(uncommon), native)
 
 
 def html_to_text(pages: DataFrame, url: str = "url", html: str = "html", separator: str = "") -> DataFrame:
@@ -66,15 +83,15 @@ def html_to_text(pages: DataFrame, url: str = "url", html: str = "html", separat
     body = F.col(html)
     for pattern in HIDDEN:
         body = F.regexp_replace(body, pattern, "")
-    body = unescape(F.regexp_replace(body, TAG, separator))
-    return spread(pages).withColumns(
+    parts = spread(pages).withColumns(
         {
             "source": F.col(url),
-            "title": unescape(F.regexp_extract(html, TITLE, 1)),
+            "title": F.regexp_extract(html, TITLE, 1),
             "language": F.regexp_extract(html, LANGUAGE, 1),
-            "page_text": body,
+            "page_text": F.regexp_replace(body, TAG, separator),
         }
-    ).drop(html, url)
+    )
+    return parts.drop(html, url).withColumns({"title": unescape("title"), "page_text": unescape("page_text")})
 
 
 def _check_window(size: int, overlap: int) -> int:

@@ -78,7 +78,8 @@ def vector_topk(
     out = pa.schema([("query_id", pa.int64()), (vec_id, pa.int64()), ("similarity", pa.float64())])
     job = _partial_top_k([0], queries, k, vec_id, vector, out)
     ddl = f"query_id bigint, `{vec_id}` bigint, similarity double"
-    partial = vectors.select(F.col(vec_id).cast("long").alias(vec_id), vector).mapInArrow(job, ddl)
+    stored = vectors.select(F.col(vec_id).cast("long").alias(vec_id), vector).filter(F.col(vector).isNotNull())
+    partial = stored.mapInArrow(job, ddl)
     return partial.drop("query_id").orderBy(F.col("similarity").desc(), F.col(vec_id)).limit(k)
 
 
@@ -100,8 +101,9 @@ def vector_topk_batch(
     blocks is one task-sized matrix product. Either way only ``k`` rows per query and task or
     block reach the final ranking.
     """
-    v = vectors.select(F.col(vec_id).cast("long").alias(vec_id), vector)
+    v = vectors.select(F.col(vec_id).cast("long").alias(vec_id), vector).filter(F.col(vector).isNotNull())
     q = queries.select(F.col(query_id).cast("long").alias(query_id), query_vector)
+    q = q.filter(F.col(query_vector).isNotNull())
     ddl = f"`{query_id}` bigint, `{vec_id}` bigint, similarity double"
     out = pa.schema([(query_id, pa.int64()), (vec_id, pa.int64()), ("similarity", pa.float64())])
     few = q.limit(query_limit + 1).collect()

@@ -120,6 +120,10 @@ class VersionedTable:
         times = self.history().select(F.col("version").alias(VERSION), F.col("timestamp").alias(COMMIT_TIME))
         return feed.join(broadcast_if_small(times), VERSION).select(*schema.names, CHANGE_TYPE, VERSION, COMMIT_TIME)
 
+    def snapshot_path(self, version: int) -> str:
+        """Folder of the snapshot that ``create`` or ``compact`` wrote as ``version``."""
+        return f"{self.path}/snapshots/{VERSION}={version}"
+
     def _folder(self, kind: str, version: int, schema: StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}/{VERSION}={version}")
 

@@ -49,7 +49,7 @@ def run_flight_pipeline(
     """Run every stage on what is available now; a later run picks up only new files.
 
     Rows are given a ``flight_id`` at ingestion unless the landing schema has one. After the
-    change events silver is no longer append-only, so the gold streams read a snapshot of it.
+    change events silver is no longer append-only, so the gold streams read its newest snapshot.
     """
     ck = f"{out}/checkpoints"
     raw = with_ingestion_ts(stream_files(spark, landing, landing_schema, "csv", rescue=True), "yyyy-MM-dd HH:mm:ss")
@@ -61,9 +61,8 @@ def run_flight_pipeline(
     drain(enriched, load_batch(silver, f"{ck}/silver"), f"{ck}/silver")
     if cdc is not None:
         run_cdc_stream(stream_files(spark, cdc, CDC_SCHEMA, "json"), silver, f"{ck}/cdc")
-    version = silver.latest_version()
-    snapshot = f"{out}/silver/snapshot-{version}"
-    silver.as_of().write.mode("overwrite").parquet(snapshot)
+    version = silver.compact()
+    snapshot = silver.snapshot_path(version)
     tables = {"bronze": bronze, "silver": silver.as_of()}
     for name in gold if gold is not None else GOLD:
         frame = GOLD[name](stream_table(spark, snapshot), "event_timestamp")

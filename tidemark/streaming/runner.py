@@ -53,8 +53,8 @@ def run_stream(
         _finish(writer.foreachBatch(_overwrite(path)).start(), trigger)
         return stored(spark, path, df)
     _finish(writer.foreachBatch(_keep_batch(path)).start(), trigger)
-    latest = spark.read.schema(df.schema.add(BATCH, "long")).option("basePath", path).parquet(path)
-    return top_n_per_key(latest, keys, [F.col(BATCH).desc()]).drop(BATCH) if keys else latest
+    changed = stored(spark, path, df.withColumn(BATCH, F.lit(0).cast("long")))
+    return top_n_per_key(changed, keys, [F.col(BATCH).desc()]).drop(BATCH) if keys else changed
 
 
 def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
