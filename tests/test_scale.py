@@ -63,7 +63,7 @@ def test_sample_bound_does_not_change_the_sample(spark):
     df = spark.range(20_000).withColumnRenamed("id", "k")
     want = df.orderBy(F.md5(F.col("k").cast("string")), "k").limit(50)
     sampled = sample_n(df, 50, "k")
-    assert "4.2949" in plan_of(sampled)  # the hash bound is in use
+    assert "sample-" in plan_of(sampled)  # only the rows under the hash bound are sorted
     assert rows(sampled) == rows(want)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import range_partition
 from tidemark.operators.ordered import top_n_per_key
-from tidemark.session import broadcast_if_small
+from tidemark.session import broadcast_if_small, materialize
 
 
 def quality_filter(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -70,7 +70,8 @@ def sample_n(df: DataFrame, n: int, key: str) -> DataFrame:
     """``n`` rows picked by the md5 order of a unique ``key``: random-looking yet repeatable.
 
     Hashes of unique keys are uniform, so all but about ``n`` rows are dropped by a hash bound
-    before the sort. Should the bound keep fewer than ``n`` rows, it is not used.
+    before the sort, and the rest is stored so that it is picked out only once. Should the bound
+    keep fewer than ``n`` rows, it is not used.
     """
     digest = F.md5(F.col(key).cast("string"))
     total = df.count()
@@ -78,8 +79,8 @@ def sample_n(df: DataFrame, n: int, key: str) -> DataFrame:
     wanted = n + 10 * int(n**0.5) + 100
     if total > 4 * wanted:
         fraction = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-        bounded = df.filter(fraction < F.lit(wanted / total))
-        if bounded.select(key).count() >= n:
+        bounded = materialize(df.filter(fraction < F.lit(wanted / total)), "sample")
+        if bounded.count() >= n:
             candidates = bounded
     return candidates.orderBy(digest, F.col(key)).limit(n)
 

@@ -111,7 +111,8 @@ def run_taxi_pipeline(spark: SparkSession, loads: list[DataFrame], zones: DataFr
     for df in later:
         bronze.append(df)
     clean = write_table(clean_trips(bronze.as_of()), f"{out}/silver/taxi_trips_clean")
-    merged = apply_payment_updates(clean, payment_updates(clean.drop("ingestion_timestamp")))
+    updates = write_table(payment_updates(clean.drop("ingestion_timestamp")), f"{out}/silver/payment_updates")
+    merged = apply_payment_updates(clean, updates)
     silver = write_table(with_driver_notes(merged), f"{out}/silver/taxi_trips")
     vendors = split_by_key(silver, "VendorID", VENDORS, f"{out}/silver/by_vendor")
     lookup = write_table(zones, f"{out}/bronze/taxi_zone_lookup")

@@ -119,9 +119,9 @@ def with_derived(t: Tables) -> DataFrame:
     return derived.drop("p_size", "p_retailprice")
 
 
-@query("rename_col", "SELECT n_nationkey, n_name AS nation_name, n_regionkey FROM nation")
+@query("rename_col", "SELECT c_custkey, c_name AS customer_name, c_acctbal FROM customer")
 def rename_col(t: Tables) -> DataFrame:
-    return t.nation.withColumnRenamed("n_name", "nation_name")
+    return t.customer.select("c_custkey", "c_name", "c_acctbal").withColumnRenamed("c_name", "customer_name")
 
 
 @query(

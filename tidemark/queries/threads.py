@@ -30,12 +30,12 @@ def thread_last_n(t: Tables) -> DataFrame:
 
 @query(
     "thread_last_write",
-    "SELECT conv_id, max_by(left(text, 80), turn) FILTER (role = 'user') AS preference, "
+    "SELECT conv_id, max_by(text, turn) FILTER (role = 'user') AS preference, "
     "max(turn) FILTER (role = 'user') AS written_at FROM conversations GROUP BY conv_id",
 )
 def thread_last_write(t: Tables) -> DataFrame:
     """The newest user message of a thread is its stated preference."""
-    value = F.when(F.col("role") == "user", F.left("text", F.lit(80)))
+    value = F.when(F.col("role") == "user", F.col("text"))
     return threads.latest_state(t.conversations, value, "preference")
 
 

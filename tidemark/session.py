@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import shutil
+import sys
 import tempfile
 import uuid
 
@@ -47,13 +48,14 @@ def ship_package(spark: SparkSession) -> None:
 
     Needed where executors cannot import it by themselves (no ``--py-files``, other folder).
     """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
+    app = spark.conf.get("spark.app.id", "local")
+    if app in _shipped:
         return
     package = os.path.dirname(os.path.abspath(__file__))
     archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-ship-"), "tidemark")
-    context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
-    _shipped.add(context.applicationId)
+    zipped = shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.addArtifacts(zipped, pyfile=True)
+    _shipped.add(app)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -62,7 +64,10 @@ def estimated_bytes(df: DataFrame) -> int:
     Without column statistics the estimate never shrinks under filters and multiplies
     under joins, so it errs on the large side.
     """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    plan = getattr(df, "_jdf", None)
+    if plan is None:  # a Connect client cannot see it: leave the choice to the server
+        return sys.maxsize
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
