@@ -23,7 +23,7 @@ SKETCH_BITS = 512
 ERRORS = 5
 
 # Members of a bucket that meet in one join key; the pairs of blocks of larger buckets are dealt out.
-BLOCK = 256
+BLOCK = 4096
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -215,7 +215,7 @@ def near_duplicates(
         blocks = F.ceil(F.col("members") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("rep"), blocks).cast("int").alias(mine)
         frame = frame.select("*", own, F.explode(F.sequence(F.lit(0), blocks - 1)).alias(other))
-        return frame.select("key", "i", "j", *(F.col(c).alias(f"{c}_{side}") for c in frame.columns if c not in ("key", "i", "j")))
+        return frame.select("i", "j", *(F.col(c).alias(f"{c}_{side}") for c in frame.columns if c not in ("i", "j")))
 
     def differing(left: str, right: str) -> Column:
         return sum((F.bit_count(F.col(f"{s}_{left}").bitwiseXOR(F.col(f"{s}_{right}"))) for s in sketch), F.lit(0))
@@ -227,12 +227,12 @@ def near_duplicates(
     def meeting(frame: DataFrame, more: Column, how: str) -> DataFrame:
         """Members of a bucket against each other, block by block."""
         left, right = dealt(frame, "a", "i", "j"), dealt(frame, "b", "j", "i")
-        same = (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
+        same = (F.col("key_a") == F.col("key_b")) & (left["i"] == right["i"]) & (left["j"] == right["j"])
         return left.join(right.hint("merge"), same & likely("a", "b") & more, how)
 
     partnered = meeting(member, F.col("rep_a") != F.col("rep_b"), "left_semi")
     member = stored(
-        partnered.select("key", *(F.col(f"{c}_a").alias(c) for c in ("rep", "members", "n", *sketch))).distinct(), "partnered"
+        partnered.select(*(F.col(f"{c}_a").alias(c) for c in ("key", "rep", "members", "n", *sketch))).distinct(), "partnered"
     )
 
     ids = stored(member.select("rep").distinct(), "candidates")
@@ -254,8 +254,12 @@ def near_duplicates(
     told = told.select(*member.columns, F.coalesce("component", "rep").alias("group"))
     open_keys = told.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
     still = stored(told.join(open_keys.select("key").hint("merge"), "key", "left_semi"), "open")
+    own_keys = still.groupBy("rep").agg(F.collect_set("key").alias("open"))  # one for each band at most
+    still = stored(still.join(own_keys, "rep"), "meeting")
     apart = (F.col("rep_a") < F.col("rep_b")) & (F.col("group_a") != F.col("group_b"))
-    rest = meeting(still, apart, "inner").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    # A pair comes out of one of the buckets that it shares, not of each.
+    once = F.array_min(F.array_intersect("open_a", "open_b")) == F.col("key_a")
+    rest = meeting(still, apart & once, "inner").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     more = stored(_confirmed(stored(rest, "rest"), sets, percent), "more")
 
     whole = stored(components(links.union(more)), "components")
