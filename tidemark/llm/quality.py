@@ -148,6 +148,15 @@ def features(docs: DataFrame) -> DataFrame:
     return map_batches(frame, make, schema)
 
 
+def _some(frame: DataFrame, rows: int) -> pd.DataFrame:
+    """``rows`` rows at most, the same in every run. What comes to the driver is cut by a hash first, as the best of
+    each task would be too much where there are many tasks."""
+    n = frame.count()
+    if n > rows:
+        frame = frame.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 1.2 * rows / n * 1_000_003 + 8)
+    return frame.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).toPandas()
+
+
 def _matrix(frame: pd.DataFrame, view: str) -> np.ndarray:
     return np.stack(frame[view].to_numpy()) if len(frame) else np.empty((0, 0))
 
@@ -166,8 +175,8 @@ def _confident(pool: DataFrame, model: Logistic, view: str, given: int) -> tuple
     told = map_batches(pool, make, schema)
     parts, classes = [], []
     for y, sure in ((1, F.col("sure")), (0, 1 - F.col("sure"))):
-        # By hash among the sure: the surest alone are all of one kind.
-        best = told.where(sure >= CONFIDENT).orderBy(F.xxhash64("doc_id"), "doc_id").limit(given).toPandas()
+        # Any of the sure: the surest alone are all of one kind.
+        best = _some(told.where(sure >= CONFIDENT), given)
         parts.append(best)
         classes.append(np.full(len(best), y))
     return pd.concat(parts, ignore_index=True), np.concatenate(classes)
@@ -190,7 +199,7 @@ def fit(
     told = labels.groupBy("doc_id").agg(F.avg("quality").alias("quality")).where("quality in (0.0, 1.0)")
     rows = stored(features(docs), "features")
     named = stored(rows.join(told.hint("merge"), "doc_id"), "labelled")
-    sample = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).toPandas()
+    sample = _some(named, labelled)
     if len(sample) < 8 or sample["quality"].nunique() < 2:
         return None
     pool = rows.join(told.select("doc_id").hint("merge"), "doc_id", "left_anti") if rounds else rows
