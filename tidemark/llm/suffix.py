@@ -255,6 +255,20 @@ def _tree(name: str, tables, depth: int) -> Tree:
     return _trees[name]
 
 
+def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The words from a count on that ``most`` words reach at the most, found by a histogram of the counts' logarithms:
+    no task sorts or gathers the vocabulary."""
+    step = F.floor(F.log2("n") * 64).cast("int")  # some thousand steps, whatever the counts
+    found = counted.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
+    reached, least = 0, math.inf
+    for row in sorted(found, key=lambda r: -r["step"]):
+        reached += row["words"]
+        if reached > most:
+            break
+        least = row["step"]
+    return counted.where(step >= least) if found and least < math.inf else counted.where("false")
+
+
 def score(docs: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN, hot: int = HOT_WORDS) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per document.
 
@@ -277,11 +291,9 @@ def score(docs: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min
     counted = stored(count_words(train), "words")
     n, v = counted.agg(F.sum("n"), F.count("*")).first()
     n, norm = n or 0, (n or 0) + ADDED * (v + 1)
-    top = counted.orderBy(F.desc("n"), "word").limit(hot).toArrow() if n else None
-    logs = {}
-    if top is not None:
-        values = np.log10((top.column("n").to_numpy() + ADDED) / norm).tolist()
-        logs = dict(zip((w.encode() for w in top.column("word").to_pylist()), values, strict=True))
+    top = _most_frequent(counted, hot).toArrow()
+    values = np.log10((top.column("n").to_numpy() + ADDED) / norm).tolist()
+    logs = dict(zip((w.encode() for w in top.column("word").to_pylist()), values, strict=True))
     tables = learn(train, depth, min_share, min_gain)
     sent = spark.sparkContext.broadcast((logs, tables))
     name = uuid4().hex
