@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, exact, minhash, mixing, quality
-from tidemark.llm.common import hint_if_counted, stored
+from tidemark.llm.common import hint_if_counted, prepare, stored
 from tidemark.llm.queries import BYTE_BPE
-from tidemark.session import ship_package
 
 # Words of a shingle for near duplicates.
 SHINGLE = 5
@@ -25,13 +24,13 @@ def _without(docs: DataFrame, told: DataFrame) -> DataFrame:
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the co-trained classifier rejects."""
-    ship_package(spark)
+    prepare(spark)
     return quality.good(docs, quality.fit(docs, quality.read_labels(spark, sf_dir)))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts keep the document with the largest id. A row that repeats both id and text goes too."""
-    ship_package(spark)
+    prepare(spark)
     told = stored(exact.exact_groups(docs), "copies")
     left = _without(docs, told)
     # An id that keeps one row and loses another has the same text twice, or two texts.
@@ -47,13 +46,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near duplicates."""
-    ship_package(spark)
+    prepare(spark)
     return _without(docs, minhash.near_duplicates(docs, size=SHINGLE))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or drop documents so that sources have their target shares of the words."""
-    ship_package(spark)
+    prepare(spark)
     sizes = stored(mixing.document_sizes(docs), "sizes")
     copied = mixing.with_copies(docs, stored(mixing.mixing_plan(sizes), "plan"), "_copies_taken")
     copied = copied.where("_copies_taken > 0")
@@ -62,7 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded_sha256)`` of each copy: the ids, and the digest of what they decode to."""
-    ship_package(spark)
+    prepare(spark)
     ids = bpe.encode(docs, BYTE_BPE).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("ids").alias("again"))
     told = bpe.decode(ids, BYTE_BPE, ids="again")
     return told.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -82,7 +81,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn, each reading what the one before it wrote."""
-    ship_package(spark)
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, counts, exact, minhash, mixing, pii, quality, suffix, vectors, warc
-from tidemark.session import ship_package
+from tidemark.llm.common import prepare
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -126,7 +126,7 @@ SQL: dict[str, str] = {
 
 
 def _run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return QUERIES[name](spark, sf_dir.rstrip("/"))
 
 
