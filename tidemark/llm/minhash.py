@@ -25,6 +25,9 @@ ERRORS = 5
 # Members of a bucket that meet in one join key; the pairs of blocks of larger buckets are dealt out.
 BLOCK = 4096
 
+# Rounds in which each class is confirmed against one pivot only, before all that is left is compared.
+PIVOT_ROUNDS = 3
+
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -239,21 +242,26 @@ def near_duplicates(
     few = hint_if_counted(ids.withColumnRenamed("rep", "doc_id"), ids.count())
     sets = stored(shingle_sets(texts(docs).join(few, "doc_id", "left_semi"), size), "sets")
 
-    # One pair for each class: the likeliest of the pivots of its buckets.
-    turn = F.struct(F.xxhash64("rep", "key").alias("h"), *("rep", "n", *sketch))
-    pivot = member.groupBy("key").agg(F.min(turn).alias("p"))
-    pivot = stored(pivot.select("key", *(F.col(f"p.{c}").alias(f"{c}_b") for c in ("rep", "n", *sketch))), "pivots")
-    tried = member.select("key", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", *sketch))).join(pivot.hint("merge"), "key")
-    best = F.min(F.struct(differing("a", "b").alias("z"), F.col("rep_b").alias("b"))).alias("best")
-    first = tried.where((F.col("rep_a") != F.col("rep_b")) & likely("a", "b")).groupBy(F.col("rep_a").alias("a")).agg(best)
-    links = stored(_confirmed(stored(first.select("a", "best.b"), "tried"), sets, percent), "links")
+    # One pair for each class: the likeliest of the pivots of its buckets. Then again, with other pivots, for classes
+    # that share a bucket with one they are not connected with.
+    links, still = None, member.withColumn("group", F.col("rep"))
+    for turn in range(PIVOT_ROUNDS):
+        order = F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("h"), *("rep", "n", "group", *sketch))
+        pivot = still.groupBy("key").agg(F.min(order).alias("p"))
+        pivot = stored(pivot.select("key", *(F.col(f"p.{c}").alias(f"{c}_b") for c in ("rep", "n", "group", *sketch))), "pivots")
+        tried = still.select("key", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "group", *sketch)))
+        tried = tried.join(pivot.hint("merge"), "key").where((F.col("group_a") != F.col("group_b")) & likely("a", "b"))
+        best = F.min(F.struct(differing("a", "b").alias("z"), F.col("rep_b").alias("b"))).alias("best")
+        first = stored(tried.groupBy(F.col("rep_a").alias("a")).agg(best).select("a", "best.b"), "tried")
+        found_links = _confirmed(first, sets, percent)
+        links = stored(found_links if links is None else links.union(found_links), "links")
+        group = stored(components(links), "groups")
+        told = member.join(group.hint("merge"), F.col("rep") == F.col("node"), "left")
+        told = told.select(*member.columns, F.coalesce("component", "rep").alias("group"))
+        open_keys = told.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
+        still = stored(told.join(open_keys.select("key").hint("merge"), "key", "left_semi"), "open")
 
     # All pairs that those links leave unconnected.
-    group = stored(components(links), "groups")
-    told = member.join(group.hint("merge"), F.col("rep") == F.col("node"), "left")
-    told = told.select(*member.columns, F.coalesce("component", "rep").alias("group"))
-    open_keys = told.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
-    still = stored(told.join(open_keys.select("key").hint("merge"), "key", "left_semi"), "open")
     own_keys = still.groupBy("rep").agg(F.collect_set("key").alias("open"))  # one for each band at most
     still = stored(still.join(own_keys, "rep"), "meeting")
     apart = (F.col("rep_a") < F.col("rep_b")) & (F.col("group_a") != F.col("group_b"))
