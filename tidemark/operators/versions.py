@@ -57,7 +57,9 @@ class VersionedTable:
         """version, timestamp, operation and row metrics, one row per committed version."""
         try:
             return self.spark.read.schema(HISTORY_SCHEMA).json(f"{self.path}/history")
-        except AnalysisException:
+        except AnalysisException as error:  # a history that is there but cannot be read is no new table
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
 
     def _log(self) -> list:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,6 +22,7 @@ def run_stream(
     checkpoint: str | None = None,
     keys: Sequence[str] = (),
     trigger: dict | None = None,
+    seconds: float = 10.0,
 ) -> DataFrame:
     """Drive ``df`` over all input at hand and return what the sink holds.
 
@@ -31,8 +32,8 @@ def run_stream(
     batch overwrites its own folder. ``sink="memory"`` holds the result in the driver: only for
     results known to be small.
 
-    The default trigger is ``availableNow``; a clock trigger such as
-    ``{"processingTime": "5 seconds"}`` is stopped once it has caught up.
+    The default trigger is ``availableNow``. A query with a clock trigger such as ``{"processingTime": "5 seconds"}``
+    has no end of its own: it runs for ``seconds`` and is then stopped, whether or not its source goes on.
     """
     spark = df.sparkSession
     path = path or workspace(spark, "stream")
@@ -41,18 +42,18 @@ def run_stream(
     writer = writer.trigger(**trigger)
     name = f"{sink}_" + path.rsplit("-", 1)[-1]
     if sink == "memory":
-        _finish(writer.format("memory").queryName(name).start(), trigger)
+        _finish(writer.format("memory").queryName(name).start(), trigger, seconds)
         return spark.table(name)
     if sink == "table":
-        _finish(writer.option("path", path).format("parquet").toTable(name), trigger)
+        _finish(writer.option("path", path).format("parquet").toTable(name), trigger, seconds)
         return spark.table(name)
     if mode == "append":
-        _finish(writer.format("parquet").start(path), trigger)
+        _finish(writer.format("parquet").start(path), trigger, seconds)
         return stored(spark, path, df)
     if mode == "complete":
-        _finish(writer.foreachBatch(_overwrite(path)).start(), trigger)
+        _finish(writer.foreachBatch(_overwrite(path)).start(), trigger, seconds)
         return stored(spark, path, df)
-    _finish(writer.foreachBatch(_keep_batch(path)).start(), trigger)
+    _finish(writer.foreachBatch(_keep_batch(path)).start(), trigger, seconds)
     changed = stored(spark, path, df.withColumn(BATCH, F.lit(0).cast("long")))
     return top_n_per_key(changed, keys, [F.col(BATCH).desc()]).drop(BATCH) if keys else changed
 
@@ -61,16 +62,18 @@ def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """What a sink wrote so far; empty if nothing has been written yet."""
     try:
         return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], like.schema)
 
 
-def _finish(query: StreamingQuery, trigger: dict) -> None:
+def _finish(query: StreamingQuery, trigger: dict, seconds: float) -> None:
     try:
         if "availableNow" in trigger or "once" in trigger:
             query.awaitTermination()
         else:
-            query.processAllAvailable()
+            query.awaitTermination(seconds)
     finally:
         query.stop()
 
@@ -92,9 +95,16 @@ def _keep_batch(path: str) -> Callable[[DataFrame, int], None]:
 def run_with_retry(
     start: Callable[[str], DataFrame], spark: SparkSession, checkpoint: str | None = None, label: str = "retry"
 ) -> DataFrame:
-    """``start(checkpoint)``; if it fails, once more with a fresh checkpoint."""
+    """``start(checkpoint)``; if it fails, once more with a fresh checkpoint.
+
+    ``start`` must write to a sink of its own for each checkpoint, for instance a folder named after it: a file sink
+    remembers batch numbers, and would leave out the rows of a new checkpoint that counts from 0 again. A stream that
+    fails in mid-run (``StreamingQueryException``) keeps its checkpoint and is not retried.
+    """
     try:
         return start(checkpoint or workspace(spark, f"{label}-checkpoint"))
-    except Exception as first:  # noqa: BLE001 - any start-up failure earns the one retry
+    except StreamingQueryException:
+        raise
+    except Exception as first:  # noqa: BLE001 - any failure to start earns the one retry
         print(f"stream failed ({type(first).__name__}); retrying once with a fresh checkpoint")
         return start(workspace(spark, f"{label}-checkpoint"))
