@@ -25,6 +25,9 @@ ERRORS = 5
 # Members of a bucket that meet in one join key; the pairs of blocks of larger buckets are dealt out.
 BLOCK = 4096
 
+# Bytes of shingle sets that meet in one join key where sets are compared inside a join.
+BLOCK_BYTES = 32 << 20
+
 # Rounds in which each class is confirmed against one pivot only, before all that is left is compared.
 PIVOT_ROUNDS = 3
 
@@ -166,15 +169,19 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return map_batches(frame, make, schema)
 
 
+def _similar(a: str, b: str, percent: int) -> Column:
+    """Whether two columns with shingle sets reach the similarity."""
+    both = F.size(F.array_intersect(a, b))
+    return 100 * both >= percent * (F.size(a) + F.size(b) - both)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the similarity. Both joins are of two stored or shuffled sides, so
     that a document in very many pairs is split."""
     for end in ("a", "b"):
         own = sets.select(F.col("rep").alias(end), F.col("shingles").alias(f"set_{end}"))
         pairs = pairs.join(own.hint("merge"), end)
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - both
-    return pairs.where(100 * both >= percent * union).select("a", "b")
+    return pairs.where(_similar("set_a", "set_b", percent)).select("a", "b")
 
 
 def near_duplicates(
@@ -189,10 +196,11 @@ def near_duplicates(
        count of the XOR, may reach the threshold are left out by a semi join, which gives out no pairs.
     3. Each class is confirmed against the likeliest of the pivots of its buckets. What these links connect
        needs no further comparison, which takes the square out of large groups of near copies.
-    4. All remaining pairs of a bucket that are not connected yet and may reach the threshold are confirmed.
+    4. Classes with a partner in a bucket that they are not connected with yet and that the sketch lets through
+       meet there again, with their sets. These are compared inside the join, so that only links leave it.
 
-    In 2 and 4 a large bucket's pairs of blocks are dealt out over many join keys, and only pairs that pass
-    leave the join. Links are confirmed on whole sets of 64-bit shingle hashes. No bucket is cut or skipped.
+    In 2 and 4 a large bucket's pairs of blocks are dealt out over many join keys, in 4 by the bytes of its sets.
+    Links are confirmed on whole sets of 64-bit shingle hashes. No bucket is cut or skipped.
 
     A text without words (also null or empty) has no shingles and links with nothing; one with fewer words
     than ``size`` has one. Rows with the same doc_id count as one document. A row without doc_id links with
@@ -214,8 +222,7 @@ def near_duplicates(
     sketches = reps.select("rep", "n", *sketch)
     member = stored(at.join(buckets, "key").join(sketches.hint("merge"), "rep"), "members")
 
-    def dealt(frame: DataFrame, side: str, mine: str, other: str) -> DataFrame:
-        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    def dealt(frame: DataFrame, side: str, mine: str, other: str, blocks: Column) -> DataFrame:
         own = F.pmod(F.xxhash64("rep"), blocks).cast("int").alias(mine)
         frame = frame.select("*", own, F.explode(F.sequence(F.lit(0), blocks - 1)).alias(other))
         return frame.select("i", "j", *(F.col(c).alias(f"{c}_{side}") for c in frame.columns if c not in ("i", "j")))
@@ -227,9 +234,11 @@ def near_duplicates(
         small, large = (f(f"n_{left}", f"n_{right}") for f in (F.least, F.greatest))
         return (100 * small >= percent * large) & (differing(left, right) <= most)
 
-    def meeting(frame: DataFrame, more: Column, how: str) -> DataFrame:
+    by_rows = F.ceil(F.col("members") / BLOCK).cast("int")
+
+    def meeting(frame: DataFrame, more: Column, how: str, blocks: Column = by_rows) -> DataFrame:
         """Members of a bucket against each other, block by block."""
-        left, right = dealt(frame, "a", "i", "j"), dealt(frame, "b", "j", "i")
+        left, right = dealt(frame, "a", "i", "j", blocks), dealt(frame, "b", "j", "i", blocks)
         same = (F.col("key_a") == F.col("key_b")) & (left["i"] == right["i"]) & (left["j"] == right["j"])
         return left.join(right.hint("merge"), same & likely("a", "b") & more, how)
 
@@ -261,14 +270,19 @@ def near_duplicates(
         open_keys = told.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
         still = stored(told.join(open_keys.select("key").hint("merge"), "key", "left_semi"), "open")
 
-    # All pairs that those links leave unconnected.
+    # All pairs that those links leave unconnected. A pair meets in one of the buckets that it shares, not in each.
     own_keys = still.groupBy("rep").agg(F.collect_set("key").alias("open"))  # one for each band at most
     still = stored(still.join(own_keys, "rep"), "meeting")
-    apart = (F.col("rep_a") < F.col("rep_b")) & (F.col("group_a") != F.col("group_b"))
-    # A pair comes out of one of the buckets that it shares, not of each.
     once = F.array_min(F.array_intersect("open_a", "open_b")) == F.col("key_a")
-    rest = meeting(still, apart & once, "inner").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-    more = stored(_confirmed(stored(rest, "rest"), sets, percent), "more")
+    apart = (F.col("group_a") != F.col("group_b")) & once
+    told = ("key", "rep", "members", "n", "group", "open", *sketch)
+    left = stored(meeting(still, apart, "left_semi").select(*(F.col(f"{c}_a").alias(c) for c in told)), "left")
+    room = left.groupBy("key").agg(F.sum("n").alias("together")).select("key", "together")
+    left = left.join(room, "key").join(sets.hint("merge"), "rep")
+    by_bytes = F.ceil(8 * F.col("together") / BLOCK_BYTES).cast("int")
+    linked = (F.col("rep_a") < F.col("rep_b")) & apart & _similar("shingles_a", "shingles_b", percent)
+    rest = meeting(left, linked, "inner", by_bytes).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    more = stored(rest, "more")
 
     whole = stored(components(links.union(more)), "components")
     mine = found.select("doc_id", "n", "set_id").join(
