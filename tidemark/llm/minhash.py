@@ -29,7 +29,7 @@ BLOCK = 4096
 BLOCK_BYTES = 32 << 20
 
 # Rounds in which each class is confirmed against one pivot only, before all that is left is compared.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,8 +171,8 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
 
 def _similar(a: str, b: str, percent: int) -> Column:
     """Whether two columns with shingle sets reach the similarity."""
-    both = F.size(F.array_intersect(a, b))
-    return 100 * both >= percent * (F.size(a) + F.size(b) - both)
+    both = F.size(F.array_intersect(a, b)).cast("long")  # named once: a join condition computes each mention anew
+    return (100 + percent) * both >= percent * (F.size(a).cast("long") + F.size(b))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
