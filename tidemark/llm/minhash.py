@@ -29,7 +29,7 @@ BLOCK = 4096
 BLOCK_BYTES = 32 << 20
 
 # Rounds in which each class is confirmed against one pivot only, before all that is left is compared.
-PIVOT_ROUNDS = 1
+PIVOT_ROUNDS = 2
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
