@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -28,9 +29,6 @@ BLOCK = 4096
 # Bytes of shingle sets that meet in one join key where sets are compared inside a join.
 BLOCK_BYTES = 32 << 20
 
-# Rounds in which each class is confirmed against one pivot only, before all that is left is compared.
-PIVOT_ROUNDS = 2
-
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -194,8 +192,9 @@ def near_duplicates(
        however many, meet no other comparison.
     2. Classes that share a band key are candidates. Those without a partner whose sketch, by the population
        count of the XOR, may reach the threshold are left out by a semi join, which gives out no pairs.
-    3. Each class is confirmed against the likeliest of the pivots of its buckets. What these links connect
-       needs no further comparison, which takes the square out of large groups of near copies.
+    3. Each class is confirmed against two of the pivots of its buckets, the likeliest one and a hub that buckets
+       share. What these links connect needs no further comparison, which takes the square out of large groups of
+       near copies.
     4. Classes with a partner in a bucket that they are not connected with yet and that the sketch lets through
        meet there again, with their sets. These are compared inside the join, so that only links leave it.
 
@@ -217,7 +216,7 @@ def near_duplicates(
     )
 
     # Buckets of two or more classes, and their members with sketches.
-    at = reps.select("rep", F.explode("keys").alias("key"))
+    at = reps.select("rep", F.posexplode("keys").alias("band", "key"))
     buckets = at.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     sketches = reps.select("rep", "n", *sketch)
     member = stored(at.join(buckets, "key").join(sketches.hint("merge"), "rep"), "members")
@@ -244,47 +243,56 @@ def near_duplicates(
 
     partnered = meeting(member, F.col("rep_a") != F.col("rep_b"), "left_semi")
     member = stored(
-        partnered.select(*(F.col(f"{c}_a").alias(c) for c in ("key", "rep", "members", "n", *sketch))).distinct(), "partnered"
+        partnered.select(*(F.col(f"{c}_a").alias(c) for c in ("key", "band", "rep", "members", "n", *sketch))).distinct(), "partnered"
     )
 
     ids = stored(member.select("rep").distinct(), "candidates")
     few = hint_if_counted(ids.withColumnRenamed("rep", "doc_id"), ids.count())
     sets = stored(shingle_sets(texts(docs).join(few, "doc_id", "left_semi"), size), "sets")
 
-    # One pair for each class: the likeliest of the pivots of its buckets. Then again, with other pivots, for classes
-    # that share a bucket with one they are not connected with.
-    links, still = None, member.withColumn("group", F.col("rep"))
-    for turn in range(PIVOT_ROUNDS):
-        order = F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("h"), *("rep", "n", "group", *sketch))
-        pivot = still.groupBy("key").agg(F.min(order).alias("p"))
-        pivot = stored(pivot.select("key", *(F.col(f"p.{c}").alias(f"{c}_b") for c in ("rep", "n", "group", *sketch))), "pivots")
-        tried = still.select("key", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "group", *sketch)))
-        tried = tried.join(pivot.hint("merge"), "key").where((F.col("group_a") != F.col("group_b")) & likely("a", "b"))
-        best = F.min(F.struct(differing("a", "b").alias("z"), F.col("rep_b").alias("b"))).alias("best")
-        first = stored(tried.groupBy(F.col("rep_a").alias("a")).agg(best).select("a", "best.b"), "tried")
-        found_links = _confirmed(first, sets, percent)
-        links = stored(found_links if links is None else links.union(found_links), "links")
-        group = stored(components(links), "groups")
-        told = member.join(group.hint("merge"), F.col("rep") == F.col("node"), "left")
-        told = told.select(*member.columns, F.coalesce("component", "rep").alias("group"))
-        open_keys = told.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
-        still = stored(told.join(open_keys.select("key").hint("merge"), "key", "left_semi"), "open")
+    # Each bucket has two pivots: one in an order of its own, one in an order that all buckets share. A class is tried
+    # with the likeliest of the first kind, which is close to it, and with the first of the second kind, a hub that
+    # brings together what several close pivots gather of one large group.
+    body = ("rep", "n", *sketch)
+    own_order = F.struct(F.xxhash64("rep", "key").alias("h"), F.lit(False).alias("hub"), *body)
+    hub_order = F.struct(F.xxhash64("rep").alias("h"), F.lit(True).alias("hub"), *body)
+    pivot = member.groupBy("key").agg(F.min(own_order).alias("own"), F.min(hub_order).alias("all"))
+    pivot = pivot.select("key", F.explode(F.array("own", "all")).alias("p"))
+    pivot = pivot.select("key", "p.h", "p.hub", *(F.col(f"p.{c}").alias(f"{c}_b") for c in body))
+    tried = member.select("key", *(F.col(c).alias(f"{c}_a") for c in body)).join(pivot.hint("merge"), "key")
+    tried = tried.where((F.col("rep_a") != F.col("rep_b")) & likely("a", "b"))
+    close = F.min(F.when(~F.col("hub"), F.struct(differing("a", "b").alias("z"), F.col("rep_b").alias("b"))))
+    hub = F.min(F.when(F.col("hub"), F.struct("h", F.col("rep_b").alias("b"))))
+    tried = tried.groupBy(F.col("rep_a").alias("a")).agg(close.alias("close"), hub.alias("far"))
+    tried = tried.select("a", F.explode(F.array_distinct(F.array("close.b", "far.b"))).alias("b")).where("b is not null")
+    group = stored(components(stored(_confirmed(stored(tried, "tried"), sets, percent), "links")), "groups")
+    told = member.join(group.hint("merge"), F.col("rep") == F.col("node"), "left")
+    told = told.select(*member.columns, F.coalesce("component", "rep").alias("group"))
+    open_keys = told.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
+    still = stored(told.join(open_keys.select("key").hint("merge"), "key", "left_semi"), "open")
 
     # All pairs that those links leave unconnected. A pair meets in one of the buckets that it shares, not in each.
-    own_keys = still.groupBy("rep").agg(F.collect_set("key").alias("open"))  # one for each band at most
-    still = stored(still.join(own_keys, "rep"), "meeting")
-    once = F.array_min(F.array_intersect("open_a", "open_b")) == F.col("key_a")
-    apart = (F.col("group_a") != F.col("group_b")) & once
-    told = ("key", "rep", "members", "n", "group", "open", *sketch)
+    # For that each row has its open keys by band, a null where a band's bucket is not open.
+    band = [f"b{i}" for i in range(bands)]
+    own_keys = still.groupBy("rep").agg(*(F.max(F.when(F.col("band") == i, F.col("key"))).alias(b) for i, b in enumerate(band)))
+    still = stored(still.join(own_keys.hint("merge"), "rep"), "meeting")
+    shared = reduce(
+        lambda case, i: case.when(F.col(f"b{i}_a") == F.col(f"b{i}_b"), i), range(1, bands), F.when(F.col("b0_a") == F.col("b0_b"), 0)
+    )
+    apart = (F.col("group_a") != F.col("group_b")) & (shared == F.col("band_a"))
+    told = ("key", "band", "rep", "members", "n", "group", *band, *sketch)
     left = stored(meeting(still, apart, "left_semi").select(*(F.col(f"{c}_a").alias(c) for c in told)), "left")
     room = left.groupBy("key").agg(F.sum("n").alias("together")).select("key", "together")
     left = left.join(room, "key").join(sets.hint("merge"), "rep")
     by_bytes = F.ceil(8 * F.col("together") / BLOCK_BYTES).cast("int")
     linked = (F.col("rep_a") < F.col("rep_b")) & apart & _similar("shingles_a", "shingles_b", percent)
-    rest = meeting(left, linked, "inner", by_bytes).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-    more = stored(rest, "more")
+    rest = meeting(left, linked, "inner", by_bytes).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
+    joint = components(stored(rest, "more"))  # of whole groups, named like them by their smallest member
 
-    whole = stored(components(links.union(more)), "components")
+    renamed = joint.select(F.col("node").alias("component"), F.col("component").alias("joined"))
+    whole = group.join(renamed, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+    whole = whole.union(joint.join(group.select("node"), "node", "left_anti"))
+    whole = stored(whole, "components")
     mine = found.select("doc_id", "n", "set_id").join(
         classes.hint("merge"), (F.col("n") > 0) & (found["set_id"] == classes["set_id"]), "left"
     ).select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
