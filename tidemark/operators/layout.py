@@ -14,8 +14,8 @@ TARGET_BYTES = 256 * 1024 * 1024
 ZORDER_BITS = 6
 
 
-def file_stats(spark: SparkSession, path: str, label: str = "") -> DataFrame:
-    """Number and size of the Parquet files under a path (listing only)."""
+def file_stats(spark: SparkSession, path: str | list[str], label: str = "") -> DataFrame:
+    """Number and size of the Parquet files under one or more paths (listing only)."""
     return file_sizes(spark, path).agg(
         F.lit(label).alias("state"),
         F.count(F.lit(1)).alias("num_files"),
@@ -25,7 +25,7 @@ def file_stats(spark: SparkSession, path: str, label: str = "") -> DataFrame:
     )
 
 
-def target_files(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES) -> int:
+def target_files(spark: SparkSession, path: str | list[str], target_bytes: int = TARGET_BYTES) -> int:
     """How many files of ``target_bytes`` the data under ``path`` fills."""
     total = file_stats(spark, path).first()["total_bytes"]
     return max(1, -(-total // target_bytes))

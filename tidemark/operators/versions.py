@@ -96,8 +96,7 @@ class VersionedTable:
         image_order = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE).desc()
         final = top_n_per_key(changes, [self.key], [F.col(VERSION).desc(), image_order])
         live = final.filter(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).select(*columns)
-        stale = broadcast_if_small(changes.select(self.key).distinct())
-        return table.select(*columns).join(stale, self.key, "left_anti").unionByName(live)
+        return without_keys(table.select(*columns), changes, self.key).unionByName(live)
 
     def change_feed(self, from_version: int = 0, to_version: int | None = None) -> DataFrame:
         """Row changes with ``_change_type``, ``_version`` and ``_commit_timestamp``.
@@ -197,11 +196,19 @@ class VersionedTable:
         return self._record(plan.changes(), "MERGE", batch_tag)
 
     def compact(self) -> int:
-        """Write a new snapshot of the latest version, in files of even size."""
-        version = len(self._log())
+        """Write a new snapshot of the latest version, in files of even size.
+
+        Their number follows from the newest snapshot and the changes since, not from older snapshots.
+        """
+        log = self._log()
+        version = len(log)
         current = self.as_of()
-        path = f"{self.path}/snapshots/{VERSION}={version}"
-        current.coalesce(target_files(self.spark, f"{self.path}/snapshots")).write.mode("overwrite").parquet(path)
+        base = max(r.version for r in log if r.snapshot)
+        parts = [self.snapshot_path(base)]
+        parts += [f"{self.path}/changes/{VERSION}={r.version}" for r in log if r.version > base]
+        files = target_files(self.spark, parts)
+        path = self.snapshot_path(version)
+        current.repartition(files).write.mode("overwrite").parquet(path)
         return self._commit(version, "OPTIMIZE", {}, current.schema, snapshot=True)
 
     def _done(self, log: list, batch_tag: str | None) -> bool:
@@ -236,6 +243,12 @@ class VersionedTable:
         return version
 
 
+def without_keys(table: DataFrame, changed: DataFrame, key: str) -> DataFrame:
+    """The rows of ``table`` whose key is not among those of ``changed``; NULL is a key like any other."""
+    stale = broadcast_if_small(changed.select(F.col(key).alias("_stale")).distinct())
+    return table.join(stale, F.col(key).eqNullSafe(F.col("_stale")), "left_anti")
+
+
 def sync_index(index: DataFrame, feed: DataFrame, key: str, derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Bring a derived index up to date from a change feed.
 
@@ -244,5 +257,4 @@ def sync_index(index: DataFrame, feed: DataFrame, key: str, derive: Callable[[Da
     order = [F.col(VERSION).desc(), F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE).desc()]
     last = top_n_per_key(feed, [key], order)
     live = last.filter(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).drop(CHANGE_TYPE, VERSION, COMMIT_TIME)
-    stale = broadcast_if_small(feed.select(key).distinct())
-    return index.join(stale, key, "left_anti").unionByName(derive(live))
+    return without_keys(index, feed, key).unionByName(derive(live))

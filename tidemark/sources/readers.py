@@ -58,7 +58,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return spark.read.schema(schema).json(path)
 
 
-def read_binary(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_binary(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Files as rows ``(path, modificationTime, length, content)``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -87,6 +87,6 @@ def read_rescued(
     )
 
 
-def file_sizes(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+def file_sizes(spark: SparkSession, path: str | list[str], glob: str = "*.parquet") -> DataFrame:
     """``(path, length)`` of the data files under ``path``; no file content is read."""
     return read_binary(spark, path, glob).select(F.col("path"), F.col("length"))
