@@ -187,6 +187,33 @@ def test_scores_awkward(documents):
     assert all(math.isclose(a[5], b[5], rel_tol=1e-9) for a, b in zip(got, want, strict=True))
 
 
+def test_retained_contexts_do_not_depend_on_the_share(documents):
+    """A small source's contexts stay when the corpus grows around it, and more text gives more contexts."""
+    small = [(i, "kabm rabn") for i in range(1, 40)]
+    other = [(i, " ".join(f"{chr(97 + (i * j) % 23)}{i * j % 89}" for j in range(300))) for i in range(100, 400)]
+
+    def contexts(rows):
+        levels = suffix.count_levels(suffix.texts(documents(rows)).selectExpr("text", "false AS held_out"), 4)
+        return [{r.context for r in k.collect()} for k in suffix.retained(levels, 10, 20)]
+
+    alone, among = contexts(small), contexts(small + other)
+    assert int.from_bytes(b"kab") in alone[3] and int.from_bytes(b"kab") in among[3]
+    assert len(among[3]) > 5 * len(alone[3])
+
+
+@pytest.mark.parametrize("hot_grams", [0, 50, 1_000_000])
+def test_scores_of_joined_grams_are_those_of_the_tree(documents, hot_grams):
+    """With no, few or all grams sent to the tasks: the scores that the automaton of the same contexts gives."""
+    few = [r for r in AWKWARD if r[0] != 200]
+    held = {r[0]: r[1] for r in suffix.score(documents(few)).select("doc_id", "held_out").collect()}
+    train = suffix.texts(documents([r for r in few if not held[r[0]]]))
+    total = sum(len(suffix.symbols(suffix.words((t or "").encode()))) for i, t in few if not held[i])
+    tree = suffix.Tree(suffix.learn(train, 4, 3 / total, 6 / total), 4)
+    want = tree.score([suffix.symbols(suffix.words((t or "").encode())) for _, t in few])
+    got = suffix.score(documents(few), 4, 3, 6, hot_grams=hot_grams).select("doc_id", "score").collect()
+    assert np.allclose(sorted(r.score for r in got), sorted(want), rtol=1e-5)
+
+
 def test_token_counts(spark, documents):
     vocab = counts.vocabulary(PIECES)
     real = Tokenizer(models.Unigram(vocab, unk_id=0, byte_fallback=True))

@@ -18,10 +18,10 @@ from tidemark.llm.common import map_batches, same_type, stored, texts, words
 # Symbols of a context at most. With the symbol that follows they fit in a 64-bit number.
 DEPTH = 6
 
-# A context must make up this share of all training symbols (so there are at most 1 / MIN_SHARE of each length,
-# however large the corpus), and its divergence from the next shorter one, weighted by its share, this many bits.
-MIN_SHARE = 2e-6
-MIN_GAIN = 1e-6
+# A context must occur so often in the training texts, and its counts must cost this many bits less with what follows it
+# than with what follows the next shorter one. Both are absolute: what is retained grows with the corpus.
+MIN_COUNT = 4
+MIN_BITS = 8.0
 
 # Fixed values of the base model: what is added to each count. Also used for the distribution without context.
 ADDED = 0.1
@@ -33,6 +33,10 @@ SYMBOLS = 256 - 6 + 2
 # The most frequent words, whose logarithms go to every task; all others are joined.
 HOT_WORDS = 200_000
 
+# The most frequent grams (a context of full length and the symbol after it), whose logarithms go to every task; all
+# others are joined.
+HOT_GRAMS = 1_000_000
+
 # Bytes that are counted or scored at once, and symbols of a lane of the scoring loop.
 CHUNK = 1 << 22
 LANE = 1024
@@ -62,41 +66,44 @@ def _grams(sequences: list[bytes], depth: int) -> np.ndarray:
 
 
 def count_grams(docs: DataFrame, depth: int) -> DataFrame:
-    """``(gram, n)`` over all texts: summed in each task, then over tasks."""
+    """``(gram, n, seen)`` over all texts: counts in the rows that are not ``held_out``, and in all rows; summed in each
+    task, then over tasks."""
 
     def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            codes = np.concatenate([c for c, _ in held])
-            counts = np.concatenate([n for _, n in held])
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            codes, n, seen = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(codes)
-            codes, counts = codes[order], counts[order]
+            codes = codes[order]
             begun = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-            return codes[begun], np.add.reduceat(counts, begun)
+            return codes[begun], np.add.reduceat(n[order], begun), np.add.reduceat(seen[order], begun)
 
-        def add(sequences: list[bytes]) -> None:
-            held.append(np.unique(_grams(sequences, depth), return_counts=True))
-            if sum(len(c) for c, _ in held[1:]) > CHUNK:
+        def add(sequences: list[bytes], out: bool) -> None:
+            codes, seen = np.unique(_grams(sequences, depth), return_counts=True)
+            held.append((codes, np.zeros_like(seen) if out else seen, seen))
+            if sum(len(x[0]) for x in held[1:]) > CHUNK:
                 held[:] = [merged()]
 
-        waiting, size = [], 0
+        waiting, size = {False: [], True: []}, {False: 0, True: 0}
         for batch in batches:
-            for t in batch.column("text"):
-                waiting.append(symbols(words(t.as_py().encode())))
-                size += len(waiting[-1])
-                if size > CHUNK:
-                    add(waiting)
-                    waiting, size = [], 0
-        if waiting:
-            add(waiting)
+            for t, out in zip(batch.column("text"), batch.column("held_out").to_pylist(), strict=True):
+                waiting[out].append(symbols(words(t.as_py().encode())))
+                size[out] += len(waiting[out][-1])
+                if size[out] > CHUNK:
+                    add(waiting[out], out)
+                    waiting[out], size[out] = [], 0
+        for out, rest in waiting.items():
+            if rest:
+                add(rest, out)
         if held:
-            codes, counts = merged()
+            codes, n, seen = merged()
             for at in range(0, len(codes), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                yield pa.record_batch([pa.array(codes[part].view(np.int64)), pa.array(counts[part])], ["gram", "n"])
+                yield pa.record_batch([pa.array(codes[part].view(np.int64)), pa.array(n[part]), pa.array(seen[part])], ["gram", "n", "seen"])
 
-    return docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "held_out").mapInArrow(run, "gram long, n long, seen long")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -193,72 +200,129 @@ class Tree:
         return np.bincount(owner, total, minlength=len(sequences))
 
 
-def learn(docs: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN):
-    """The tables of a ``Tree``, learned from all ``docs``.
+def _last(gram: str, k: int) -> Column:
+    """The last ``k`` symbols of a packed gram."""
+    return F.col(gram).bitwiseAND(F.lit((1 << (8 * k)) - 1))
 
-    Counts of contexts of the full length are gathered from the whole corpus, and those of shorter ones summed up
-    from them. A context is a candidate if it has its share of the corpus, and is retained if the divergence of what
-    follows it from what follows the next shorter context passes the test. All parts of a retained context are kept
-    too; as they are no rarer they are candidates. Only candidates' figures and retained contexts' counts come to the
-    driver: at most 1 / min_share contexts of each length, whatever the corpus.
-    """
-    spark = docs.sparkSession
-    counts = [stored(count_grams(docs, depth), "grams")]
+
+def count_levels(docs: DataFrame, depth: int) -> list[DataFrame]:
+    """``(gram, n, seen)`` of contexts of 0 to ``depth`` symbols and the symbol after them. Those of the full length are
+    gathered from the whole corpus, and those of shorter ones summed up from them."""
+    levels = [stored(count_grams(docs, depth), "grams")]
     for k in range(depth - 1, -1, -1):
-        mask = F.lit((1 << (8 * (k + 1))) - 1)
-        counts.append(stored(counts[-1].groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n")), f"grams-{k}"))
-    counts.reverse()
-    total = counts[0].agg(F.sum("n")).first()[0]
-    if not total:
-        empty = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        return [empty] * (depth + 1)
+        summed = levels[-1].groupBy(_last("gram", k + 1).alias("gram")).agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+        levels.append(stored(summed, f"grams-{k}"))
+    return levels[::-1]
+
 
-    context = F.shiftrightunsigned("gram", 8)
-    kept: list[set[int]] = [set() for _ in range(depth + 1)]
+def retained(levels: list[DataFrame], min_count: float, min_bits: float) -> list[DataFrame]:
+    """``(context, total, kinds)`` of the retained contexts of each length: their counts, and how many different symbols
+    follow.
+
+    A context is a candidate if it occurs ``min_count`` times, and is retained if its counts times the divergence of
+    what follows it from what follows the next shorter context is ``min_bits``. All parts of a retained context are
+    kept too; as they are no rarer they are candidates. Their number has no bound but the corpus: they stay tables.
+    """
+    depth, context = len(levels) - 1, F.shiftrightunsigned("gram", 8)
+    trained = [c.where("n > 0").select("gram", "n", context.alias("context")) for c in levels]
     often = [
-        stored(c.groupBy(context.alias("context")).agg(F.sum("n").alias("all")).where(F.col("all") >= min_share * total), f"often-{k}")
-        for k, c in enumerate(counts)
+        stored(c.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where(F.col("total") >= min_count), f"often-{k}")
+        for k, c in enumerate(trained)
     ]
-    for k in range(1, depth + 1):
-        mask = F.lit((1 << (8 * (k - 1))) - 1)
-        own = counts[k].select("gram", "n", context.alias("context")).join(often[k].hint("merge"), "context")
-        own = own.select("context", (F.col("n") / F.col("all")).alias("p"), F.col("all"),
-                         F.col("context").bitwiseAND(mask).alias("parent"), F.col("gram").bitwiseAND(F.lit(255)).alias("next"))
-        above = counts[k - 1].select(context.alias("parent"), F.col("gram").bitwiseAND(F.lit(255)).alias("next"), F.col("n").alias("m"))
-        above = above.join(often[k - 1].withColumnsRenamed({"context": "parent", "all": "above"}).hint("merge"), "parent")
-        gain = F.sum(F.col("p") * F.log2(F.col("p") * F.col("above") / F.col("m"))) * F.first("all") / total
-        tested = own.join(above.hint("merge"), ["parent", "next"]).groupBy("context").agg(gain.alias("gain"))
-        for found in tested.where(F.col("gain") >= min_gain).select("context").toArrow().column(0).to_pylist():
-            for begin in range(k):  # all its parts, as bytes from begin to end
-                for end in range(begin + 1, k + 1):
-                    kept[end - begin].add((found >> (8 * (k - end))) & ((1 << (8 * (end - begin))) - 1))
+    kept = [often[0]] + [None] * depth
+    longer = None
+    for k in range(depth, 0, -1):
+        own = trained[k].join(often[k].hint("merge"), "context")
+        own = own.select("context", "n", "total", _last("gram", k).alias("above"))
+        above = trained[k - 1].join(often[k - 1].hint("merge"), "context")
+        above = above.select(F.col("gram").alias("above"), (F.col("n") / F.col("total")).alias("q"))
+        bits = F.sum(F.col("n") * F.log2(F.col("n") / F.col("total") / F.col("q")))
+        found = own.join(above.hint("merge"), "above").groupBy("context").agg(bits.alias("bits")).where(F.col("bits") >= min_bits).select("context")
+        if longer is not None:
+            found = found.union(longer.select(_last("context", k))).union(longer.select(F.shiftrightunsigned("context", 8))).distinct()
+        longer = kept[k] = stored(often[k].join(found.hint("merge"), "context", "left_semi"), f"kept-{k}")
+    return kept
+
+
+def learn(docs: DataFrame, depth: int, min_share: float, min_gain: float):
+    """The tables of a ``Tree``, learned from all ``docs``, of the contexts that have a share of the corpus and a gain
+    weighted by it: at most 1 / min_share contexts of each length, which come to the driver. ``score`` does not use it."""
+    levels = count_levels(docs.withColumn("held_out", F.lit(False)), depth)
+    total = levels[0].agg(F.sum("n")).first()[0]
+    if not total:
+        empty = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return [empty] * (depth + 1)
     tables = []
-    for k, c in enumerate(counts):
-        mine = c.select(context.alias("context"), F.col("gram").bitwiseAND(F.lit(255)).alias("next"), "n")
-        if k:
-            wanted = spark.createDataFrame([(x,) for x in sorted(kept[k])], "context long")
-            mine = mine.join(F.broadcast(wanted), "context", "left_semi")  # at most 1 / min_share rows
-        found = mine.toArrow().sort_by([("context", "ascending"), ("next", "ascending")])
+    for c, kept in zip(levels, retained(levels, min_share * total, min_gain * total), strict=True):
+        mine = c.select(F.shiftrightunsigned("gram", 8).alias("context"), _last("gram", 1).alias("next"), "n")
+        found = mine.join(kept, "context", "left_semi").toArrow().sort_by([("context", "ascending"), ("next", "ascending")])
         arrays = [found.column(n).to_numpy() for n in ("context", "next", "n")]
         tables.append((arrays[0].view(np.uint64), arrays[1].astype(np.int64), arrays[2].astype(np.int64)))
     return tables
 
 
-_trees: dict[str, Tree] = {}
-
-
-def _tree(name: str, tables, depth: int) -> Tree:
-    """The tree of a broadcast, built once in each Python worker."""
-    if name not in _trees:
-        _trees.clear()
-        _trees[name] = Tree(tables, depth)
-    return _trees[name]
-
-
-def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
-    """The words from a count on that ``most`` words reach at the most, found by a histogram of the counts' logarithms:
+def gram_logs(levels: list[DataFrame], kept: list[DataFrame]) -> DataFrame:
+    """``(gram, seen, log)`` of every gram of full length in any text: log10 of the probability that the longest retained
+    context before its last symbol gives to it. Each key of these joins has at most 256 rows."""
+    total = levels[0].agg(F.sum("n")).first()[0] or 0
+    p = (F.col("n") + ADDED) / F.lit(total + ADDED * SYMBOLS)
+    value = levels[0].select("gram", "seen", p.alias("p"))
+    for k in range(1, len(levels)):
+        own = levels[k].select("gram", "n", "seen", F.shiftrightunsigned("gram", 8).alias("context"), _last("gram", k).alias("above"))
+        own = own.join(kept[k].hint("merge"), "context", "left")
+        own = own.join(value.select(F.col("gram").alias("above"), F.col("p").alias("q")).hint("merge"), "above")
+        p = (F.col("n") + F.col("kinds") * F.col("q")) / (F.col("total") + F.col("kinds"))
+        value = own.select("gram", "seen", F.coalesce(p, F.col("q")).alias("p"))
+    return value.select("gram", "seen", F.log10("p").alias("log"))
+
+
+class Lookup:
+    """Logarithms of the grams that every task has, in hash tables of single slots: what finds its slot taken goes to
+    the next table, so that none is left out."""
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, grams: np.ndarray, logs: np.ndarray):
+        self.tables = []
+        while len(grams):
+            bits = max(8, int(len(grams) * 2).bit_length())
+            at = self._slot(grams, bits, len(self.tables))
+            keys, values = np.full(1 << bits, ~np.uint64(0)), np.zeros(1 << bits)
+            keys[at], values[at] = grams, logs
+            self.tables.append((bits, keys, values))
+            lost = keys[at] != grams
+            values[at[~lost]] = logs[~lost]
+            grams, logs = grams[lost], logs[lost]
+
+    def _slot(self, grams: np.ndarray, bits: int, turn: int) -> np.ndarray:
+        return ((grams ^ (grams >> np.uint64(29))) * (self.FACTOR + np.uint64(2 * turn)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logarithms, 0 where there is none, and the places where there is none."""
+        out, left = np.zeros(len(grams)), np.arange(len(grams))
+        for turn, (bits, keys, values) in enumerate(self.tables):
+            at = self._slot(grams[left], bits, turn)
+            hit = keys[at] == grams[left]
+            out[left[hit]] = values[at[hit]]
+            left = left[~hit]
+        return out, left
+
+
+_lookups: dict[str, Lookup] = {}
+
+
+def _lookup(name: str, grams: np.ndarray, logs: np.ndarray) -> Lookup:
+    """The hash tables of a broadcast, built once in each Python worker."""
+    if name not in _lookups:
+        _lookups.clear()
+        _lookups[name] = Lookup(grams, logs)
+    return _lookups[name]
+
+
+def _most_frequent(counted: DataFrame, most: int, n: str = "n") -> DataFrame:
+    """The rows from a count on that ``most`` rows reach at the most, found by a histogram of the counts' logarithms:
     no task sorts or gathers the vocabulary."""
-    step = F.floor(F.log2("n") * 64).cast("int")  # some thousand steps, whatever the counts
+    step = F.floor(F.log2(n) * 64).cast("int")  # some thousand steps, whatever the counts
     found = counted.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
     reached, least = 0, math.inf
     for row in sorted(found, key=lambda r: -r["step"]):
@@ -269,7 +333,9 @@ def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
     return counted.where(step >= least) if found and least < math.inf else counted.where("false")
 
 
-def score(docs: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN, hot: int = HOT_WORDS) -> DataFrame:
+def score(
+    docs: DataFrame, depth: int = DEPTH, min_count: float = MIN_COUNT, min_bits: float = MIN_BITS, hot: int = HOT_WORDS, hot_grams: int = HOT_GRAMS
+) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per document.
 
     The model learns from the rows that are not held out. Tokens are words (A-Z in lower case) and one end. The base
@@ -279,48 +345,65 @@ def score(docs: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min
     symbols that follow; without context each of the 252 possible symbols has 0.1 added to its count. So
     probabilities of all texts sum to 1 at most, and unseen words have the probability of their spelling.
 
-    Word counts are of the whole training corpus and of any number: the logarithms of the ``hot`` most frequent words
-    go to every task, all other words of a text are joined to their counts.
+    Word and gram counts are of the whole training corpus and of any number, and so are the retained contexts: the
+    logarithms of the ``hot`` most frequent words and the ``hot_grams`` most frequent grams go to every task, all other
+    words and grams of a text are joined to theirs.
 
     A null or empty text is one end. A null doc_id is not held out. With no training rows the base is null and the
     tree uniform. Repeated rows stay repeated; other columns are ignored; no rows give no rows.
     """
     spark = docs.sparkSession
     frame = texts(docs)
-    train = frame.where(~is_held_out(F.col("doc_id")))
-    counted = stored(count_words(train), "words")
+    counted = stored(count_words(frame.where(~is_held_out(F.col("doc_id")))), "words")
     n, v = counted.agg(F.sum("n"), F.count("*")).first()
     n, norm = n or 0, (n or 0) + ADDED * (v + 1)
     top = _most_frequent(counted, hot).toArrow()
     values = np.log10((top.column("n").to_numpy() + ADDED) / norm).tolist()
     logs = dict(zip((w.encode() for w in top.column("word").to_pylist()), values, strict=True))
-    tables = learn(train, depth, min_share, min_gain)
-    sent = spark.sparkContext.broadcast((logs, tables))
+    levels = count_levels(frame.withColumn("held_out", is_held_out(F.col("doc_id"))), depth)
+    spelled = stored(gram_logs(levels, retained(levels, min_count, min_bits)), "gram-logs")
+    often = _most_frequent(spelled, hot_grams, "seen").select("gram", "log").toArrow()
+    sent = spark.sparkContext.broadcast((logs, often.column("gram").to_numpy().view(np.uint64), often.column("log").to_numpy()))
     name = uuid4().hex
     rare = ArrayType(StructType([StructField("word", StringType()), StructField("n", LongType())]))
+    grams = ArrayType(StructType([StructField("gram", LongType()), StructField("n", LongType())]))
     schema = StructType(
         [same_type(frame, "doc_id", "doc_id")]
         + [StructField(c, t) for c, t in (("n_tokens", LongType()), ("hot_known", LongType()), ("hot_score", DoubleType()))]
-        + [StructField("score", DoubleType()), StructField("rare", rare)]
+        + [StructField("score", DoubleType()), StructField("rare", rare), StructField("grams", grams)]
     )
 
     def make():
-        logs, tables = sent.value
+        logs, often, spelt = sent.value
         known = logs.get
+        lookup = _lookup(name, often, spelt)
+
+        def spell(sequences: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+            """Sums of the logarithms at hand, and the other grams of each sequence with their counts."""
+            codes = _grams(sequences, depth)
+            owner = np.repeat(np.arange(len(sequences)), [len(s) for s in sequences])
+            found, left = lookup.find(codes)
+            mine, code = owner[left], codes[left]
+            order = np.lexsort((code, mine))
+            mine, code = mine[order], code[order]
+            begun = np.flatnonzero(np.r_[True, (mine[1:] != mine[:-1]) | (code[1:] != code[:-1])]) if len(mine) else mine
+            times = np.diff(np.r_[begun, len(mine)])
+            offsets = np.searchsorted(mine[begun], np.arange(len(sequences) + 1)).astype(np.int32)
+            pairs = pa.StructArray.from_arrays([pa.array(code[begun].view(np.int64)), pa.array(times.astype(np.int64))], ["gram", "n"])
+            return np.bincount(owner, found, minlength=len(sequences)), pa.ListArray.from_arrays(pa.array(offsets), pairs)
 
         def run(batch: pa.RecordBatch):
-            tree = _tree(name, tables, depth) if len(tables[0][0]) else None
             ids = batch.column("doc_id")
             begun, rows, sequences, size = 0, [], [], 0
 
             def of() -> pa.RecordBatch:
-                uniform = [len(s) * -math.log10(SYMBOLS) for s in sequences]
-                scores = tree.score(sequences) if tree else np.array(uniform)
+                scores, others = spell(sequences)
                 columns = [
                     ids.slice(begun, len(rows)),
                     *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))),
                     pa.array(scores, pa.float64()),
                     pa.array([r[3] for r in rows], kind),
+                    others,
                 ]
                 return pa.record_batch(columns, schema.names)
 
@@ -351,12 +434,15 @@ def score(docs: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min
     rest = rest.join(counted.withColumnRenamed("n", "c").hint("merge"), "word", "left").groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"), F.sum(F.col("n") * value).alias("rare_score")
     )
-    return scored.drop("rare").join(rest.hint("merge"), "row", "left").select(
+    others = scored.select("row", F.explode("grams").alias("g")).select("row", "g.gram", "g.n")
+    others = others.join(spelled.select("gram", "log").hint("merge"), "gram").groupBy("row").agg(F.sum(F.col("n") * F.col("log")).alias("others"))
+    whole = scored.drop("rare", "grams").join(rest.hint("merge"), "row", "left").join(others.hint("merge"), "row", "left")
+    return whole.select(
         "doc_id",
         is_held_out(F.col("doc_id")).alias("held_out"),
         "n_tokens",
         (F.col("hot_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         F.when(F.lit(n > 0), F.col("hot_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("others", F.lit(0.0))).alias("score"),
     )
