@@ -138,3 +138,21 @@ def test_prompt_values_are_not_templates(spark):
     df = spark.createDataFrame([("{question}", "why?")], "context string, question string")
     prompt = render_prompt("C: {context} Q: {question}", {"context": "context", "question": "question"})
     assert df.select(prompt).first()[0] == "C: {question} Q: why?"
+
+
+@pytest.mark.parametrize("ids,kind", [((1, 1 + 2**40, 5 - 2**62), "long"), (("a", "b|0", "ü"), "string")])
+@pytest.mark.parametrize("limit", [100, 1])
+def test_answers_come_from_the_document_that_was_hit(spark, monkeypatch, ids, kind, limit):
+    """Ids whose low bits are alike, and text ids, whether queries travel or are matched in blocks."""
+    from tidemark.operators import retrieval
+    from tidemark.plans import documents as plan
+
+    few = lambda *args: retrieval.vector_topk_batch(*args, query_limit=limit)
+    monkeypatch.setattr(plan, "vector_topk_batch", few)
+    said = ("red apples grow here", "blue whales swim there", "green tea is warm")
+    docs = spark.createDataFrame(list(zip(ids, said)), f"doc_id {kind}, text string")
+    index = plan.index_documents(docs, "doc_id", "text").localCheckpoint()
+    asked = spark.createDataFrame(list(enumerate(said)), "query_id long, question string")
+    fallback = spark.createDataFrame([("none", "nothing")], "category string, text string")
+    got = plan.answer_questions(index, asked, fallback, F.lit("none"), k=1).select("query_id", "answer").collect()
+    assert sorted(tuple(r) for r in got) == list(enumerate(said))

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.functions.vectors import EPSILON
 from tidemark.session import broadcast_if_small
@@ -35,36 +36,37 @@ def _scores(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return np.round((queries @ vectors.T) / (norms + EPSILON), DECIMALS)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` best scores, equal scores by ascending id."""
+def _best(scores: np.ndarray, ids: list[np.ndarray], k: int) -> np.ndarray:
+    """Positions of the ``k`` best scores, equal scores by ascending id columns."""
     if len(scores) > k:
         floor = np.partition(scores, len(scores) - k)[len(scores) - k]
         near = np.flatnonzero(scores >= floor)
     else:
         near = np.arange(len(scores))
-    return near[np.lexsort((ids[near], -scores[near]))][:k]
+    return near[np.lexsort((*(i[near] for i in reversed(ids)), -scores[near]))][:k]
 
 
-def _partial_top_k(query_ids: list, queries: np.ndarray, k: int, vec_id: str, vector: str, schema: pa.Schema):
+def _partial_top_k(query_ids: list, queries: np.ndarray, k: int, vec_ids: list[str], vector: str, schema: pa.Schema):
     """Per task: stream over its vectors and keep the ``k`` best per query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best_ids = [np.empty(0, dtype=np.int64)] * len(query_ids)
+        best_ids: list[list[np.ndarray]] = [[]] * len(query_ids)
         best = [np.empty(0)] * len(query_ids)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(vec_id).to_numpy(zero_copy_only=False)
+            ids = [batch.column(i).to_numpy(zero_copy_only=False) for i in vec_ids]
             scores = _scores(_matrix(batch.column(vector)), queries)
             for q in range(len(query_ids)):
                 top = _best(scores[q], ids, k)
                 merged = np.concatenate([best[q], scores[q][top]])
-                merged_ids = np.concatenate([best_ids[q], ids[top]])
+                found = [i[top] for i in ids]
+                merged_ids = [np.concatenate(x) for x in zip(best_ids[q], found)] if best_ids[q] else found
                 keep = _best(merged, merged_ids, k)
-                best[q], best_ids[q] = merged[keep], merged_ids[keep]
+                best[q], best_ids[q] = merged[keep], [i[keep] for i in merged_ids]
         repeated = [qid for qid, found in zip(query_ids, best) for _ in found]
         if repeated:
-            arrays = [repeated, np.concatenate(best_ids), np.concatenate(best)]
+            arrays = [repeated, *(np.concatenate(x) for x in zip(*best_ids)), np.concatenate(best)]
             yield pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, schema.types)], schema=schema)
 
     return run
@@ -76,7 +78,7 @@ def vector_topk(
     """The ``k`` vectors most similar to one query, ties by id. Each task sends on ``k`` rows."""
     queries = np.asarray(query, dtype=np.float64)[None, :]
     out = pa.schema([("query_id", pa.int64()), (vec_id, pa.int64()), ("similarity", pa.float64())])
-    job = _partial_top_k([0], queries, k, vec_id, vector, out)
+    job = _partial_top_k([0], queries, k, [vec_id], vector, out)
     ddl = f"query_id bigint, `{vec_id}` bigint, similarity double"
     stored = vectors.select(F.col(vec_id).cast("long").alias(vec_id), vector).filter(F.col(vector).isNotNull())
     partial = stored.mapInArrow(job, ddl)
@@ -87,7 +89,7 @@ def vector_topk_batch(
     vectors: DataFrame,
     queries: DataFrame,
     k: int = 3,
-    vec_id: str = "vec_id",
+    vec_id: str | Sequence[str] = "vec_id",
     vector: str = "embedding",
     query_id: str = "query_id",
     query_vector: str = "query_vector",
@@ -100,12 +102,23 @@ def vector_topk_batch(
     that are matched block by block: vectors and queries are hashed into blocks, and each pair of
     blocks is one task-sized matrix product. Either way only ``k`` rows per query and task or
     block reach the final ranking.
+
+    ``vec_id`` is a whole number, or several columns of any type that make up the id together; a vector without all of
+    them is passed over.
     """
-    v = vectors.select(F.col(vec_id).cast("long").alias(vec_id), vector).filter(F.col(vector).isNotNull())
+    if isinstance(vec_id, str):
+        vec_ids = [vec_id]
+        v = vectors.select(F.col(vec_id).cast("long").alias(vec_id), vector)
+    else:
+        vec_ids = list(vec_id)
+        v = vectors.select(*vec_ids, vector).dropna(subset=vec_ids)
+    v = v.filter(F.col(vector).isNotNull())
     q = queries.select(F.col(query_id).cast("long").alias(query_id), query_vector)
     q = q.filter(F.col(query_vector).isNotNull())
-    ddl = f"`{query_id}` bigint, `{vec_id}` bigint, similarity double"
-    out = pa.schema([(query_id, pa.int64()), (vec_id, pa.int64()), ("similarity", pa.float64())])
+    kinds = [v.schema[i].dataType for i in vec_ids]
+    ddl = ", ".join([f"`{query_id}` bigint", *(f"`{i}` {x.simpleString()}" for i, x in zip(vec_ids, kinds)), "similarity double"])
+    parts = [(i, to_arrow_type(x)) for i, x in zip(vec_ids, kinds)]
+    out = pa.schema([(query_id, pa.int64()), *parts, ("similarity", pa.float64())])
     few = q.limit(query_limit + 1).collect()
     bounded = len(few) <= query_limit
     if bounded:
@@ -113,39 +126,41 @@ def vector_topk_batch(
             partial = v.sparkSession.createDataFrame([], ddl)
         else:
             matrix = np.asarray([r[1] for r in few], dtype=np.float64)
-            partial = v.mapInArrow(_partial_top_k([r[0] for r in few], matrix, k, vec_id, vector, out), ddl)
+            partial = v.mapInArrow(_partial_top_k([r[0] for r in few], matrix, k, vec_ids, vector, out), ddl)
     else:
-        partial = _block_top_k(v, q, k, vec_id, vector, query_id, query_vector, block_rows, out, ddl)
-    rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.col("similarity").desc(), F.col(vec_id)))
+        partial = _block_top_k(v, q, k, vec_ids, vector, query_id, query_vector, block_rows, out, ddl)
+    rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.col("similarity").desc(), *vec_ids))
     hits = partial.withColumn("rank", rank).filter(F.col("rank") <= k)
     # Few queries have at most k times as many hits: fetching their texts need not shuffle the index.
     return F.broadcast(hits) if bounded and len(few) * k <= HITS_LIMIT else hits
 
 
-def _block_top_k(v, q, k, vec_id, vector, query_id, query_vector, block_rows, out, ddl) -> DataFrame:
+def _block_top_k(v, q, k, vec_ids, vector, query_id, query_vector, block_rows, out, ddl) -> DataFrame:
     v_blocks = max(1, -(-v.count() // block_rows))
     q_blocks = max(1, -(-q.count() // block_rows))
-    hashed = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    hashed = lambda c, n: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = v.withColumn("_vb", hashed(vec_id, v_blocks)).withColumn("_qb", every(q_blocks))
-    right = q.withColumn("_qb", hashed(query_id, q_blocks)).withColumn("_vb", every(v_blocks))
+    left = v.withColumn("_vb", hashed(vec_ids, v_blocks)).withColumn("_qb", every(q_blocks))
+    right = q.withColumn("_qb", hashed([query_id], q_blocks)).withColumn("_vb", every(v_blocks))
 
     def match(vs: pa.Table, qs: pa.Table) -> pa.Table:
         if not vs.num_rows or not qs.num_rows:
             return out.empty_table()
-        ids = vs.column(vec_id).to_numpy()
+        ids = [vs.column(i).to_numpy() for i in vec_ids]
         base = _matrix(vs.column(vector))
         qids = qs.column(query_id).to_numpy()
         wanted = _matrix(qs.column(query_vector))
-        found_q, found_v, found_s = [], [], []
+        found_q, found_v, found_s = [], [[] for _ in ids], []
         for at in range(0, len(qids), 256):
             scores = _scores(base, wanted[at : at + 256])
             for row, qid in zip(scores, qids[at : at + 256]):
                 top = _best(row, ids, k)
                 found_q.append(np.full(len(top), qid))
-                found_v.append(ids[top])
+                for found, i in zip(found_v, ids):
+                    found.append(i[top])
                 found_s.append(row[top])
-        return pa.table([np.concatenate(a) for a in (found_q, found_v, found_s)], schema=out)
+        arrays = [np.concatenate(a) for a in (found_q, *found_v, found_s)]
+        return pa.table([pa.array(a, t) for a, t in zip(arrays, out.types)], schema=out)
 
     return left.groupBy("_vb", "_qb").cogroup(right.groupBy("_vb", "_qb")).applyInArrow(match, ddl)
 

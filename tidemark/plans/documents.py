@@ -19,20 +19,12 @@ from tidemark.operators.retrieval import (
 PROMPT = "Context:\n{context}\n\nQuestion: {question}"
 
 
-CHUNK_BITS = 24  # Chunks per document that a vector id has room for, as a power of two.
-
-
 def index_documents(
     docs: DataFrame, doc_id: str, text: str, size: int = 512, overlap: int = 50, embedder: Embedder | None = None
 ) -> DataFrame:
-    """Chunks of documents with whole-number ids: a vector id, a text key and the vector."""
+    """Chunks of documents, known by the document's id (of any type) and ``chunk_index``: a text key and the vector."""
     chunks = chunk_fixed(docs, doc_id, text, size, overlap)
-    keyed = chunks.withColumns(
-        {
-            "vec_id": F.shiftleft(F.col(doc_id).cast("long"), CHUNK_BITS) + F.col("chunk_index"),
-            "chunk_key": surrogate_key(doc_id, "chunk_index"),
-        }
-    )
+    keyed = chunks.withColumn("chunk_key", surrogate_key(doc_id, "chunk_index"))
     return embed(keyed, "chunk_text", embedder)
 
 
@@ -44,6 +36,7 @@ def answer_questions(
     k: int = 3,
     threshold: float = 0.5,
     embedder: Embedder | None = None,
+    doc_id: str = "doc_id",
 ) -> DataFrame:
     """One row per ``(query_id, question)``: prompt, grade, route and final text.
 
@@ -53,8 +46,9 @@ def answer_questions(
     text for the second attempt.
     """
     asked = embed(questions, "question", embedder, "query_vector")
-    hits = vector_topk_batch(index, asked, k)
-    texts = hits.join(index.select("vec_id", "chunk_text"), "vec_id")
+    chunk = [doc_id, "chunk_index"]
+    hits = vector_topk_batch(index, asked, k, chunk)
+    texts = hits.join(index.select(*chunk, "chunk_text"), chunk)
     contexts = assemble_context(texts, "query_id", "chunk_text")
     rows = questions.join(contexts, "query_id")
     graded = grade_and_route(rows, "question", "context", threshold, category)
