@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.versions import VersionedTable
 from tidemark.plans import derive
-from tidemark.plans.flights import run_flight_pipeline
+from tidemark.plans.flights import GOLD, run_flight_pipeline
+from tidemark.queries import pipelines
 from tidemark.queries.streams import Streamed
 from tidemark.session import workspace
 from tidemark.sources import RESCUED_COLUMN, read_rescued, write_csv
@@ -144,3 +145,17 @@ def test_flight_pipeline_is_incremental(spark, tables):
         assert path
     assert totals == [(500, 500), (1000, 1000)]
     assert tables_out["silver"].select("flight_id").distinct().count() == 1000
+
+
+def test_the_flight_job_builds_every_gold_table(tables, monkeypatch):
+    built = {}
+
+    def kept(*args, **options):
+        built.update(run_flight_pipeline(*args, **options))
+        return built
+
+    monkeypatch.setattr(pipelines, "run_flight_pipeline", kept)
+    pipelines.medallion_flights(tables)
+    assert set(GOLD) <= set(built)
+    tagged = {r.gold: r.n for r in pipelines.medallion_flights_gold(tables).groupBy("gold").agg(F.count("*").alias("n")).collect()}
+    assert tagged == {name: n for name in GOLD if (n := built[name].count())}

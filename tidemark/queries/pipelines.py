@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.plans import derive
@@ -14,6 +16,7 @@ from tidemark.queries.relational import ROUTE_TOTALS_SQL
 from tidemark.queries.streams import plain_times
 from tidemark.session import materialize, workspace
 from tidemark.sources import Tables, write_csv
+from tidemark.streaming import windows
 
 
 @query("medallion_taxi", ROUTE_TOTALS_SQL)
@@ -40,11 +43,21 @@ _CLOSED = "HAVING w + INTERVAL '{size}' <= (SELECT max(event_timestamp) - INTERV
     + _CLOSED.format(size="14 days", late="7 days"),
 )
 def medallion_flights(t: Tables) -> DataFrame:
-    """Landing files through bronze, silver, change events and two of the gold streams."""
+    """Landing files through bronze, silver, change events and all gold streams; two of the gold tables."""
+    tables = _flight_tables(t)
+    pick = lambda name, gold, amount: tables[name].select(
+        F.lit(gold).alias("gold"), "window_start", F.col(amount).alias("amount")
+    )
+    hourly = pick("hourly_tumbling_flights", "hourly", "flight_count")
+    return plain_times(hourly.unionByName(pick("biweekly_distance", "biweekly", "total_distance")))
+
+
+def _flight_tables(t: Tables) -> dict[str, DataFrame]:
+    """All tables of the flight job."""
     landing = write_csv(derive.flights(t), workspace(t.spark, "landing"))
     cdc = workspace(t.spark, "cdc")
     derive.cdc_events(t).write.json(cdc)
-    tables = run_flight_pipeline(
+    return run_flight_pipeline(
         t.spark,
         landing,
         derive.airports(t),
@@ -52,13 +65,58 @@ def medallion_flights(t: Tables) -> DataFrame:
         workspace(t.spark, "flights"),
         derive.EVENT_YEAR,
         landing_schema=f"{LANDING_SCHEMA}, flight_id bigint",
-        gold=["hourly_tumbling_flights", "biweekly_distance"],
     )
-    pick = lambda name, gold, amount: tables[name].select(
-        F.lit(gold).alias("gold"), "window_start", F.col(amount).alias("amount")
+
+
+# Gold tables as rows of one: size, slide, windows per row and lateness, SQL and column of the key, column of the count,
+# SQL and column of the amount.
+_GOLD = {
+    "monthly_delays": ("30 days", "30 days", 1, "7 days", None, None, "round(avg(delay / 60.0::double), 2)", "moving_avg_delay"),
+    "biweekly_distance": ("14 days", "14 days", 1, "7 days", None, None, "sum(distance)", "total_distance"),
+    "monthly_max_delay": (
+        "30 days", "30 days", 1, "7 days", ("arg_min(standardized_route, (-delay, standardized_route))", "worst_route"), None,
+        "round(max(delay) / 60.0::double, 2)", "max_delay",
+    ),
+    "hourly_tumbling_flights": ("1 hour", "1 hour", 1, "1 hour", None, "flight_count", None, None),
+    "sliding_avg_delay": ("7 days", "1 day", 7, "8 days", None, None, "round(avg(delay / 60.0::double), 2)", "rolling_avg_delay_hours"),
+    "sliding_route_traffic": (
+        "14 days", "7 days", 2, "15 days", ("standardized_route", "standardized_route"), "flight_count", "sum(distance)", "total_distance",
+    ),
+    "sliding_hourly_status": ("3 hours", "1 hour", 3, "4 hours", ("take_off_status", "take_off_status"), "flight_count", None, None),
+}
+
+
+def _gold_sql(gold: str) -> str:
+    size, slide, n, late, key, flights, amount, _ = _GOLD[gold]
+    fmt = "'%Y-%m-%d %H:%M:%S'"
+    by = f", {key[0]}" if key and key[0] == key[1] else ""
+    return (
+        f"SELECT '{gold}' AS gold, strftime(w, {fmt}) AS window_start, strftime(w + INTERVAL '{size}', {fmt}) AS window_end, "
+        f"{key[0] if key else 'NULL::varchar'} AS key, {'count(*)' if flights else 'NULL::bigint'} AS flights, "
+        f"({amount or 'NULL'})::double AS amount FROM (SELECT *, time_bucket(INTERVAL '{slide}', event_timestamp, "
+        f"TIMESTAMP '1970-01-01') - i * INTERVAL '{slide}' AS w FROM merged, range({n}) r(i)) GROUP BY w{by} "
+        + _CLOSED.format(size=size, late=late)
     )
-    hourly = pick("hourly_tumbling_flights", "hourly", "flight_count")
-    return plain_times(hourly.unionByName(pick("biweekly_distance", "biweekly", "total_distance")))
+
+
+@query("medallion_flights_gold", f"WITH {derive.FLIGHTS_SQL}, {derive.CDC_SQL} " + " UNION ALL ".join(map(_gold_sql, _GOLD)))
+def medallion_flights_gold(t: Tables) -> DataFrame:
+    """The same job; all seven gold tables, tagged."""
+    tables = _flight_tables(t)
+
+    def rows(gold: str) -> DataFrame:
+        *_, key, flights, _, amount = _GOLD[gold]
+        table = tables[gold] if gold.startswith("sliding") else windows.text_bounds(tables[gold])
+        return table.select(
+            F.lit(gold).alias("gold"),
+            "window_start",
+            "window_end",
+            (F.col(key[1]) if key else F.lit(None).cast("string")).alias("key"),
+            (F.col(flights) if flights else F.lit(None).cast("bigint")).alias("flights"),
+            (F.col(amount) if amount else F.lit(None)).cast("double").alias("amount"),
+        )
+
+    return reduce(DataFrame.unionByName, map(rows, _GOLD))
 
 
 def _slots_sql(name: str, table: str, key: str, text: str) -> str:
