@@ -59,6 +59,16 @@ def test_long_threads_fold_in_bounded_segments(spark):
     assert [m.turn for r in folded for m in r.messages] == list(range(25))
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 100])
+def test_long_threads_have_the_grain_of_short_ones(spark, hot_rows):
+    said = lambda thread, n: spark.range(n).selectExpr(f"{thread} AS conv_id", "id * 2 AS turn", "'user' AS role", "string(id) AS text")
+    both = said(1, 3).unionByName(said(2, 2_500)).repartition(4)
+    got = threads.ordered_messages(both, hot_rows=hot_rows).select("conv_id", "position", "turn").collect()
+    assert sorted(tuple(r) for r in got) == [(t, i + 1, 2 * i) for t, n in ((1, 3), (2, 2_500)) for i in range(n)]
+    lists = {r.conv_id: [m.turn for m in r.messages] for r in threads.message_lists(both).collect()}
+    assert lists == {1: [0, 2, 4], 2: list(range(0, 5_000, 2))}
+
+
 def test_sample_bound_does_not_change_the_sample(spark):
     df = spark.range(20_000).withColumnRenamed("id", "k")
     want = df.orderBy(F.md5(F.col("k").cast("string")), "k").limit(50)

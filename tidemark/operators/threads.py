@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.ordered import HOT_ROWS, running_total, top_n_per_key
+from tidemark.operators.ordered import HOT_ROWS, rank_within, running_total, top_n_per_key
 
 SEGMENT_TURNS = 1000
 
@@ -24,6 +24,19 @@ def fold_threads(
     )
 
 
+def ordered_messages(
+    df: DataFrame, thread: str = "conv_id", turn: str = "turn", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Every message with its position in the thread, from 1: the same rows however long a thread is."""
+    return rank_within(df, [thread], turn, turn, name="position", hot_rows=hot_rows)
+
+
+def message_lists(df: DataFrame, thread: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """One row per thread of any length, with its ordered messages: a last step, for threads that fit in a row."""
+    messages = F.array_sort(F.collect_list(F.struct(turn, "role", "text"))).alias("messages")
+    return df.groupBy(thread).agg(messages).withColumn("n_messages", F.size("messages"))
+
+
 def last_messages(df: DataFrame, n: int, thread: str = "conv_id", turn: str = "turn") -> DataFrame:
     return top_n_per_key(df, [thread], [F.col(turn).desc()], n)
 

@@ -20,6 +20,25 @@ def thread_fold(t: Tables) -> DataFrame:
     return threads.fold_threads(t.conversations).select("conv_id", "segment", "n_messages", transcript)
 
 
+@query(
+    "thread_messages",
+    "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::int AS position, turn, role, text FROM conversations",
+)
+def thread_messages(t: Tables) -> DataFrame:
+    return threads.ordered_messages(t.conversations).select("conv_id", "position", "turn", "role", "text")
+
+
+@query(
+    "thread_transcript",
+    "SELECT conv_id, count(*)::int AS n_messages, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript "
+    "FROM conversations GROUP BY 1",
+)
+def thread_transcript(t: Tables) -> DataFrame:
+    line = lambda m: F.concat(m["role"], F.lit(": "), m["text"])
+    transcript = F.array_join(F.transform("messages", line), "\n").alias("transcript")
+    return threads.message_lists(t.conversations).select("conv_id", "n_messages", transcript)
+
+
 @query(
     "thread_last_n",
     "SELECT conv_id, turn, role, text FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= 4",
