@@ -1,8 +1,9 @@
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.session import workspace, workspace_root
-from tidemark.sources import catalog_overview, schema_overview, split_by_key, with_cached_view, write_table
+from tidemark.sources import catalog_overview, read_rescued, schema_overview, split_by_key, with_cached_view, write_table
 
 
 def test_scratch_goes_to_the_shared_folder(spark):
@@ -60,3 +61,14 @@ def test_rebalanced_write_keeps_every_row(spark, tables):
     assert files(plain) == 56 and files(even) < 20
     assert even.columns == ["l_orderkey", "l_linenumber"]
     assert plain.exceptAll(even).isEmpty() and plain.count() == even.count()
+
+
+def test_columns_are_found_by_each_files_header(spark):
+    path = workspace(spark, "drift")
+    for lines in (["id,name,n", "1,a,10"], ["N,id,name", "20,2,b", "x,3,c"], ["id,extra,name,n", "4,e,d,40", "5,,f,50", "6,g"], ["id,n", "7,70"]):
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("append").text(path)
+    got = read_rescued(spark, path, "id int, name string, n int")
+    assert rows(got) == sorted([
+        (1, "a", 10, None), (2, "b", 20, None), (3, "c", None, "x,3,c"), (4, "d", 40, '{"extra":"e"}'), (5, "f", 50, None),
+        (6, None, None, "6,g"), (7, None, 70, None),
+    ], key=str)

@@ -274,3 +274,18 @@ def rescue_schema_drift(t: Tables) -> DataFrame:
     extra = F.when(F.col("event_type") == "error", ",extra").otherwise("")
     t.events.select(F.concat(fields, extra).alias("value")).write.text(path)
     return read_rescued(t.spark, path, "event_id bigint, user_id bigint, event_type string, value double", header=False)
+
+
+@query(
+    "rescue_header_drift",
+    "SELECT event_id, user_id, event_type, CASE WHEN event_id % 3 <> 2 THEN value END AS value, "
+    "CASE WHEN event_id % 3 = 1 THEN '{\"note\":\"n' || user_id || '\"}' END AS _rescued_data FROM events",
+)
+def rescue_header_drift(t: Tables) -> DataFrame:
+    """Files with the declared header, with a reordered one and a new column in it, and without a column."""
+    path = workspace(t.spark, "drift")
+    events = t.events.withColumn("note", F.concat(F.lit("n"), F.col("user_id").cast("string")))
+    declared = ["event_id", "user_id", "event_type", "value"]
+    for i, columns in enumerate((declared, ["value", "event_type", "note", "user_id", "event_id"], declared[:3])):
+        events.where(F.col("event_id") % 3 == i).select(*columns).write.mode("append").csv(path, header=True)
+    return read_rescued(t.spark, path, "event_id bigint, user_id bigint, event_type string, value double")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -76,15 +79,57 @@ def read_rescued(
     spark: SparkSession, path: str, schema: StructType | str, header: bool = True
 ) -> DataFrame:
     """CSV that never fails on drift: a line with extra or malformed fields keeps what parsed,
-    and its whole text lands in ``_rescued_data``."""
-    return (
-        spark.read.schema(rescued_schema(schema))
+    and its whole text lands in ``_rescued_data``.
+
+    With ``header`` columns are found by the names in each file's own first line, in any order. A column that a file
+    lacks is NULL; columns that ``schema`` lacks land in ``_rescued_data`` as JSON of their names and values.
+    """
+    full = rescued_schema(schema)
+    read = lambda s: (
+        spark.read.schema(s)
         .option("header", header)
         .option("enforceSchema", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RESCUED)
         .csv(path)
     )
+    fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    headers = _headers(spark, path) if header else []
+    if all([fold(n) for n in names] == [fold(n) for n in full.names[:-1]] for names, _ in headers):
+        return read(full)
+    parts = []
+    for names, files in headers:
+        places: dict[str, int] = {}
+        for i, name in enumerate(names):
+            places.setdefault(fold(name), i)
+        known = {places[fold(f.name)]: f for f in full.fields[:-1] if fold(f.name) in places}
+        kinds = [known[i].dataType if i in known else StringType() for i in range(len(names))]
+        own = StructType([*(StructField(f"_c{i}", k) for i, k in enumerate(kinds)), StructField(RESCUED, StringType())])
+        rows = read(own).where(F.col("_metadata.file_path").isin(files))
+        others = [(n if places[fold(n)] == i else f"{n}_{i}", f"_c{i}") for i, n in enumerate(names) if i not in known]
+        rescued = F.col(RESCUED)
+        if others:
+            found = F.coalesce(*(F.col(c) for _, c in others)).isNotNull()
+            rescued = F.coalesce(rescued, F.when(found, F.to_json(F.struct(*(F.col(c).alias(n) for n, c in others)))))
+        at = {f.name: i for i, f in known.items()}
+        columns = [
+            (F.col(f"_c{at[f.name]}") if f.name in at else F.lit(None).cast(f.dataType)).alias(f.name) for f in full.fields[:-1]
+        ]
+        parts.append(rows.select(*columns, rescued.alias(RESCUED)))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """The different headers of the files under ``path``, each with its files."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    found = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    return [(next(csv.reader([r.header.removeprefix("\ufeff")])), r.files) for r in sorted(found, key=lambda r: r.header)]
 
 
 def file_sizes(spark: SparkSession, path: str | list[str], glob: str = "*.parquet") -> DataFrame:
