@@ -29,43 +29,77 @@ def skewed(tables):
     )
 
 
+def windowed(df, keys, order, name="rank"):
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 37])
 @pytest.mark.parametrize("descending", [False, True])
-def test_rank_of_hot_keys_is_exact(skewed, descending):
-    plain = rank_within(skewed, ["k"], "d", "o_orderkey", descending)
-    sliced = rank_within(skewed, ["k"], "d", "o_orderkey", descending, hot_rows=100)
-    assert "_slice" in plan_of(sliced)
-    assert sliced.schema == plain.schema
-    assert rows(sliced) == rows(plain)
+def test_rank_of_hot_keys_is_exact(skewed, descending, partitions):
+    direction = F.desc if descending else F.asc
+    want = windowed(skewed, ["k"], [direction("d"), F.asc("o_orderkey")])
+    got = rank_within(skewed, ["k"], "d", "o_orderkey", descending, partitions=partitions)
+    assert got.columns == want.columns
+    assert rows(got) == rows(want)
+
+
+def test_rank_of_text_keys_and_orders(skewed):
+    """Order and tie-breaker of text; one value (the hot date) fills most of the ranges."""
+    texts = skewed.select("k", F.col("d").cast("string").alias("d"), F.format_string("%09d", "o_orderkey").alias("id"))
+    want = windowed(texts, ["k"], [F.asc("d"), F.asc("id")])
+    assert rows(rank_within(texts, ["k"], "d", "id", partitions=29)) == rows(want)
+
+
+def test_rank_of_two_hot_keys_in_disjoint_ranges(spark):
+    """Each fills many ranges of its own; a third key has one row between them."""
+    df = spark.range(6_001).selectExpr(
+        "CASE WHEN id < 3000 THEN 'a' WHEN id = 3000 THEN 'b' ELSE 'c' END AS k",
+        "CASE WHEN id < 3000 THEN id ELSE 1000000 - id END AS at", "id",
+    )
+    got = rank_within(df.repartition(5), ["k"], "at", "id", partitions=16)
+    assert rows(got) == rows(windowed(df, ["k"], [F.asc("at"), F.asc("id")]))
 
 
-def test_running_total_of_hot_keys_is_exact(skewed):
-    plain = running_total(skewed, ["k"], "o_orderkey", F.col("v"), "total")
-    sliced = running_total(skewed, ["k"], "o_orderkey", F.col("v"), "total", hot_rows=100)
-    assert sliced.schema == plain.schema
-    assert rows(sliced) == rows(plain)
+def test_rank_without_keys_and_without_rows(skewed):
+    got = rank_within(skewed, [], ["k", "d"], "o_orderkey", partitions=11)
+    want = skewed.withColumn("rank", F.row_number().over(Window.orderBy("k", "d", "o_orderkey")).cast("long"))
+    assert rows(got) == rows(want)
+    assert rank_within(skewed.limit(0), ["k"], "d", "o_orderkey").collect() == []
 
 
-def test_hot_threads_have_exact_budgets(tables):
-    size = F.size(F.split("text", " "))
-    plain = threads.over_budget(tables.conversations, size, 100)
-    sliced = threads.over_budget(tables.conversations, size, 100, hot_rows=2)
-    assert rows(sliced) == rows(plain)
+def test_no_task_ranks_a_whole_hot_key(skewed):
+    """Every window of rows is partitioned by range; offsets have a row for each range at most."""
+    plan = plan_of(rank_within(skewed, ["k"], "d", "o_orderkey", partitions=16))
+    assert "_tide_range" in next(line for line in plan.splitlines() if "row_number" in line)
+
 
+def test_top_n_beyond_the_group_limit(skewed):
+    order = [F.col("d").desc(), F.col("o_orderkey")]
+    want = windowed(skewed, ["k"], order).filter("rank <= 1200").drop("rank")
+    assert rows(top_n_per_key(skewed, ["k"], order, 1_200)) == rows(want)
 
-def test_long_threads_fold_in_bounded_segments(spark):
-    long = spark.range(25).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
-    folded = threads.fold_threads(long, segment_turns=10).orderBy("segment").collect()
-    assert [r.n_messages for r in folded] == [10, 10, 5]
-    assert [m.turn for r in folded for m in r.messages] == list(range(25))
+
+@pytest.mark.parametrize("partitions", [None, 23])
+def test_running_total_of_hot_keys_is_exact(skewed, partitions):
+    frame = Window.partitionBy("k").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
+    got = running_total(skewed, ["k"], "o_orderkey", F.col("v"), "total", partitions)
+    assert rows(got) == rows(skewed.withColumn("total", F.sum("v").over(frame)))
+
+
+def test_hot_threads_have_exact_budgets(tables):
+    size = F.size(F.split("text", " "))
+    plain = threads.over_budget(tables.conversations, size, 100, partitions=1)
+    ranges = threads.over_budget(tables.conversations, size, 100, partitions=50)
+    assert rows(ranges) == rows(plain)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 100])
-def test_long_threads_have_the_grain_of_short_ones(spark, hot_rows):
+@pytest.mark.parametrize("partitions", [None, 13])
+def test_long_threads_have_the_grain_of_short_ones(spark, partitions):
     said = lambda thread, n: spark.range(n).selectExpr(f"{thread} AS conv_id", "id * 2 AS turn", "'user' AS role", "string(id) AS text")
     both = said(1, 3).unionByName(said(2, 2_500)).repartition(4)
-    got = threads.ordered_messages(both, hot_rows=hot_rows).select("conv_id", "position", "turn").collect()
+    got = threads.ordered_messages(both, partitions=partitions).select("conv_id", "position", "turn").collect()
     assert sorted(tuple(r) for r in got) == [(t, i + 1, 2 * i) for t, n in ((1, 3), (2, 2_500)) for i in range(n)]
-    lists = {r.conv_id: [m.turn for m in r.messages] for r in threads.message_lists(both).collect()}
+    lists = {r.conv_id: [m.turn for m in r.messages] for r in threads.fold_threads(both).collect()}
     assert lists == {1: [0, 2, 4], 2: list(range(0, 5_000, 2))}
 
 

@@ -1,31 +1,34 @@
-"""Ranks and running totals that do not put a hot key into one task.
+"""Ranks and running totals as distributed prefix sums, so that no hot key ends up in one task.
 
-A plain window sorts every row of a key in one task. Here a key with more than ``hot_rows``
-rows is first cut into slices that follow the sort order; each slice is windowed on its own
-and shifted by the total of the slices before it. The result is exact.
+A plain window sorts every row of a key in one task. Here the rows are dealt to ranges of (key, order,
+tie-breaker) by sampled splitters and written out with the number of their range. Each (key, range) is
+windowed on its own, and shifted by the totals of the same key in the ranges before it. There is one path
+for every size, and any type that Spark can order will do as key, order or tie-breaker.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import broadcast_if_small, materialize
+from tidemark.session import materialize
 
-HOT_ROWS = 1_000_000
-SLICES = 64
-_SLICE = ["_slice", "_subslice"]
+# Most rows per key for which Spark turns a rank filter into a limit per task (a Spark setting's default).
+GROUP_LIMIT = 1000
+
+_RANGE, _LOCAL, _BEFORE = "_tide_range", "_tide_local", "_tide_before"
 
 
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key. ``order`` must end in a unique column to be repeatable.
 
-    Spark turns the rank filter into a per-task limit before the shuffle, so at most ``n``
-    rows per key and task travel, however hot the key is.
+    Up to ``GROUP_LIMIT`` rows, Spark turns the rank filter into a per-task limit before the shuffle, so at
+    most ``n`` rows per key and task travel, however hot the key is. More rows are ranked by ranges.
     """
+    if n > GROUP_LIMIT:
+        return _numbered(df, keys, order, "_rn").filter(F.col("_rn") <= n).drop("_rn")
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rn", rank).filter(F.col("_rn") <= n).drop("_rn")
 
@@ -33,115 +36,69 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 def rank_within(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: str,
+    order_by: str | Sequence[str],
     tie_breaker: str,
     descending: bool = False,
     name: str = "rank",
-    hot_rows: int = HOT_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``row_number`` per key over ``order_by``, ties broken by the unique ``tie_breaker``.
 
-    NULLs sort as Spark sorts them: first when ascending, last when descending.
+    NULLs sort as Spark sorts them: first when ascending, last when descending. Without ``keys`` all rows
+    are ranked together. ``partitions`` sets the number of ranges; by default Spark's own setting does.
     """
     direction = Column.desc if descending else Column.asc
-    local_order = [direction(F.col(order_by)), F.col(tie_breaker).asc()]
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*local_order))
-    hot = _hot_keys(df, keys, hot_rows)
-    if hot.isEmpty():
-        return df.withColumn(name, number)
-    sliced = _sliced(df, keys, hot, order_by, tie_breaker)
-    slice_order = [direction(F.col("_slice")), F.col("_subslice").asc()]
-    return _shifted(sliced, keys, F.count(F.lit(1)), slice_order, local_order, F.row_number(), name, "int")
+    ordering = [order_by] if isinstance(order_by, str) else list(order_by)
+    order = [*(direction(F.col(c)) for c in ordering), F.col(tie_breaker).asc()]
+    return _numbered(df, keys, order, name, partitions)
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order_by: str, value: Column, name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order_by: str, value: Column, name: str, partitions: int | None = None
 ) -> DataFrame:
     """Running sum of ``value`` per key; ``order_by`` must be unique within a key."""
-    local_order = [F.col(order_by).asc()]
-    df = df.withColumn("_value", value)
-    hot = _hot_keys(df, keys, hot_rows)
-    if hot.isEmpty():
-        frame = Window.partitionBy(*keys).orderBy(*local_order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.sum("_value").over(frame)).drop("_value")
-    sliced = _sliced(df, keys, hot, order_by, order_by)
-    total = F.sum("_value")
-    slice_order = [F.col("_slice").asc(), F.col("_subslice").asc()]
-    return _shifted(sliced, keys, total, slice_order, local_order, total, name, None).drop("_value")
-
-
-def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most one per that many rows, so a small table.
-
-    It is written out, which makes its size known to the joins that use it.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return materialize(counts.filter(F.col("_n") > hot_rows).select(*keys), "hot-keys")
-
+    order = [F.col(order_by).asc()]
+    valued = _dealt(df.withColumn("_tide_value", value), keys, order, partitions)
+    total = F.sum("_tide_value")
+    frame = Window.partitionBy(*keys, _RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    nothing = F.col(_LOCAL).isNull() & F.col(_BEFORE).isNull()
+    both = F.coalesce(_LOCAL, F.lit(0)) + F.coalesce(_BEFORE, F.lit(0))
+    shifted = _shifted(valued.withColumn(_LOCAL, total.over(frame)), valued, keys, total)
+    return shifted.withColumn(name, F.when(nothing, None).otherwise(both)).drop("_tide_value", _LOCAL, _BEFORE)
+
+
+def _numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, partitions: int | None = None
+) -> DataFrame:
+    dealt = _dealt(df, keys, order, partitions)
+    local = F.row_number().over(Window.partitionBy(*keys, _RANGE).orderBy(*order))
+    shifted = _shifted(dealt.withColumn(_LOCAL, local), dealt, keys, F.count(F.lit(1)))
+    number = F.col(_LOCAL).cast("long") + F.coalesce(_BEFORE, F.lit(0))
+    return shifted.withColumn(name, number).drop(_LOCAL, _BEFORE)
 
-def _position(value: Column, splits: list) -> Column:
-    return reduce(add, [F.when(value > F.lit(s), 1).otherwise(0) for s in splits], F.lit(0))
 
+def _dealt(df: DataFrame, keys: Sequence[str], order: Sequence[Column], partitions: int | None) -> DataFrame:
+    """``df`` written in ranges that ascend with keys and order, each row with its range's number.
 
-def _splits(df: DataFrame, column: str) -> list:
-    """At most ``SLICES - 1`` values of a column that cut it into even parts."""
-    cuts = [i / SLICES for i in range(1, SLICES)]
-    found = df.agg(F.percentile_approx(column, cuts, 10_000)).first()[0] or []
-    return sorted(set(found))
+    What is written stays as it is: a later recomputation cannot move a row to another range. A number of
+    ranges that the caller does not fix is coalesced by adaptive execution, which joins neighbours only.
+    """
+    by = [*(F.col(k).asc() for k in keys), *order]
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    return materialize(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], hot: DataFrame, order_by: str, tie_breaker: str) -> DataFrame:
-    """Add slice numbers that ascend with the sort order; rows of ordinary keys get 0.
+def _shifted(local: DataFrame, dealt: DataFrame, keys: Sequence[str], total: Column) -> DataFrame:
+    """Add to each row the total of its key in earlier ranges, NULL where there is none.
 
-    A split value gets a slice of its own, which is cut again by the tie-breaker: so one order
-    value that fills a key is spread as well.
-    """
-    joined = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
-    flagged = (
-        df.alias("d")
-        .join(broadcast_if_small(hot.withColumn("_hot", F.lit(True))).alias("h"), reduce(Column.__and__, joined), "left")
-        .select("d.*", F.coalesce(F.col("h._hot"), F.lit(False)).alias("_hot"))
-    )
-    hot_rows = flagged.filter("_hot")
-    splits = _splits(hot_rows, order_by)
-    value = F.col(order_by)
-    single = value.isin(*splits) if splits else F.lit(False)
-    single = F.coalesce(single, F.lit(True))  # NULL order values sit together
-    place = F.coalesce(2 * _position(value, splits) + F.when(single, 1).otherwise(0), F.lit(-1))
-    place = F.when(value.isNull(), F.lit(-1)).otherwise(place)
-    sub = F.lit(0) if tie_breaker == order_by else _position(F.col(tie_breaker), _splits(hot_rows, tie_breaker))
-    return flagged.withColumns(
-        {
-            "_slice": F.when(F.col("_hot"), place).otherwise(0),
-            "_subslice": F.when(F.col("_hot") & single, sub).otherwise(0),
-        }
-    )
-
-
-def _shifted(sliced, keys, total, slice_order, local_order, local, name, cast) -> DataFrame:
-    """Window each slice by itself and add the totals of the slices before it.
-
-    The totals hold at most a few thousand rows per hot key; an ordinary key is one slice and needs
-    none. Written out, they are small enough to broadcast, so the rows are shuffled once.
+    Ranges follow the keys, so only the first key of a range can have begun in an earlier one: there is at
+    most one offset for each range, whatever the data, which is why they are broadcast.
     """
-    parts = [*keys, *_SLICE]
-    before = Window.partitionBy(*keys).orderBy(*slice_order).rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.filter("_hot").groupBy(*parts).agg(total.alias("_total"))
-    shifts = totals.withColumn("_before", F.sum("_total").over(before)).filter(F.col("_before").isNotNull())
-    offsets = materialize(shifts.select(*parts, "_before"), "offsets")
-    frame = Window.partitionBy(*parts).orderBy(*local_order)
-    if cast is None:
-        frame = frame.rowsBetween(Window.unboundedPreceding, 0)
+    parts = [*keys, _RANGE]
+    before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*parts).agg(total.alias("_tide_total"))
+    offsets = totals.withColumn(_BEFORE, F.sum("_tide_total").over(before)).filter(F.col(_BEFORE).isNotNull())
+    offsets = F.broadcast(materialize(offsets.select(*parts, _BEFORE), "offsets"))
     match = reduce(Column.__and__, [F.col(f"r.{p}").eqNullSafe(F.col(f"o.{p}")) for p in parts])
-    result = F.coalesce(F.col("r._local"), F.lit(0)) + F.coalesce(F.col("o._before"), F.lit(0))
-    if cast is None:
-        result = F.when(F.col("r._local").isNull() & F.col("o._before").isNull(), None).otherwise(result)
-    else:
-        result = result.cast(cast)
-    return (
-        sliced.withColumn("_local", local.over(frame))
-        .alias("r")
-        .join(broadcast_if_small(offsets).alias("o"), match, "left")
-        .select("r.*", result.alias(name))
-        .drop("_local", "_hot", *_SLICE)
-    )
+    joined = local.alias("r").join(offsets.alias("o"), match, "left")
+    return joined.select("r.*", F.col(f"o.{_BEFORE}")).drop(_RANGE)

@@ -4,35 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.ordered import HOT_ROWS, rank_within, running_total, top_n_per_key
-
-SEGMENT_TURNS = 1000
-
-
-def fold_threads(
-    df: DataFrame, thread: str = "conv_id", turn: str = "turn", segment_turns: int = SEGMENT_TURNS
-) -> DataFrame:
-    """Ordered message lists.
-
-    A thread is folded in segments of ``segment_turns`` turns, so a list never holds more than that
-    however long the thread is; a usual thread is one row with segment 0.
-    """
-    return (
-        df.groupBy(thread, F.floor(F.col(turn) / segment_turns).cast("int").alias("segment"))
-        .agg(F.array_sort(F.collect_list(F.struct(turn, "role", "text"))).alias("messages"))
-        .withColumn("n_messages", F.size("messages"))
-    )
+from tidemark.operators.ordered import rank_within, running_total, top_n_per_key
 
 
 def ordered_messages(
-    df: DataFrame, thread: str = "conv_id", turn: str = "turn", hot_rows: int = HOT_ROWS
+    df: DataFrame, thread: str = "conv_id", turn: str = "turn", partitions: int | None = None
 ) -> DataFrame:
     """Every message with its position in the thread, from 1: the same rows however long a thread is."""
-    return rank_within(df, [thread], turn, turn, name="position", hot_rows=hot_rows)
+    return rank_within(df, [thread], turn, turn, name="position", partitions=partitions)
 
 
-def message_lists(df: DataFrame, thread: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """One row per thread of any length, with its ordered messages: a last step, for threads that fit in a row."""
+def fold_threads(df: DataFrame, thread: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """One row per thread of any length, with its ordered messages: a last step, for threads that fit in a row.
+
+    Work that must not hold a whole thread in one row goes on from ``ordered_messages``.
+    """
     messages = F.array_sort(F.collect_list(F.struct(turn, "role", "text"))).alias("messages")
     return df.groupBy(thread).agg(messages).withColumn("n_messages", F.size("messages"))
 
@@ -62,12 +48,12 @@ def over_budget(
     keep: int = 1,
     thread: str = "conv_id",
     turn: str = "turn",
-    hot_rows: int = HOT_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Running size per thread, whether it has passed ``budget``, and whether a trim to the newest
     ``keep`` messages would keep the message."""
     sized = df.withColumn("_size", size)
-    running = running_total(sized, [thread], turn, F.col("_size"), "running_size", hot_rows)
+    running = running_total(sized, [thread], turn, F.col("_size"), "running_size", partitions)
     # One row per thread: its whole size, and the turn of the oldest message that stays.
     totals = sized.groupBy(thread).agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("_total"))
     newest = top_n_per_key(df.select(thread, turn), [thread], [F.col(turn).desc()], keep)

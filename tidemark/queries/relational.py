@@ -411,7 +411,7 @@ def partition_row_counts(t: Tables) -> DataFrame:
 @query(
     "win_row_number",
     "SELECT o_orderkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_orderstatus "
-    "ORDER BY o_totalprice DESC, o_orderkey)::int AS rank FROM orders",
+    "ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders",
 )
 def win_row_number(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")

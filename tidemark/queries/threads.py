@@ -11,18 +11,18 @@ from tidemark.sources import Tables
 
 @query(
     "thread_fold",
-    "SELECT conv_id, (turn // 1000)::int AS segment, count(*)::int AS n_messages, "
-    "string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY 1, 2",
+    "SELECT conv_id, count(*)::int AS n_messages, "
+    "string_agg(turn || ' ' || role || ': ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY conv_id",
 )
 def thread_fold(t: Tables) -> DataFrame:
-    line = lambda m: F.concat(m["role"], F.lit(": "), m["text"])
+    line = lambda m: F.concat(m["turn"].cast("string"), F.lit(" "), m["role"], F.lit(": "), m["text"])
     transcript = F.array_join(F.transform("messages", line), "\n").alias("transcript")
-    return threads.fold_threads(t.conversations).select("conv_id", "segment", "n_messages", transcript)
+    return threads.fold_threads(t.conversations).select("conv_id", "n_messages", transcript)
 
 
 @query(
     "thread_messages",
-    "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::int AS position, turn, role, text FROM conversations",
+    "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position, turn, role, text FROM conversations",
 )
 def thread_messages(t: Tables) -> DataFrame:
     return threads.ordered_messages(t.conversations).select("conv_id", "position", "turn", "role", "text")
@@ -36,7 +36,7 @@ def thread_messages(t: Tables) -> DataFrame:
 def thread_transcript(t: Tables) -> DataFrame:
     line = lambda m: F.concat(m["role"], F.lit(": "), m["text"])
     transcript = F.array_join(F.transform("messages", line), "\n").alias("transcript")
-    return threads.message_lists(t.conversations).select("conv_id", "n_messages", transcript)
+    return threads.fold_threads(t.conversations).select("conv_id", "n_messages", transcript)
 
 
 @query(
