@@ -133,3 +133,103 @@ def vectors(rows, cosine=0.95):
     for k, (i, _) in enumerate(rows):
         least[root[k]] = min(least[root[k]], i)
     return [(i, count[k], least[root[k]], i == least[root[k]]) for k, (i, _) in enumerate(rows)]
+
+
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contaminated(rows, items, window=10):
+    cut = lambda t: ITEM_WORD.findall(lower(t))
+    wanted = defaultdict(set)
+    for i, text in items:
+        w = cut(text)
+        size = min(window, len(w))
+        for k in range(len(w) - size + 1 if w else 0):
+            wanted[tuple(w[k : k + size])].add("" if i is None else str(i))
+    sizes = {len(w) for w in wanted}
+    out = []
+    for i, text in rows:
+        w, hit, names = cut(text), set(), set()
+        for size in sizes:
+            for k in range(len(w) - size + 1):
+                if (found := wanted.get(tuple(w[k : k + size]))) is not None:
+                    hit.update(range(k, k + size))
+                    names |= found
+        out.append((i, len(w), len(hit), len(names), hexed(",".join(sorted(names))), bool(hit)))
+    return out
+
+
+def merkle(rows, fanout=8):
+    """Rows of (doc_id, source, lang, n_chars, text)."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda r: hexed("".join(map(field, r)))
+
+    def tree(hashes):
+        """The root, and for each leaf the steps (left siblings, right ones) on its way."""
+        steps, level, at = [[] for _ in hashes], list(hashes), list(range(len(hashes)))
+        while len(level) > 1:
+            for k, place in enumerate(at):
+                run = level[place // fanout * fanout :][:fanout]
+                steps[k].append(("".join(run[: place % fanout]), "".join(run[place % fanout + 1 :])))
+            at = [place // fanout for place in at]
+            level = [hexed("".join(level[k : k + fanout])) for k in range(0, len(level), fanout)]
+        return level[0], steps
+
+    by = defaultdict(list)
+    for r in rows:
+        by[r[2]].append(r)
+    langs = sorted(by, key=lambda g: (g is not None, (g or "").encode()))
+    done, subroots = {}, []
+    for g in langs:
+        own = sorted(by[g], key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        done[g] = (own, *tree([leaf(r) for r in own]))
+        subroots.append(done[g][1])
+    if not rows:
+        return []
+    root, above = tree(subroots)
+    out = []
+    for g, up in zip(langs, above, strict=True):
+        own, subroot, steps = done[g]
+        for r, path in zip(own, steps, strict=True):
+            tampered = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0 and r[4] is not None
+            h = leaf((*r[:4], lower(r[4]))) if tampered else leaf(r)
+            for left, right in path + up:
+                h = hexed(left + h + right)
+            proof = hexed("".join(left + right for left, right in path + up))
+            out.append((r[0], leaf(r), subroot, root, proof, h, h == root))
+    return out
+
+
+def codes(rows, parts=16, entries=64, rounds=2):
+    """Rows of (vec_id, vector, label)."""
+    kept = []
+    for i, v, label in rows:
+        if v and None not in v and all(math.isfinite(x) for x in v) and all(abs(math.floor(256 * x)) <= 1 << 26 for x in v):
+            kept.append((i, [math.floor(256 * x) for x in v], label))
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    if not kept:
+        return []
+    kept = [r for r in kept if len(r[1]) == len(kept[0][1])]
+    width = -(-len(kept[0][1]) // parts)
+    cut = [[(v + [0] * (parts * width - len(v)))[p * width : (p + 1) * width] for p in range(parts)] for _, v, _ in kept]
+    books = [[cut[k][p] for k in range(min(entries, len(cut)))] for p in range(parts)]
+
+    def assign():
+        apart = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+        return [[min((apart(c[p], e), k) for k, e in enumerate(books[p])) for p in range(parts)] for c in cut]
+
+    for _ in range(rounds):
+        own = assign()
+        for p in range(parts):
+            for k in range(len(books[p])):
+                mine = [c[p] for c, o in zip(cut, own, strict=True) if o[p][1] == k]
+                if mine:
+                    books[p][k] = [math.floor(sum(x) / len(mine)) for x in zip(*mine, strict=True)]
+    told = hexed(",".join(str(x) for book in books for e in book for x in e))
+    own, sums = assign(), Counter()
+    for (_, _, label), o in zip(kept, own, strict=True):
+        sums[label] += sum(d for d, _ in o)
+    return [
+        (i, "".join(f"{k:02x}" for _, k in o), sum(d for d, _ in o), sums[label], told)
+        for (i, _, label), o in zip(kept, own, strict=True)
+    ]

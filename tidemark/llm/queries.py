@@ -8,7 +8,7 @@ from functools import partial
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, counts, exact, minhash, mixing, pii, quality, suffix, vectors, warc
+from tidemark.llm import bpe, codes, counts, decontam, exact, merkle, minhash, mixing, pii, quality, suffix, vectors, warc
 from tidemark.llm.common import prepare
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,6 +59,18 @@ def cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_documents(spark, sf_dir), quality.read_labels(spark, sf_dir))
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_documents(spark, sf_dir))
+
+
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": source_mixing,
     "op9_near_vectors": near_vectors,
     "op10_cotrained_quality": cotrained_quality,
+    "op11_benchmark_decontamination": benchmark_decontamination,
+    "op12_merkle_manifest": merkle_manifest,
+    "op13_vector_codes": vector_codes,
     "pipeline": pipeline,
 }
 
