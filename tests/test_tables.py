@@ -1,265 +1,306 @@
-"""The literal inputs of the lessons, with results worked out by hand."""
+"""Tables, merges, versions, windows and small functions on made-up rows, with results worked out by hand or by a model."""
 
 import datetime as dt
+import random
 from functools import partial
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
+from pyspark.errors import PySparkException
 from pyspark.sql import Row, functions as F
 
 from tidemark.functions import bucket_case, extract_fenced, extract_score, fold_elements, range_partition, route_status
 from tidemark.operators.documents import chunk_fixed
 from tidemark.operators.layout import target_files
-from tidemark.operators.merge import DuplicateSourceRows, merge_into, snapshot_diff
+from tidemark.operators.merge import DUPLICATE_KEY, DUPLICATE_SOURCE, merge_into, snapshot_diff
 from tidemark.operators.relational import partition_counts, unmatched
 from tidemark.operators.versions import VersionedTable
-from tidemark.session import workspace
+from tidemark.session import is_small, workspace
 from tidemark.streaming.windows import sliding, tumbling
 
+BOAT = "boat int, name string, rig string, metres int"
+
 
 @pytest.fixture
-def products(spark):
-    data = [
-        (101, "Laptop", "Electronics", 1200),
-        (102, "Smartphone", "Electronics", 800),
-        (103, "Desk Chair", "Furniture", 150),
-        (104, "Monitor", "Electronics", 300),
-        (105, "Backpack", "Travel", 50),
-    ]
-    return spark.createDataFrame(data, "product_id int, product_name string, category string, price int")
+def boats(spark):
+    data = [(31, "Heron", "sloop", 9), (32, "Tern", "ketch", 14), (33, "Dunlin", "dinghy", 4), (34, "Gannet", "sloop", 12), (35, "Plover", "dinghy", 5), (36, "Knot", "ketch", 17)]
+    return spark.createDataFrame(data, BOAT)
 
 
 @pytest.fixture
-def sales(spark):
-    data = [(1, 101, 2), (2, 102, 1), (3, 101, 1), (4, 103, 4), (5, 105, 2), (6, 999, 1)]
-    return spark.createDataFrame(data, "sale_id int, product_id int, quantity int")
-
-
-def test_sort_by_a_column_left_out(products):
-    out = products.filter("price >= 300").select("product_name").orderBy(F.col("price").desc())
-    assert [r[0] for r in out.collect()] == ["Laptop", "Smartphone", "Monitor"]
-
-
-def test_quantity_per_category(products, sales):
-    out = sales.join(products, "product_id").groupBy("category").agg(F.sum("quantity"))
-    assert rows(out) == [("Electronics", 4), ("Furniture", 4), ("Travel", 2)]
-
-
-def test_upsert_prices(spark, products):
-    updates = spark.createDataFrame([(102, 250), (106, 200)], "product_id int, new_price int")
-    fill = {
-        "product_id": F.col("s.product_id"),
-        "product_name": F.lit("New Item"),
-        "category": F.lit("Misc"),
-        "price": F.col("s.new_price"),
-    }
-    plan = merge_into(products, updates, "product_id")
-    out = plan.when_matched_update({"price": F.col("s.new_price")}).when_not_matched_insert(fill).to_df()
-    got = {r.product_id: (r.product_name, r.category, r.price) for r in out.collect()}
-    assert got[102] == ("Smartphone", "Electronics", 250)
-    assert got[106] == ("New Item", "Misc", 200)
-    assert len(got) == 6
-
-
-def test_merge_refuses_an_ambiguous_source(spark, products):
-    updates = spark.createDataFrame([(102, 250), (102, 300)], "product_id int, new_price int")
-    with pytest.raises(DuplicateSourceRows):
-        merge_into(products, updates, "product_id").when_matched_update({"price": F.col("s.new_price")}).to_df()
-
-
-def test_first_matching_clause_wins_and_null_keys_never_match(spark):
-    target = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "id int, v int")
-    source = spark.createDataFrame([(1, 1), (2, 2), (None, 3)], "id int, v int")
-    plan = merge_into(target, source, "id").when_matched_delete(F.col("s.v") == 1)
-    plan.when_matched_update({"v": F.lit(0)}).when_not_matched_insert()
-    assert rows(plan.to_df()) == [(2, 0), (None, 3), (None, 30)]
-    changes = rows(plan.changes())
-    assert changes == [
-        ("delete", 1, 10),
-        ("insert", None, 3),
-        ("update_postimage", 2, 0),
-        ("update_preimage", 2, 20),
-    ]
-
-
-def test_unmatched_rows_of_either_side(products, sales):
-    out = unmatched(products, sales, "product_id").select("product_id", "product_name", "sale_id")
-    assert rows(out) == [(104, "Monitor", None), (999, None, 6)]
-
-
-def test_products_never_sold(products, sales):
-    assert rows(products.join(sales, "product_id", "left_anti").select("product_id")) == [(104,)]
-
-
-def ids(table, version=None):
-    return sorted(r.id for r in table.as_of(version).collect())
-
-
-def test_maintenance_trace(spark):
-    table = VersionedTable(spark, workspace(spark, "trace"), key="id")
-    table.create(spark.range(0, 5))
-    table.merge(spark.range(5, 10), "id", lambda p: p.when_not_matched_insert())
-    assert ids(table) == list(range(10))
-    table.update(F.col("id") % 2 == 0, {"id": F.col("id") + 100})
-    assert ids(table) == [1, 3, 5, 7, 9, 100, 102, 104, 106, 108]
-
-    def modify():
-        table.update(F.col("id") < 105, {"id": F.col("id") + 10})
-        table.delete(F.col("id") > 110)
-        table.append(spark.createDataFrame([(200,), (201,), (202,)], "id long"))
-        table.update(F.col("id") >= 200, {"id": F.col("id") - 5})
-
-    modify()
-    assert ids(table) == [11, 13, 15, 17, 19, 106, 108, 110, 195, 196, 197]
-    modify()
-    table.compact()
-    assert ids(table) == [21, 23, 25, 27, 29, 106, 108, 110, 195, 196, 197]
-    table.delete(F.col("id") % 2 == 0)
-    assert ids(table) == [21, 23, 25, 27, 29, 195, 197]
-    upsert = lambda p: p.when_matched_update({"id": F.col("s.id")}).when_not_matched_insert()
-    table.merge(spark.range(0, 20), "id", upsert)
-    assert len(ids(table)) == 27
-    assert ids(table, 0) == [0, 1, 2, 3, 4]
-    assert ids(table, 3) == [11, 13, 15, 17, 19, 106, 108, 110, 112, 114]
-    operations = [r.operation for r in table.history().orderBy("version").collect()]
-    assert operations[:4] == ["WRITE", "MERGE", "UPDATE", "UPDATE"]
+def visits(spark):
+    data = [(1, 32, 3), (2, 32, 2), (3, 34, 1), (4, 33, 6), (5, 36, 2), (6, 77, 4), (7, None, 1)]
+    return spark.createDataFrame(data, "visit int, boat int, nights int")
 
 
-@pytest.fixture
-def people(spark):
-    table = VersionedTable(spark, workspace(spark, "people"), key="id")
-    people = [(1, "Alice", "HR"), (2, "Bob", "IT"), (3, "Carol", "Finance")]
-    table.create(spark.createDataFrame(people, "id long, name string, dept string"))
-    table.update(F.col("id") == 2, {"dept": F.lit("Security")})
-    table.delete(F.col("id") == 3)
-    return table
+def test_sort_by_a_column_left_out(boats):
+    out = boats.filter("metres >= 9").select("name").orderBy(F.col("metres").desc())
+    assert [r[0] for r in out.collect()] == ["Knot", "Tern", "Gannet", "Heron"]
+
+
+def test_nights_per_rig(boats, visits):
+    out = visits.join(boats, "boat").groupBy("rig").agg(F.sum("nights"))
+    assert rows(out) == [("dinghy", 6), ("ketch", 7), ("sloop", 1)]
+
+
+@pytest.fixture(params=["sent", "shuffled"])
+def either_way(request, monkeypatch):
+    """Merges with a source that is sent to all tasks, and with one that is shuffled."""
+    monkeypatch.setattr("tidemark.operators.merge.is_small", lambda df: request.param == "sent")
+    return request.param
+
+
+def test_upsert(spark, boats, either_way):
+    surveys = spark.createDataFrame([(34, 13), (40, 8), (None, 6)], "boat int, length int")
+    fill = {"boat": F.col("s.boat"), "name": F.lit("unnamed"), "metres": F.col("s.length")}
+    plan = merge_into(boats, surveys, "boat").when_matched_update({"metres": F.col("s.length")}).when_not_matched_insert(fill)
+    got = {r.boat: (r.name, r.rig, r.metres) for r in plan.to_df().collect()}
+    assert got[34] == ("Gannet", "sloop", 13) and got[31] == ("Heron", "sloop", 9)
+    assert got[40] == ("unnamed", None, 8) and got[None] == ("unnamed", None, 6)
+    assert len(got) == 8
+    kinds = plan.changes().groupBy("_change_type").count()
+    assert rows(kinds) == [("insert", 2), ("update_postimage", 1), ("update_preimage", 1)]
+
+
+def test_merge_refuses_an_ambiguous_source(spark, boats, either_way):
+    surveys = spark.createDataFrame([(34, 13), (34, 14)], "boat int, length int")
+    plan = merge_into(boats, surveys, "boat").when_matched_update({"metres": F.col("s.length")})
+    for told in (plan.to_df(), plan.changes()):
+        with pytest.raises(PySparkException, match=DUPLICATE_SOURCE):
+            told.collect()
+
+
+def test_target_rows_may_share_a_key(spark, either_way):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    source = spark.createDataFrame([(1, "z"), (3, "y")], "k int, v string")
+    plan = merge_into(target, source, "k").when_matched_update({"v": F.concat("t.v", "s.v")}).when_not_matched_insert()
+    assert rows(plan.to_df()) == [(1, "az"), (1, "bz"), (2, "c"), (3, "y")]
+
+
+def test_first_clause_wins_and_null_keys_never_match(spark, either_way):
+    target = spark.createDataFrame([(4, 40), (5, 50), (6, 60), (None, 70)], "k int, v int")
+    source = spark.createDataFrame([(4, -1), (5, -2), (None, -3), (None, -4), (8, -5), (9, 5)], "k int, v int")
+    plan = merge_into(target, source, "k").when_matched_delete(F.col("s.v") == -2).when_matched_update({"v": F.col("t.v") + F.col("s.v")})
+    plan.when_not_matched_insert(condition=F.col("s.v") < -4).when_not_matched_insert({"k": F.lit(0)}, F.col("s.k").isNull())
+    assert rows(plan.to_df()) == sorted([(4, 39), (6, 60), (None, 70), (8, -5), (0, None), (0, None)], key=str)
+    assert rows(plan.changes()) == sorted(
+        [("delete", 5, 50), ("update_preimage", 4, 40), ("update_postimage", 4, 39), ("insert", 8, -5), ("insert", 0, None), ("insert", 0, None)], key=str
+    )
 
 
-def test_change_feed(people):
-    feed = people.change_feed().drop("_commit_timestamp")
-    assert rows(feed) == sorted(
+def test_null_safe_merge(spark, either_way):
+    target = spark.createDataFrame([(1, None, 10), (None, None, 20)], "a int, b string, v int")
+    source = spark.createDataFrame([(None, None, 5), (1, "x", 6)], "a int, b string, v int")
+    plan = merge_into(target, source, ["a", "b"], null_safe=True).when_matched_update({"v": F.col("s.v")}).when_not_matched_insert()
+    assert rows(plan.to_df()) == sorted([(1, None, 10), (None, None, 5), (1, "x", 6)], key=str)
+
+
+def test_a_merge_shuffles_each_side_once(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.merge.is_small", lambda df: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target, source = (spark.range(n).selectExpr("id AS k", "id * 2 AS v") for n in (1_000, 1_500))
+        plan = merge_into(target, source, "k").when_matched_update({"v": F.col("s.v")}).when_not_matched_insert()
+        joined = plan_of(merge_into(target, source, "k", null_safe=True).when_matched_update({"v": F.col("s.v")}).when_not_matched_insert().to_df())
+        assert joined.count("hashpartitioning") == 2 and joined.count("SortMergeJoin") >= 1
+        assert plan.to_df().count() == 1_500
+        diff = snapshot_diff(target, source, "k")
+        assert plan_of(diff).count("hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_difference_of_snapshots(spark):
+    cols = "k int, part string, v int"
+    old = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "a", 3), (None, "a", 4), (3, None, 5)], cols)
+    new = spark.createDataFrame([(1, "a", 1), (1, "b", 9), (None, "a", 7), (3, None, 5), (4, "a", 6)], cols)
+    assert rows(snapshot_diff(old, new, ["k", "part"])) == sorted(
         [
-            (1, "Alice", "HR", "insert", 0),
-            (2, "Bob", "IT", "insert", 0),
-            (3, "Carol", "Finance", "insert", 0),
-            (2, "Bob", "IT", "update_preimage", 1),
-            (2, "Bob", "Security", "update_postimage", 1),
-            (3, "Carol", "Finance", "delete", 2),
+            ("update_preimage", 1, "b", 2), ("update_postimage", 1, "b", 9), ("delete", 2, "a", 3),
+            ("update_preimage", None, "a", 4), ("update_postimage", None, "a", 7), ("insert", 4, "a", 6),
         ],
         key=str,
-    )
-    assert people.change_feed(1, 1).count() == 2
+    )
+    with pytest.raises(PySparkException, match=DUPLICATE_KEY):
+        snapshot_diff(old, new, "k").collect()
+
+
+def test_broadcast_hints_need_a_known_size(spark, tables):
+    assert is_small(tables.nation) and is_small(tables.nation.filter("n_nationkey > 3").distinct())
+    blown_up = tables.nation.select(F.explode(F.sequence(F.lit(0), F.lit(50_000_000))).alias("n"))
+    assert not is_small(blown_up)
+    assert not is_small(tables.nation.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey")))
+    assert not is_small(tables.nation.mapInPandas(lambda batches: batches, tables.nation.schema))
+
+
+def test_unmatched_rows_of_either_side(boats, visits):
+    out = unmatched(boats, visits, "boat").select("boat", "name", "visit")
+    assert rows(out) == sorted([(31, "Heron", None), (35, "Plover", None), (77, None, 6), (None, None, 7)], key=str)
+
+
+def test_boats_that_never_called(boats, visits):
+    assert rows(boats.join(visits, "boat", "left_anti").select("boat")) == [(31,), (35,)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_steps_against_a_model(spark, seed):
+    """A versioned table and a dictionary go through the same steps; every version is as the dictionary was then."""
+    rng = random.Random(seed)
+    table = VersionedTable(spark, workspace(spark, "walk"), key=["shelf", "slot"])
+    frame = lambda d: spark.createDataFrame([(*k, v) for k, v in d.items()], "shelf string, slot int, jars int")
+    model = {(s, n): n for s in ("a", None) for n in range(4)}
+    table.create(frame(model))
+    states = [dict(model)]
+    for step in range(7):
+        kind = rng.choice(["update", "delete", "append", "merge", "compact"])
+        n = rng.randrange(6)
+        if kind == "update":
+            table.update(F.col("slot") >= n, {"jars": F.col("jars") * 3 + n})
+            model = {k: v * 3 + n if k[1] >= n else v for k, v in model.items()}
+        elif kind == "delete":
+            table.delete((F.col("slot") == n) & F.col("shelf").isNull())
+            model.pop((None, n), None)
+        elif kind == "append":
+            new = {("new", 100 * step + k): k for k in range(n)}
+            table.append(frame(new))
+            model = model | new
+        elif kind == "merge":
+            source = {(rng.choice(["a", "b", None]), k): -k for k in range(n)}
+            clauses = lambda p: p.when_matched_delete(F.col("t.jars") % 2 == 1).when_matched_update({"jars": F.col("s.jars")}).when_not_matched_insert()
+            table.merge(frame(source), ["shelf", "slot"], clauses, null_safe=True)
+            odd = {k for k in source if k in model and model[k] % 2 == 1}
+            model = {k: v for k, v in (model | source).items() if k not in odd}
+        else:
+            table.compact()
+        states.append(dict(model))
+    for version, state in enumerate(states):
+        assert rows(table.as_of(version)) == sorted([(*k, v) for k, v in state.items()], key=str)
+    assert rows(table.change_feed(1).groupBy().agg(F.count("*"))) == rows(table.history().filter("version > 0").agg(F.sum(F.col("inserted") + 2 * F.col("updated") + F.col("deleted"))))
+
+
+HIVE = "hive long, queen string, field string"
+
+
+@pytest.fixture
+def hives(spark):
+    table = VersionedTable(spark, workspace(spark, "hives"), key="hive")
+    table.create(spark.createDataFrame([(70, "Ada", "heath"), (71, "Bee", "clover"), (72, "Cleo", "lime"), (73, "Dora", "heath")], HIVE))
+    table.delete(F.col("field") == "lime")
+    table.update(F.col("hive") > 71, {"field": F.lit("rape")})
+    return table
+
+
+def test_change_feed(hives):
+    feed = hives.change_feed().drop("_commit_timestamp")
+    first = [(70, "Ada", "heath"), (71, "Bee", "clover"), (72, "Cleo", "lime"), (73, "Dora", "heath")]
+    want = [(*r, "insert", 0) for r in first] + [(72, "Cleo", "lime", "delete", 1)]
+    want += [(73, "Dora", "heath", "update_preimage", 2), (73, "Dora", "rape", "update_postimage", 2)]
+    assert rows(feed) == sorted(want, key=str)
+    assert hives.change_feed(1, 1).count() == 1
 
 
-def test_feed_equals_snapshot_diff(people):
-    stored = people.change_feed(1).select("_change_type", "id", "name", "dept")
-    assert rows(stored) == rows(snapshot_diff(people.as_of(0), people.as_of(), "id"))
+def test_feed_equals_snapshot_diff(hives):
+    stored = hives.change_feed(1).select("_change_type", "hive", "queen", "field")
+    assert rows(stored) == rows(snapshot_diff(hives.as_of(0), hives.as_of(), "hive"))
 
 
-def test_time_travel_by_timestamp(people):
-    first = next(r.timestamp for r in people.history().collect() if r.version == 0)
-    assert people.as_of(timestamp=first).count() == 3
+def test_time_travel_by_timestamp(hives):
+    first = next(r.timestamp for r in hives.history().collect() if r.version == 0)
+    assert hives.as_of(timestamp=first).count() == 4
     with pytest.raises(ValueError):
-        people.as_of(99)
+        hives.as_of(40)
 
 
-def test_overwrite_is_a_version(spark, people):
-    people.create(spark.createDataFrame([(9, "Zoe", "HR")], "id long, name string, dept string"))
-    assert rows(people.as_of()) == [(9, "Zoe", "HR")]
-    assert people.as_of(0).count() == 3
-    assert rows(people.change_feed(3).groupBy("_change_type").count()) == [("delete", 2), ("insert", 1)]
+def test_overwrite_is_a_version(spark, hives):
+    hives.create(spark.createDataFrame([(80, "Eve", "moor")], HIVE))
+    assert rows(hives.as_of()) == [(80, "Eve", "moor")]
+    assert hives.as_of(0).count() == 4
+    assert rows(hives.change_feed(3).groupBy("_change_type").count()) == [("delete", 3), ("insert", 1)]
 
 
 def test_update_sees_the_row_as_it_was(spark):
-    table = VersionedTable(spark, workspace(spark, "swap"), key="id")
-    table.create(spark.createDataFrame([(1, 5, 7)], "id int, a int, b int"))
+    table = VersionedTable(spark, workspace(spark, "swap"), key="k")
+    table.create(spark.createDataFrame([(4, "left", "right")], "k int, a string, b string"))
     table.update(F.lit(True), {"a": F.col("b"), "b": F.col("a")})
-    assert rows(table.as_of()) == [(1, 7, 5)]
+    assert rows(table.as_of()) == [(4, "right", "left")]
 
 
 def test_a_batch_is_applied_once(spark):
     table = VersionedTable(spark, workspace(spark, "once"))
-    table.create(spark.range(3))
-    assert table.append(spark.range(2), batch_tag="s#1") == 1
-    assert table.append(spark.range(2), batch_tag="s#1") is None
-    assert table.as_of().count() == 5
+    table.create(spark.range(7))
+    assert table.append(spark.range(4), batch_tag="feed#9") == 1
+    assert table.append(spark.range(4), batch_tag="feed#9") is None
+    assert table.as_of().count() == 11
 
 
-def test_an_uncommitted_write_is_invisible(spark, people):
-    orphan = spark.createDataFrame([(7, "Ghost", "HR", "insert")], "id long, name string, dept string, _change_type string")
-    orphan.write.parquet(f"{people.path}/changes/_version=3")
-    assert people.as_of().count() == 2
-    people.append(spark.createDataFrame([(8, "Hal", "IT")], "id long, name string, dept string"))
-    assert sorted(r.id for r in people.as_of().collect()) == [1, 2, 8]
+def test_an_uncommitted_write_is_invisible(spark, hives):
+    orphan = spark.createDataFrame([(99, "Nobody", "moor", "insert")], HIVE + ", _change_type string")
+    orphan.write.parquet(f"{hives.path}/changes/_version=3")
+    assert hives.as_of().count() == 3
+    hives.append(spark.createDataFrame([(81, "Flo", "moor")], HIVE))
+    assert sorted(r.hive for r in hives.as_of().collect()) == [70, 71, 73, 81]
 
 
 def test_appending_new_columns_needs_consent(spark):
     table = VersionedTable(spark, workspace(spark, "evolve"))
-    table.create(spark.range(2))
-    wider = spark.range(1).withColumn("note", F.lit("x"))
+    table.create(spark.range(3))
+    wider = spark.range(10, 11).withColumn("remark", F.lit("late"))
     with pytest.raises(ValueError):
         table.append(wider)
     table.append(wider, evolve=True)
-    assert rows(table.as_of()) == [(0, "x"), (0, None), (1, None)]
+    assert rows(table.as_of()) == [(0, None), (1, None), (10, "late"), (2, None)]
     assert table.as_of(0).columns == ["id"]
 
 
 def test_range_partitions(spark):
-    keys = [*range(1, 6), *range(150000, 150005), *range(250000, 250005), *range(350000, 350005)]
-    orders = spark.createDataFrame([(k,) for k in keys], "order_id int")
-    out = partition_counts(orders, "order_id", [100000, 200000, 300000], ["FG1", "FG2", "FG3", "FG4"])
-    assert rows(out) == [(1, 5, "FG1"), (2, 5, "FG2"), (3, 5, "FG3"), (4, 5, "FG4")]
-    edge = spark.createDataFrame([(150,), (151,), (None,)], "v int").select(range_partition("v", [150]))
+    parcels = spark.createDataFrame([(g,) for g in (2, 40, 41, 500, 501, 502, 9_000)], "grams int")
+    out = partition_counts(parcels, "grams", [40, 500], ["letter", "packet", "freight"])
+    assert rows(out) == [(1, 2, "letter"), (2, 2, "packet"), (3, 3, "freight")]
+    edge = spark.createDataFrame([(7,), (8,), (None,)], "v int").select(range_partition("v", [7]))
     assert [r[0] for r in edge.collect()] == [1, 2, 1]
 
 
 def test_delay_status(spark):
-    delays = spark.createDataFrame([(d,) for d in (-1, 0, 9, 10, 29, 30, None)], "delay int")
+    delays = spark.createDataFrame([(d,) for d in (-300, -1, 0, 9, 10, 29, 30, 400, None)], "delay int")
     got = [r[0] for r in delays.select(route_status("delay")).collect()]
-    assert got == ["Early", "On Time", "On Time", "Late", "Late", "Delay", "Delay"]
+    assert got == ["Early", "Early", "On Time", "On Time", "Late", "Late", "Delay", "Delay", "Delay"]
     with pytest.raises(ValueError):
         bucket_case("delay", [1], ["only one"])
 
 
 @pytest.fixture
-def sensors(spark):
-    start = dt.datetime(2025, 6, 1, 10, 0, 0)
-    data = [
-        ("sensor_01", 22.5, 45.0, 0, "Building_A"),
-        ("sensor_01", 23.1, 44.2, 5, "Building_A"),
-        ("sensor_01", 24.0, 43.8, 12, "Building_A"),
-        ("sensor_02", 19.8, 55.1, 2, "Building_B"),
-        ("sensor_02", 20.3, 54.7, 8, "Building_B"),
-        ("sensor_02", 20.1, 55.5, 15, "Building_B"),
-        ("sensor_03", 30.2, 35.0, 1, "Building_A"),
-        ("sensor_03", 31.5, 34.2, 7, "Building_A"),
-        ("sensor_03", 29.8, 36.1, 20, "Building_A"),
-        ("sensor_01", 25.0, 42.0, 25, "Building_A"),
-        ("sensor_02", 21.0, 53.0, 30, "Building_B"),
-        ("sensor_03", 28.5, 37.0, 35, "Building_A"),
-        ("sensor_01", 22.0, 46.0, 40, "Building_A"),
-        ("sensor_02", 19.5, 56.0, 45, "Building_B"),
-        ("sensor_03", 32.0, 33.0, 50, "Building_A"),
-    ]
-    rows_ = [(s, t, h, start + dt.timedelta(seconds=n), b) for s, t, h, n, b in data]
-    return spark.createDataFrame(
-        rows_, "sensor_id string, temperature double, humidity double, event_time timestamp, location string"
-    )
+def tides(spark):
+    """Water levels of two harbours every four seconds, by a rule."""
+    noon = dt.datetime(2024, 3, 9, 12, 0, 0)
+    data = [(port, float((7 * n + shift) % 13), noon + dt.timedelta(seconds=4 * n)) for port, shift in (("north", 0), ("south", 5)) for n in range(12)]
+    return data, spark.createDataFrame(data, "port string, level double, at timestamp")
+
+
+def by_window(data, size, slide):
+    """Levels per port and window start (seconds of the epoch), by the definition."""
+    out = {}
+    for port, level, at in data:
+        second = int(at.replace(tzinfo=dt.timezone.utc).timestamp())
+        for start in range(second // slide * slide, second - size, -slide):
+            out.setdefault((port, start), []).append(level)
+    return out
+
+
+def epoch(df):
+    return df.withColumn("start", F.unix_timestamp("window_start"))
 
 
-def test_sensor_means(sensors):
-    aggs = [F.round(F.avg("temperature"), 6).alias("t")]
-    out = tumbling(sensors, "event_time", "10 seconds", aggs, keys=["sensor_id"]).filter("sensor_id = 'sensor_01'")
-    assert {(r.window_start.second, r.t) for r in out.collect()} == {(0, 22.8), (10, 24.0), (20, 25.0), (40, 22.0)}
+def test_tumbling_means(tides):
+    data, frame = tides
+    out = epoch(tumbling(frame, "at", "10 seconds", [F.round(F.avg("level"), 6).alias("mean")], keys=["port"]))
+    want = {k: round(sum(v) / len(v), 6) for k, v in by_window(data, 10, 10).items()}
+    assert {(r.port, r.start): r["mean"] for r in out.collect()} == want
 
 
-def test_sensor_sliding_maximum(sensors):
-    aggs = [F.max("humidity").alias("h")]
-    out = sliding(sensors, "event_time", "20 seconds", "10 seconds", ["location"], aggs)
-    got = {(r.window_start.strftime("%M:%S"), r.location): r.h for r in out.collect()}
-    assert got[("59:50", "Building_A")] == 45.0
-    assert got[("00:10", "Building_B")] == 55.5
-    assert got[("00:40", "Building_A")] == 46.0
+def test_sliding_maximum(tides):
+    data, frame = tides
+    out = epoch(sliding(frame, "at", "24 seconds", "8 seconds", ["port"], [F.max("level").alias("top")]))
+    assert {(r.port, r.start): r.top for r in out.collect()} == {k: max(v) for k, v in by_window(data, 24, 8).items()}
 
 
 def test_fixed_chunks(spark):
@@ -276,20 +317,19 @@ def test_fixed_chunks(spark):
 
 
 def test_arrays(spark):
-    scores = spark.createDataFrame([Row(user_id=1, scores=[83, 91, 77]), Row(user_id=2, scores=[68, 88]), Row(user_id=3, scores=[])])
-    out = scores.select("user_id", F.size("scores"), F.array_max("scores"))
-    assert rows(out) == [(1, 3, 91), (2, 2, 88), (3, 0, None)]
-    exploded = scores.select("user_id", F.explode_outer("scores").alias("score"))
-    assert exploded.count() == 6
-    means = exploded.groupBy("user_id").agg(F.round(F.avg("score"), 3))
-    assert rows(means) == [(1, 83.667), (2, 78.0), (3, None)]
+    throws = spark.createDataFrame([Row(player="x", points=[4, 20]), Row(player="y", points=[]), Row(player="z", points=[1, 1, 5, 2])])
+    out = throws.select("player", F.size("points"), F.array_max("points"))
+    assert rows(out) == [("x", 2, 20), ("y", 0, None), ("z", 4, 5)]
+    each = throws.select("player", F.explode_outer("points").alias("point"))
+    assert each.count() == 7
+    assert rows(each.groupBy("player").agg(F.avg("point"))) == [("x", 12.0), ("y", None), ("z", 2.25)]
 
 
 def test_union_is_positional(spark):
-    a = spark.createDataFrame([(1, "x")], "id int, First_Name string")
-    b = spark.createDataFrame([("y", 2)], "name string, other int").select("other", "name")
-    assert a.union(b).columns == ["id", "First_Name"]
-    assert rows(a.union(b)) == [(1, "x"), (2, "y")]
+    a = spark.createDataFrame([(5, "oak")], "ring int, Tree string")
+    b = spark.createDataFrame([("elm", 6)], "species string, year int").select("year", "species")
+    assert a.union(b).columns == ["ring", "Tree"]
+    assert rows(a.union(b)) == [(5, "oak"), (6, "elm")]
 
 
 def test_folded_elements_start_with_the_separator(spark):

@@ -12,15 +12,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, estimated_bytes
+from tidemark.session import is_small
 
 CHANGE_TYPE = "_change_type"
 INSERT, DELETE = "insert", "delete"
 PREIMAGE, POSTIMAGE = "update_preimage", "update_postimage"
 
 
-class DuplicateSourceRows(ValueError):
-    """Several source rows share one merge key, so the outcome would be arbitrary."""
+# Why a merge or a difference fails: the outcome would be arbitrary. Raised by the tasks that see the rows.
+DUPLICATE_SOURCE = "several source rows share one merge key"
+DUPLICATE_KEY = "several rows of a snapshot share one key"
 
 
 @dataclass
@@ -35,6 +36,7 @@ class MergePlan:
     source: DataFrame
     on: Sequence[str]
     source_is_unique: bool = False
+    null_safe: bool = False
     matched: list[_Matched] = field(default_factory=list)
     not_matched: list[tuple[Column, Mapping[str, Column]]] = field(default_factory=list)
 
@@ -58,59 +60,86 @@ class MergePlan:
         self.not_matched.append((_or_true(condition), dict(values)))
         return self
 
-    def check_source(self) -> None:
-        """Fail if a key occurs twice in the source (rows with a NULL key never match).
-
-        The check is a pass over the source; ``source_is_unique`` skips it for a source that was
-        reduced to one row per key just before.
-        """
-        if self.source_is_unique:
-            return
-        keys = self.source.dropna(subset=list(self.on))
-        repeated = keys.groupBy(*self.on).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        if not repeated.isEmpty():
-            raise DuplicateSourceRows(f"merge source is not unique on {list(self.on)}")
-
     def to_df(self) -> DataFrame:
         """The whole table after the merge."""
-        if self.matched:
-            self.check_source()
-            acted = self._pair("left")
-            changed = F.col("_action")
-            survivors = [i for i, m in enumerate(self.matched) if m.values is None]
-            kept = acted.filter(~changed.isin(*survivors)) if survivors else acted
-            result = kept.select(*[self._value(c) for c in self.target.columns])
+        columns = self.target.columns
+        deletes = [i for i, m in enumerate(self.matched) if m.values is None]
+        gone = F.col("_action").isin(*deletes) if deletes else F.lit(False)
+        if self._travels():
+            kept = self._acted(self._pairs("left")).filter(~gone).select(*[self._value(c) for c in columns])
+            inserts = self._inserts(self._unmatched())
         else:
-            result = self.target
-        inserts = self._inserts()
-        return result.unionByName(inserts) if inserts is not None else result
+            both = self._acted(self._pairs("full" if self.not_matched else "left"))
+            here = F.col("t._here").isNotNull()
+            rows = F.when(here, F.struct(*[self._value(c) for c in columns])).otherwise(self._inserted())
+            kept = both.filter(F.when(here, ~gone).otherwise(F.col("_clause") >= 0)).select(rows.alias("c")).select("c.*")
+            inserts = self._inserts(self._keyless())
+        return kept.unionByName(inserts) if inserts is not None else kept
 
     def changes(self) -> DataFrame:
         """Only the rows the merge touches, as change-feed rows."""
         columns = self.target.columns
-        parts = []
-        if self.matched:
-            self.check_source()
-            acted = self._pair("inner").filter(F.col("_action") >= 0)
-            deletes = [i for i, m in enumerate(self.matched) if m.values is None]
-            is_delete = F.col("_action").isin(*deletes) if deletes else F.lit(False)
-            old = lambda kind: F.struct(F.lit(kind).alias(CHANGE_TYPE), *[F.col(f"t.{c}").alias(c) for c in columns])
-            new = F.struct(F.lit(POSTIMAGE).alias(CHANGE_TYPE), *[self._value(c) for c in columns])
-            images = F.when(is_delete, F.array(old(DELETE))).otherwise(F.array(old(PREIMAGE), new))
-            parts.append(acted.select(F.explode(images).alias("c")).select("c.*"))
-        inserts = self._inserts()
+        deletes = [i for i, m in enumerate(self.matched) if m.values is None]
+        gone = F.col("_action").isin(*deletes) if deletes else F.lit(False)
+        image = lambda kind, row: F.struct(F.lit(kind).alias(CHANGE_TYPE), row.alias("row"))
+        old = F.struct(*[F.col(f"t.{c}").alias(c) for c in columns])
+        new = F.struct(*[self._value(c) for c in columns])
+        images = F.when(gone, F.array(image(DELETE, old))).otherwise(F.array(image(PREIMAGE, old), image(POSTIMAGE, new)))
+        hit = F.col("_action") >= 0
+        if self._travels():
+            acted, inserts = self._acted(self._pairs("inner")).filter(hit), self._inserts(self._unmatched())
+        else:
+            fresh = F.col("t._here").isNull()
+            acted = self._acted(self._pairs("full" if self.not_matched else "inner"))
+            acted = acted.filter(hit | (fresh & (F.col("_clause") >= 0)))
+            images = F.when(fresh, F.array(image(INSERT, self._inserted()))).otherwise(images)
+            inserts = self._inserts(self._keyless())
+        told = acted.select(F.explode(images).alias("c")).select(f"c.{CHANGE_TYPE}", "c.row.*")
         if inserts is not None:
-            parts.append(inserts.select(F.lit(INSERT).alias(CHANGE_TYPE), *columns))
-        return reduce(DataFrame.unionByName, parts)
-
-    def _pair(self, how: str) -> DataFrame:
-        """Target rows joined to their source row, with the index of the clause that applies."""
-        t, s = self.target.alias("t"), self.source.withColumn("_hit", F.lit(True)).alias("s")
-        match = reduce(Column.__and__, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in self.on])
-        action = F.lit(-1)
-        for i, clause in reversed(list(enumerate(self.matched))):
-            action = F.when(F.col("s._hit") & clause.condition, F.lit(i)).otherwise(action)
-        return t.join(broadcast_if_small(s), match, how).withColumn("_action", action)
+            told = told.unionByName(inserts.select(F.lit(INSERT).alias(CHANGE_TYPE), *columns))
+        return told
+
+    def _travels(self) -> bool:
+        """Whether the source is small enough to be sent to every task, so that the target stays where it is.
+
+        Otherwise both sides are shuffled once by their keys: the source is reduced to a row per key by the same
+        shuffle that then meets the target, and one outer join tells matched rows from new ones.
+        """
+        return is_small(self.source)
+
+    def _keyed(self) -> DataFrame:
+        """The source as ``s``, a row per key, with ``_hit``; rows whose key has a NULL only where those can match.
+
+        A key that comes twice makes the task that finds it fail, so no pass of its own is needed for the check.
+        """
+        keys = list(self.on)
+        source = self.source if self.null_safe else self.source.dropna(subset=keys)
+        if self.source_is_unique or not self.matched:
+            return source.withColumn("_hit", F.lit(True)).alias("s")
+        grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*source.columns)).alias("_row"))
+        once = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"{DUPLICATE_SOURCE} of {keys}")).cast("boolean")).otherwise(F.lit(True))
+        rest = [F.col(f"_row.{c}").alias(c) for c in source.columns if c not in keys]
+        return grouped.select(*keys, *rest, once.alias("_hit")).alias("s")
+
+    def _pairs(self, how: str) -> DataFrame:
+        """Target rows joined to their source row."""
+        t, s = self.target.withColumn("_here", F.lit(True)).alias("t"), self._keyed()
+        return t.join(F.broadcast(s) if self._travels() else s, self._match("t", "s"), how)
+
+    def _match(self, left: str, right: str) -> Column:
+        one = lambda k: (
+            F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) if self.null_safe else F.col(f"{left}.{k}") == F.col(f"{right}.{k}")
+        )
+        return reduce(Column.__and__, map(one, self.on))
+
+    def _acted(self, pairs: DataFrame) -> DataFrame:
+        """With the index of the clause that applies to a matched row (-1: none), and to a new one."""
+        action, clause = F.lit(-1), F.lit(-1)
+        for i, matched in reversed(list(enumerate(self.matched))):
+            action = F.when(F.col("t._here") & F.col("s._hit") & matched.condition, F.lit(i)).otherwise(action)
+        for i, (condition, _) in reversed(list(enumerate(self.not_matched))):
+            clause = F.when(condition, F.lit(i)).otherwise(clause)
+        return pairs.withColumns({"_action": action, "_clause": clause})
 
     def _value(self, column: str) -> Column:
         value = F.col(f"t.{column}")
@@ -119,29 +148,38 @@ class MergePlan:
                 value = F.when(F.col("_action") == i, clause.values[column]).otherwise(value)
         return value.cast(self.target.schema[column].dataType).alias(column)
 
-    def _inserts(self) -> DataFrame | None:
+    def _inserted(self) -> Column:
+        """The row that a new source row becomes, by the clause that applies to it."""
+        fields = []
+        for f in self.target.schema.fields:
+            value = F.lit(None)
+            for i, (_, values) in enumerate(self.not_matched):
+                value = F.when(F.col("_clause") == i, values.get(f.name, F.lit(None))).otherwise(value)
+            fields.append(value.cast(f.dataType).alias(f.name))
+        return F.struct(*fields)
+
+    def _keyless(self) -> DataFrame | None:
+        """Source rows that cannot match as their key has a NULL, as ``s``."""
+        if self.null_safe or not self.not_matched:
+            return None
+        return self.source.filter(reduce(Column.__or__, [F.col(k).isNull() for k in self.on])).alias("s")
+
+    def _unmatched(self) -> DataFrame | None:
+        """Source rows without a target row, as ``s``; the target is reduced to the source's keys first, unshuffled."""
         if not self.not_matched:
             return None
-        keys = list(self.on)
-        known = self.target.select(*keys)
-        if estimated_bytes(self.source) <= BROADCAST_LIMIT_BYTES:
-            # Reduce the target to the few keys in question first: it is scanned, not shuffled.
-            known = known.join(broadcast_if_small(self.source.select(*keys)), keys, "left_semi").distinct()
-        fresh = self.source.join(known, keys, "left_anti").alias("s")
-        remaining = fresh
-        parts = []
-        for condition, values in self.not_matched:
-            chosen = remaining.filter(condition)
-            parts.append(
-                chosen.select(
-                    *[
-                        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-                        for f in self.target.schema.fields
-                    ]
-                )
-            )
-            remaining = remaining.filter(~F.coalesce(condition, F.lit(False)))
-        return reduce(DataFrame.unionByName, parts)
+        keys = F.broadcast(self.source.select(*self.on).distinct()).alias("k")
+        known = self.target.select(*self.on).alias("t").join(keys, self._match("t", "k"), "left_semi").distinct()
+        return self.source.alias("s").join(known.alias("t"), self._match("s", "t"), "left_anti")
+
+    def _inserts(self, fresh: DataFrame | None) -> DataFrame | None:
+        if fresh is None:
+            return None
+        clause = F.lit(-1)
+        for i, (condition, _) in reversed(list(enumerate(self.not_matched))):
+            clause = F.when(condition, F.lit(i)).otherwise(clause)
+        told = fresh.withColumn("_clause", clause).filter(F.col("_clause") >= 0)
+        return told.select(self._inserted().alias("c")).select("c.*")
 
 
 def _or_true(condition: Column | None) -> Column:
@@ -149,9 +187,15 @@ def _or_true(condition: Column | None) -> Column:
 
 
 def merge_into(
-    target: DataFrame, source: DataFrame, on: str | Sequence[str], source_is_unique: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    on: str | Sequence[str],
+    source_is_unique: bool = False,
+    null_safe: bool = False,
 ) -> MergePlan:
-    return MergePlan(target, source, [on] if isinstance(on, str) else list(on), source_is_unique)
+    """A merge to which WHEN clauses are added. Several source rows per key make it fail, unless ``source_is_unique``
+    says that there are none. A NULL in a key matches nothing, or with ``null_safe`` another NULL."""
+    return MergePlan(target, source, [on] if isinstance(on, str) else list(on), source_is_unique, null_safe)
 
 
 def update(df: DataFrame, predicate: Column, values: Mapping[str, Column]) -> DataFrame:
@@ -178,24 +222,25 @@ def insert_values(df: DataFrame, rows: Sequence[tuple]) -> DataFrame:
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Change-feed rows that lead from one snapshot to the next (``key`` unique in both)."""
+    """Change-feed rows that lead from one snapshot to the next (``key`` unique in both; a NULL is a value of it).
+
+    The two snapshots are tagged, put together and grouped by key: one shuffle checks that keys are unique, pairs the
+    rows and compares them.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     columns = new.columns
-    old = old.select(*columns)
-    for side in (old, new):
-        if not side.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-            raise ValueError(f"snapshot_diff needs rows unique on {keys}")
-    before = old.select(F.struct(*columns).alias("o"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    after = new.select(F.struct(*columns).alias("n"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    tagged = lambda kind, side: F.struct(F.lit(kind).alias(CHANGE_TYPE), F.col(side).alias("row"))
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    tagged = lambda df, tag: df.select(*named, F.lit(tag).alias("_new"), F.struct(*columns).alias("_row"))
+    sides = {c: F.col("_new") if c == "n" else ~F.col("_new") for c in ("o", "n")}
+    row = [F.first(F.when(at, F.col("_row")), ignorenulls=True).alias(c) for c, at in sides.items()]
+    count = [F.count(F.when(at, F.lit(1))).alias(f"_{c}s") for c, at in sides.items()]
+    pairs = tagged(old, False).unionByName(tagged(new, True)).groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(*row, *count)
+    image = lambda kind, side: F.struct(F.lit(kind).alias(CHANGE_TYPE), F.col(side).alias("row"))
     images = (
-        F.when(F.col("o").isNull(), F.array(tagged(INSERT, "n")))
-        .when(F.col("n").isNull(), F.array(tagged(DELETE, "o")))
-        .otherwise(F.array(tagged(PREIMAGE, "o"), tagged(POSTIMAGE, "n")))
-    )
-    return (
-        before.join(after, [f"_k{i}" for i in range(len(keys))], "full")
-        .filter(~F.col("o").eqNullSafe(F.col("n")))
-        .select(F.explode(images).alias("c"))
-        .select(f"c.{CHANGE_TYPE}", "c.row.*")
+        F.when(F.greatest("_os", "_ns") > 1, F.raise_error(F.lit(f"{DUPLICATE_KEY} of {keys}")))
+        .when(F.col("o").eqNullSafe(F.col("n")), F.array())
+        .when(F.col("o").isNull(), F.array(image(INSERT, "n")))
+        .when(F.col("n").isNull(), F.array(image(DELETE, "o")))
+        .otherwise(F.array(image(PREIMAGE, "o"), image(POSTIMAGE, "n")))
     )
+    return pairs.select(F.explode(images).alias("c")).select(f"c.{CHANGE_TYPE}", "c.row.*")

@@ -14,7 +14,7 @@ a time is assumed; a failed write leaves no history row and its folder is overwr
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -44,12 +44,13 @@ HISTORY_SCHEMA = (
 
 
 class VersionedTable:
-    """``key`` (unique per row) is needed for update, delete and merge; appends work without."""
+    """``key``, one column or several that are unique per row together, is needed for update, delete and merge; appends
+    work without. A NULL in a key is a value like any other."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, key: str | Sequence[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.key = key
+        self.keys = [key] if isinstance(key, str) else list(key or [])
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -70,6 +71,11 @@ class VersionedTable:
         log = self._log()
         return log[-1].version if log else -1
 
+    def schema(self) -> StructType:
+        """Columns of the latest version."""
+        log = self._log()
+        return self._schema(log, log[-1].version)
+
     def _schema(self, log: list, version: int) -> StructType:
         return StructType.fromDDL(next(r.schema for r in log if r.version == version))
 
@@ -94,9 +100,9 @@ class VersionedTable:
         if not any(r.updated or r.deleted for r in touched):
             return table.select(*columns).unionByName(changes.select(*columns))
         image_order = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE).desc()
-        final = top_n_per_key(changes, [self.key], [F.col(VERSION).desc(), image_order])
+        final = top_n_per_key(changes, self.keys, [F.col(VERSION).desc(), image_order])
         live = final.filter(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).select(*columns)
-        return without_keys(table.select(*columns), changes, self.key).unionByName(live)
+        return without_keys(table.select(*columns), changes, self.keys).unionByName(live)
 
     def change_feed(self, from_version: int = 0, to_version: int | None = None) -> DataFrame:
         """Row changes with ``_change_type``, ``_version`` and ``_commit_timestamp``.
@@ -184,6 +190,7 @@ class VersionedTable:
         clauses: Callable[[MergePlan], MergePlan],
         batch_tag: str | None = None,
         source_is_unique: bool = False,
+        null_safe: bool = False,
     ) -> int | None:
         """Merge ``source``; ``clauses`` adds the WHEN clauses. A ``batch_tag`` is applied once only.
 
@@ -192,7 +199,7 @@ class VersionedTable:
         if self._done(self._log(), batch_tag):
             return None
         source = materialize(source, "merge-source")
-        plan = clauses(merge_into(self.as_of(), source, on, source_is_unique))
+        plan = clauses(merge_into(self.as_of(), source, on, source_is_unique, null_safe))
         return self._record(plan.changes(), "MERGE", batch_tag)
 
     def compact(self) -> int:
@@ -243,18 +250,23 @@ class VersionedTable:
         return version
 
 
-def without_keys(table: DataFrame, changed: DataFrame, key: str) -> DataFrame:
-    """The rows of ``table`` whose key is not among those of ``changed``; NULL is a key like any other."""
-    stale = broadcast_if_small(changed.select(F.col(key).alias("_stale")).distinct())
-    return table.join(stale, F.col(key).eqNullSafe(F.col("_stale")), "left_anti")
+def without_keys(table: DataFrame, changed: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The rows of ``table`` whose key is not among those of ``changed``; NULL is a value like any other."""
+    keys = [key] if isinstance(key, str) else list(key)
+    names = [f"_stale{i}" for i in range(len(keys))]
+    stale = broadcast_if_small(changed.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct())
+    match = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return table.join(stale, match, "left_anti")
 
 
-def sync_index(index: DataFrame, feed: DataFrame, key: str, derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def sync_index(
+    index: DataFrame, feed: DataFrame, key: str | Sequence[str], derive: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """Bring a derived index up to date from a change feed.
 
     Only the last image of each changed key is derived again; every other row stays as it is.
     """
     order = [F.col(VERSION).desc(), F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE).desc()]
-    last = top_n_per_key(feed, [key], order)
+    last = top_n_per_key(feed, [key] if isinstance(key, str) else list(key), order)
     live = last.filter(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).drop(CHANGE_TYPE, VERSION, COMMIT_TIME)
     return without_keys(index, feed, key).unionByName(derive(live))

@@ -11,6 +11,7 @@ from tidemark.queries.registry import query
 from tidemark.session import workspace
 from tidemark.sources import Tables, write_csv
 from tidemark.streaming import windows
+from tidemark.streaming.feed import stream_changes
 from tidemark.streaming.flights import CDC_SCHEMA, clean_flights, enrich_flights, run_cdc_stream
 from tidemark.streaming.runner import run_stream, run_with_retry
 from tidemark.streaming.sources import event_time, stream_files, stream_table
@@ -73,11 +74,10 @@ def stream_table_source(t: Tables) -> DataFrame:
     maintenance._FEED + "SELECT _change_type AS change_type, count(*) AS n_changes FROM feed GROUP BY 1",
 )
 def stream_change_feed(t: Tables) -> DataFrame:
-    """Changes per type and 10 seconds of commit time; the times are those of this run, so the
-    counts are added up over the windows."""
-    path = workspace(t.spark, "feed")
-    maintenance._accounts(t).change_feed().write.parquet(path)
-    per_window = run_stream(windows.stream_change_counts(stream_table(t.spark, path)), mode="complete")
+    """Changes per type and 10 seconds of commit time, streamed from the table itself version by version; the times
+    are those of this run, so the counts are added up over the windows."""
+    feed = stream_changes(maintenance._accounts(t))
+    per_window = run_stream(windows.stream_change_counts(feed), mode="update", keys=["window_start", "change_type"])
     return per_window.groupBy("change_type").agg(F.sum("n_changes").alias("n_changes"))
 
 
@@ -110,11 +110,11 @@ def stream_tumbling_avg(t: Tables) -> DataFrame:
     "round(avg(value), 6) AS avg_value FROM events GROUP BY 1, 2, 3",
 )
 def stream_tumbling_avg_keyed(t: Tables) -> DataFrame:
-    """Mean per sensor (user) and 10 seconds, complete mode."""
+    """Mean per sensor (user) and 10 seconds: a window's last image stays, its state goes when it is closed."""
     events = Streamed(t.spark, t.folder).events
     aggs = [F.round(F.avg("value"), 6).alias("avg_value")]
-    means = windows.tumbling(events, "ts", "10 seconds", aggs, keys=["user_id"])
-    return plain_times(run_stream(means, mode="complete"))
+    means = windows.tumbling(events, "ts", "10 seconds", aggs, "10 minutes", ["user_id"])
+    return plain_times(run_stream(means, mode="update", keys=["window_start", "user_id"]))
 
 
 @query("stream_tumbling_sum", tumbling_sql("14 days", "sum(distance)::bigint AS total_distance", "7 days"))
@@ -173,9 +173,11 @@ def stream_sliding_status(t: Tables) -> DataFrame:
     "FROM events, range(2) r(i)) GROUP BY w, event_type",
 )
 def stream_sliding_max(t: Tables) -> DataFrame:
+    """The largest value per type; a window's last image stays, its state goes when it is closed."""
     events = Streamed(t.spark, t.folder).events
-    top = windows.sliding(events, "ts", "20 seconds", "10 seconds", ["event_type"], [F.max("value").alias("max_value")])
-    return plain_times(run_stream(top, mode="complete"))
+    top = [F.max("value").alias("max_value")]
+    largest = windows.sliding(events, "ts", "20 seconds", "10 seconds", ["event_type"], top, "10 minutes")
+    return plain_times(run_stream(largest, mode="update", keys=["window_start", "event_type"]))
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import sys
 import tempfile
@@ -70,13 +71,32 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# Plan nodes whose output Catalyst's estimate bounds by what the scan below them reads, and local rows.
+BOUNDED = {"Aggregate", "Deduplicate", "Distinct", "Filter", "GlobalLimit", "LocalLimit", "LocalRelation", "Project", "Relation", "Sort"}
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether ``df`` is known to be under ``limit`` bytes.
+
+    Catalyst's estimate is trusted only for plans of nodes that never give out more rows than they get, over files
+    whose size is known: it knows nothing of what an explode, a join or a Python function multiplies.
+    """
+    plan = getattr(df, "_jdf", None)
+    if plan is None:  # a Connect client cannot see it: leave the choice to the server
+        return False
+    optimized = plan.queryExecution().optimizedPlan()
+    named = [re.match(r"[ :+\-]*!?(\w+)", line) for line in optimized.toString().splitlines() if line.strip()]
+    nodes = {m[1] if m else "" for m in named}
+    return nodes <= BOUNDED and int(str(optimized.stats().sizeInBytes())) <= limit
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimate is under ``limit``.
+    """Hint a broadcast only for a side that is known to be under ``limit``.
 
-    Beyond it the frame is returned as is: the join becomes a shuffled one, which adaptive
-    execution can split on skew or turn into a broadcast once it has seen real sizes.
+    Any other frame is returned as is: the join becomes a shuffled one, which adaptive execution can split on skew
+    or turn into a broadcast once it has seen real sizes.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def spread(df: DataFrame) -> DataFrame:

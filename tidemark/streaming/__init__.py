@@ -1,3 +1,4 @@
+from tidemark.streaming.feed import stream_changes
 from tidemark.streaming.flights import (
     cdc_merge_batch,
     clean_flights,
@@ -22,6 +23,7 @@ __all__ = [
     "run_with_retry",
     "sliding",
     "stream_change_counts",
+    "stream_changes",
     "stream_files",
     "stream_rate",
     "stream_table",

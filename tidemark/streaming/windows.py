@@ -86,13 +86,15 @@ def text_bounds(df: DataFrame, fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     return df.withColumns({c: F.date_format(c, fmt) for c in ("window_start", "window_end")})
 
 
-def stream_change_counts(feed: DataFrame, ts: str = "_commit_timestamp") -> DataFrame:
+def stream_change_counts(feed: DataFrame, ts: str = "_commit_timestamp", watermark: str | None = "1 hour") -> DataFrame:
     """Changes by type per 10 seconds of commit time."""
     renamed = feed.withColumnRenamed("_change_type", "change_type")
-    return tumbling(renamed, ts, "10 seconds", [F.count(F.lit(1)).alias("n_changes")], keys=["change_type"])
+    return tumbling(renamed, ts, "10 seconds", [F.count(F.lit(1)).alias("n_changes")], watermark, ["change_type"])
 
 
-def stream_word_count(lines: DataFrame, ts: str, text: str) -> DataFrame:
-    """Words per 5 seconds, every 2 seconds, cut at single spaces."""
-    words = lines.select(F.explode(F.split(text, " ")).alias("word"), F.col(ts))
-    return sliding(words, ts, "5 seconds", "2 seconds", ["word"], [F.count(F.lit(1)).alias("n")])
+def stream_word_count(lines: DataFrame, ts: str, text: str, watermark: str | None = "1 minute") -> DataFrame:
+    """Words per 5 seconds, every 2 seconds, cut at single spaces; a window's words leave the state when the watermark
+    has passed its end."""
+    timed = event_time(lines, ts)
+    words = timed.select(F.explode(F.split(text, " ")).alias("word"), F.col(ts))
+    return sliding(words, ts, "5 seconds", "2 seconds", ["word"], [F.count(F.lit(1)).alias("n")], watermark)
