@@ -10,6 +10,7 @@ from tidemark.functions.text import text_features
 from tidemark.functions.vectors import hashed_embedder
 from tidemark.operators import documents as docs
 from tidemark.operators.retrieval import render_prompt
+from tidemark.session import materialize
 
 
 def pieces_at(text, sep):
@@ -20,7 +21,7 @@ def pieces_at(text, sep):
     return [p for p in [head, *[sep + r for r in rest]] if p]
 
 
-def split_by_hand(text, size, overlap, seps=("\n\n", "\n", " ", "")):
+def split_by_hand(text, size, overlap, seps=("\n\n", "\n", " ", ""), length=len):
     """The recursive rule, on strings and lists."""
     i = next(n for n, s in enumerate(seps) if s == "" or s in text)
     out, small = [], []
@@ -28,9 +29,9 @@ def split_by_hand(text, size, overlap, seps=("\n\n", "\n", " ", "")):
     def pack():
         held = []
         for piece in small:
-            if held and sum(map(len, held)) + len(piece) > size:
+            if held and sum(map(length, held)) + length(piece) > size:
                 out.append("".join(held).strip())
-                while sum(map(len, held)) > overlap or (held and sum(map(len, held)) + len(piece) > size):
+                while sum(map(length, held)) > overlap or (held and sum(map(length, held)) + length(piece) > size):
                     held.pop(0)
             held.append(piece)
         if held:
@@ -38,11 +39,11 @@ def split_by_hand(text, size, overlap, seps=("\n\n", "\n", " ", "")):
         small.clear()
 
     for piece in pieces_at(text, seps[i]):
-        if len(piece) < size or seps[i] == "":
+        if length(piece) < size or seps[i] == "":
             small.append(piece)
         else:
             pack()
-            out.extend(split_by_hand(piece, size, overlap, seps[i + 1 :]))
+            out.extend(split_by_hand(piece, size, overlap, seps[i + 1 :], length))
     pack()
     return [c for c in out if c]
 
@@ -54,8 +55,44 @@ def split_by_hand(text, size, overlap, seps=("\n\n", "\n", " ", "")):
 )
 def test_recursive_spans(text, window):
     size, overlap = window
-    got = [text[a:b].strip() for a, b in docs.recursive_spans(text, size, overlap)] if text else []
-    assert [c for c in got if c] == (split_by_hand(text, size, overlap) if text else [])
+    for measure, length in ((docs.by_characters, len), (docs.by_words, words_in), (docs.by_tokenizer(half_lengths), lambda t: half_lengths([t])[0])):
+        got = [text[a:b].strip() for a, b in docs.recursive_spans(text, size, overlap, measure)] if text else []
+        assert [c for c in got if c] == (split_by_hand(text, size, overlap, length=length) if text else [])
+
+
+def words_in(text):
+    return len(text.split())
+
+
+def half_lengths(texts):
+    """Lengths that do not add up, as those of a model's tokenizer."""
+    return [(len(t) + 1) // 2 for t in texts]
+
+
+def test_chunks_by_tokens_keep_paragraphs_and_blanks(spark):
+    text = "One two  three.\n\nFour five\nsix seven eight nine ten\n\n" + "long " * 9 + "end"
+    got = docs.chunk_tokens(spark.createDataFrame([(1, text), (2, None), (3, " \n ")], "i int, t string"), "i", "t", 6, 2)
+    rows = got.orderBy("i", "chunk_index").collect()
+    assert {r.i for r in rows} == {1}
+    assert [(r.n_tokens, r.chunk_text) for r in rows] == [
+        (3, "One two  three."), (2, "Four five"), (5, "six seven eight nine ten"), (6, "long long long long long long"), (6, "long long long long long end"),
+    ]
+    assert all(text[r.start_index :].startswith(r.chunk_text) for r in rows)
+
+
+def test_chunking_is_linear():
+    """Ten times the text takes about ten times as long, whatever it is made of."""
+    import time
+
+    def seconds(text, measure):
+        start = time.perf_counter()
+        assert sum(1 for _ in docs.recursive_spans(text, 250, 50, measure))
+        return time.perf_counter() - start
+
+    for unit in ("word ", "x", "\n", "a b\n\n", "x" * 300 + " "):
+        for measure in (docs.by_characters, docs.by_words):
+            seconds(unit * 2_000, measure)
+            assert seconds(unit * 100_000, measure) < 60 * max(0.005, seconds(unit * 10_000, measure))
 
 
 def test_recursive_chunks_carry_their_offsets(spark, tables):
@@ -118,10 +155,38 @@ def test_page_text(spark):
     assert page.page_text == "A & Bx < y© z"
 
 
-def test_uncommon_character_references(spark):
+def pages_of(spark, *htmls):
+    frame = spark.createDataFrame([(i, "u", h) for i, h in enumerate(htmls)], "page_id int, url string, html string")
+    return docs.html_to_text(frame).orderBy("page_id").collect()
+
+
+def test_pages_are_read_once_from_left_to_right(spark):
+    """What a script, comment or tag holds opens nothing else; what is not closed reaches to the end."""
+    got = pages_of(
+        spark,
+        "a<!-- <script> -->b<script>x = '<!--'</script>c<!-- </style> -->d",
+        "a<style>p{}</STYLE >b<scripty>c</scripty>d < e <3 <!DOCTYPE x>f",
+        "a<b", "a<script>b</scrip>", "a<!-- b --", "a<title>b", "<html data-lang='x' LANG=fr-CA>a", None, "",
+    )
+    assert [r.page_text for r in got] == ["abcd", "abcd < e <3 f", "a", "a", "a", "ab", "a", None, ""]
+    assert [r.title for r in got][5:7] == ["b", ""] and got[6].language == "x"
+
+
+def test_unclosed_tags_take_linear_time(spark):
+    import time
+
+    spark.range(1).select(F.regexp_replace(F.lit("<a>"), docs.HIDDEN, "")).collect()
+    for tag in ("<a href=x ", "<script>", "<!-- ", "<title>", "<html ", "</", "<style>&amp", "<title", "&"):
+        page = spark.createDataFrame([(1, "u", tag * 20_000)], "page_id int, url string, html string").coalesce(1)
+        start = time.perf_counter()
+        docs.html_to_text(page).collect()
+        assert time.perf_counter() - start < 3, tag  # a job's own time included
+
+
+def test_character_references_have_one_decoder(spark):
     import html
 
-    texts = ["caf&eacute; &#233; &#x1F600;", "&amp;lt; &lt;", "a & b; &unknown; &amp;", None]
+    texts = ["caf&eacute; &#233; &#x1F600;", "&amp;lt; &lt;", "a & b; &unknown; &amp;", "&copy 2024", "&copy 2024 &eacute;", "plain", None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[0] for r in df.orderBy("i").select(docs.unescape("t")).collect()]
     assert got == [t and html.unescape(t) for t in texts]
@@ -151,7 +216,7 @@ def test_answers_come_from_the_document_that_was_hit(spark, monkeypatch, ids, ki
     monkeypatch.setattr(plan, "vector_topk_batch", few)
     said = ("red apples grow here", "blue whales swim there", "green tea is warm")
     docs = spark.createDataFrame(list(zip(ids, said)), f"doc_id {kind}, text string")
-    index = plan.index_documents(docs, "doc_id", "text").localCheckpoint()
+    index = materialize(plan.index_documents(docs, "doc_id", "text"), "index")
     asked = spark.createDataFrame(list(enumerate(said)), "query_id long, question string")
     fallback = spark.createDataFrame([("none", "nothing")], "category string, text string")
     got = plan.answer_questions(index, asked, fallback, F.lit("none"), k=1).select("query_id", "answer").collect()

@@ -10,7 +10,7 @@ from tidemark.operators import threads
 from tidemark.operators.layout import cluster, zorder_key
 from tidemark.operators.ordered import rank_within, running_total, top_n_per_key
 from tidemark.operators.relational import sample_n
-from tidemark.operators.retrieval import vector_topk, vector_topk_batch
+from tidemark.operators.retrieval import CellIndex, vector_topk, vector_topk_batch
 from tidemark.session import broadcast_if_small, workspace
 
 
@@ -140,16 +140,63 @@ def test_rows_without_a_vector_are_passed_over(spark, vectors):
     assert vector_topk(holes, [1.0] * 8, 2).collect() == vector_topk(frame, [1.0] * 8, 2).collect()
 
 
+def hits_of(frame, wanted, k, **options):
+    spark = frame.sparkSession
+    queries = spark.createDataFrame([(i, [float(x) for x in q]) for i, q in enumerate(wanted)], "query_id long, query_vector array<double>")
+    got = {i: [] for i in range(len(wanted))}
+    for r in vector_topk_batch(frame, queries, k, **options).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    return [got[i] for i in range(len(wanted))]
+
+
 @pytest.mark.parametrize("limit,block", [(100, 1000), (3, 64), (3, 7)])
-def test_top_k_of_many_queries(spark, vectors, limit, block):
+def test_top_k_of_many_queries(vectors, limit, block):
     data, frame = vectors
     wanted = np.random.default_rng(1).normal(size=(20, 8))
-    queries = spark.createDataFrame([(i, q.tolist()) for i, q in enumerate(wanted)], "query_id long, query_vector array<double>")
-    hits = vector_topk_batch(frame, queries, 3, query_limit=limit, block_rows=block)
-    got = {}
-    for r in hits.orderBy("query_id", "rank").collect():
-        got.setdefault(r.query_id, []).append(r.vec_id)
-    assert [got[i] for i in range(20)] == brute(data.astype(float), wanted, 3)
+    assert hits_of(frame, wanted, 3, query_limit=limit, block_rows=block) == brute(data.astype(float), wanted, 3)
+
+
+@pytest.mark.parametrize("kind", ["clusters", "copies", "zeros", "few", "uniform"])
+def test_index_search_is_exact(spark, monkeypatch, kind):
+    """Recall 1.0 with every tie by id: clustered data, a third of the rows equal, zero and tiny vectors, fewer than k."""
+    monkeypatch.setattr(CellIndex.build.__func__, "__defaults__", (40, 16))
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 6)) * 5
+    data = np.concatenate([c + rng.normal(size=(30, 6)) * 0.3 for c in centres])
+    wanted = np.concatenate([centres[:5] + 0.1, rng.normal(size=(10, 6)), -centres[:2], np.zeros((1, 6)), data[:3]])
+    if kind == "copies":
+        data[rng.permutation(len(data))[:120]] = data[7]
+    elif kind == "zeros":
+        data[::4], data[1::4] = 0, data[1::4] * 1e-7
+    elif kind == "few":
+        data = data[:4]
+    elif kind == "uniform":
+        data = rng.normal(size=(300, 6))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>").repartition(4)
+    assert hits_of(frame, wanted, 6, query_limit=2, block_rows=25) == brute(data, wanted, 6)
+
+
+def test_index_search_looks_at_few_cells(spark, monkeypatch):
+    """Well separated clusters: most cells are never compared with a query, and no task gets more than a block."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(64, 16)) * 10
+    data = np.repeat(centres, 50, axis=0) + rng.normal(size=(3_200, 16)) * 0.05
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>").repartition(4)
+    asked = []
+    matched = CellIndex._matched
+    monkeypatch.setattr(CellIndex, "_matched", lambda self, probes, told, *rest: asked.append((self, told)) or matched(self, probes, told, *rest))
+    wanted = centres + 0.01
+    assert hits_of(frame, wanted, 5, query_limit=2, block_rows=30) == brute(data, wanted, 5)
+    index = asked[0][0]
+    sizes = {r.cell: r.n for r in index.lists.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    compared = sum(n * sizes[cell] for _, told in asked for cell, n in told.items())
+    assert compared < 0.1 * len(data) * len(wanted)
+    assert all(-(-n // index.blocks[c]) <= 30 for c, n in sizes.items())
+
+
+def test_index_of_nothing(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    assert hits_of(empty, np.ones((5, 3)), 2, query_limit=1) == [[]] * 5
 
 
 def test_broadcast_only_below_the_limit(tables):

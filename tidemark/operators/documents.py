@@ -8,7 +8,10 @@ embedder, run in Python on Arrow batches. Texts are always processed whole.
 from __future__ import annotations
 
 import html as html_lib
-from collections.abc import Iterator, Sequence
+import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -18,46 +21,22 @@ from tidemark.functions.text import WHITESPACE, extract_fields, fold_elements, s
 from tidemark.functions.vectors import EPSILON, Embedder, hashed_embedder
 from tidemark.session import spread
 
-# Character references decoded by built-in expressions (the ampersand comes last).
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&middot;": "·",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&hellip;": "…",
-    "&laquo;": "«",
-    "&raquo;": "»",
-    "&euro;": "€",
-    "&amp;": "&",
-}
-
-# Patterns for what a page shows no text of, and for tags.
-HIDDEN = [
-    r"(?is)<script\b.*?</script\s*>",
-    r"(?is)<style\b.*?</style\s*>",
-    r"(?s)<!--.*?-->",
-    r"(?is)<!doctype[^>]*>",
-]
-TAG = r"(?s)</?[a-zA-Z][^>]*>"
-TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
-LANGUAGE = r"(?i)<html[^>]*\blang=[\"']?([a-zA-Z-]+)"
+# What a page shows no text of, as one pattern that goes through the page once from left to right: scripts, styles,
+# comments, the document type, and tags. What is not closed reaches to the end of the page, so every match is found
+# at the place where it begins, and no place is tried twice.
+HIDDEN = (
+    r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)|<!doctype[^>]*(?:>|\z)"
+    r"|</?[a-z][^>]*(?:>|\z)"
+)
+TITLE = r"(?is)<title\b[^>]*(?:>|\z)(.*?)(?:</title\s*>|\z)"
+ROOT_TAG = r"(?is)<html\b[^>]*"
+LANGUAGE = r"(?i)\blang=[\"']?([a-zA-Z-]+)"
 
 # Fixed value: a sentence ends at whitespace after one of these marks.
 SENTENCE_BREAK = f"(?<=[.!?]){WHITESPACE}++"
 
 
-# A reference that is not among them: such a text is decoded by the standard library instead.
-OTHER_ENTITY = "&(?!(?:" + "|".join(e[1:-1] for e in ENTITIES) + ");)(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
-
-
-def _unescape_any():
+def _unescape():
     @F.pandas_udf("string")
     def decode(texts: pd.Series) -> pd.Series:
         return texts.map(html_lib.unescape, na_action="ignore")
@@ -66,29 +45,23 @@ def _unescape_any():
 
 
 def unescape(text: str) -> Column:
-    """Decode the character references of a text column. Only texts with an uncommon reference
-    are sent to Python; the rest arrive there as NULL."""
-    native = F.col(text)
-    for entity, char in ENTITIES.items():
-        native = F.replace(native, F.lit(entity), F.lit(char))
-    uncommon = F.when(F.regexp_like(text, F.lit(OTHER_ENTITY)), F.col(text))
-    return F.coalesce(_unescape_any()(uncommon), native)
+    """Decode the character references of a text column, all by the standard library's rules. Texts without an
+    ampersand have none: they arrive in Python as NULL."""
+    return F.coalesce(_unescape()(F.when(F.contains(text, F.lit("&")), F.col(text))), F.col(text))
 
 
 def html_to_text(pages: DataFrame, url: str = "url", html: str = "html", separator: str = "") -> DataFrame:
-    """Visible text of a page with its source, title and language.
+    """Visible text of a page with its source, title and language, in time linear in the page.
 
-    Text nodes are joined by ``separator``; the default joins them directly.
+    Text nodes are joined by ``separator``; the default joins them directly. Tags end at the first ``>``; a script,
+    style, comment, tag or title that is not closed ends with the page.
     """
-    body = F.col(html)
-    for pattern in HIDDEN:
-        body = F.regexp_replace(body, pattern, "")
     parts = spread(pages).withColumns(
         {
             "source": F.col(url),
             "title": F.regexp_extract(html, TITLE, 1),
-            "language": F.regexp_extract(html, LANGUAGE, 1),
-            "page_text": F.regexp_replace(body, TAG, separator),
+            "language": F.regexp_extract(F.regexp_extract(html, ROOT_TAG, 0), LANGUAGE, 1),
+            "page_text": F.regexp_replace(html, HIDDEN, separator),
         }
     )
     return parts.drop(html, url).withColumns({"title": unescape("title"), "page_text": unescape("page_text")})
@@ -123,116 +96,127 @@ def chunk_fixed(df: DataFrame, doc_id: str, text: str, size: int = 512, overlap:
     return cut.select(doc_id, F.posexplode(chunks).alias("chunk_index", "chunk_text"))
 
 
-def _token_windows(size: int, step: int):
-    @F.pandas_udf("array<string>")
-    def windows(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _join_windows(t.split(), size, step) if t else [])
+# The recursive splitter's separators, coarsest first; "" means every character.
+SEPARATORS = ("\n\n", "\n", " ", "")
 
-    return windows
+# A length function, made for one text: the lengths of spans of it.
+Spans = list[tuple[int, int]]
+Measure = Callable[[str], Callable[[Spans], list[int]]]
 
+_WORD = re.compile(r"\S+")
 
-def _join_windows(tokens: list[str], size: int, step: int) -> list[str]:
-    return [" ".join(tokens[i : i + size]) for i in range(0, len(tokens), step)]
 
+def by_characters(text: str) -> Callable[[Spans], list[int]]:
+    return lambda spans: [b - a for a, b in spans]
 
-def chunk_tokens(df: DataFrame, doc_id: str, text: str, size: int = 250, overlap: int = 0) -> DataFrame:
-    """Windows of ``size`` whitespace tokens (a stand-in for a model's tokenizer).
 
-    Cut in Python on Arrow batches: an array slice per window would copy the whole token array
-    for each, while a list slice costs its own length.
-    """
-    step = _check_window(size, overlap)
-    windows = spread(df.select(doc_id, text)).select(doc_id, _token_windows(size, step)(text).alias("_windows"))
-    chunks = windows.select(doc_id, F.posexplode("_windows").alias("chunk_index", "chunk_text"))
-    n_tokens = F.length("chunk_text") - F.length(F.replace("chunk_text", F.lit(" "), F.lit(""))) + 1
-    return chunks.select(
-        doc_id,
-        "chunk_index",
-        (F.col("chunk_index") * step).alias("start_token"),
-        n_tokens.alias("n_tokens"),
-        "chunk_text",
-    )
+def by_words(text: str) -> Callable[[Spans], list[int]]:
+    """Whitespace tokens (a stand-in for a model's tokenizer): words are found once, and a span's number is the
+    difference of two prefix counts."""
+    found = [m.span() for m in _WORD.finditer(text)]
+    starts, ends = np.array([a for a, _ in found], np.int64), np.array([b for _, b in found], np.int64)
 
+    def lengths(spans: Spans) -> list[int]:
+        if not spans or not found:
+            return [0] * len(spans)
+        cut = np.array(spans, np.int64)
+        first = np.searchsorted(ends, cut[:, 0], "right")  # the first word that ends behind the span's begin
+        return np.maximum(np.searchsorted(starts, cut[:, 1], "left") - first, 0).tolist()
 
-# The recursive splitter's separators, coarsest first; "" means every character.
-SEPARATORS = ("\n\n", "\n", " ", "")
+    return lengths
+
+
+def by_tokenizer(count: Callable[[list[str]], list[int]]) -> Measure:
+    """Lengths by a tokenizer, given as a function from texts to numbers of tokens; each span is counted once per
+    separator at most."""
+    return lambda text: lambda spans: list(count([text[a:b] for a, b in spans]))
 
 
-def _atoms(text: str, start: int, end: int, size: int, level: int) -> Iterator[list[tuple[int, int]]]:
-    """Spans of ``text[start:end]`` cut at the coarsest separator that occurs.
+def _runs(text: str, start: int, end: int, size: int, level: int, lengths) -> Iterator[tuple[Spans, list[int]]]:
+    """Spans of ``text[start:end]`` cut before the coarsest separator that occurs, with their lengths.
 
-    Yields runs of small spans to be merged with each other; a span that is still too long is
-    cut at the next separator, and its runs are merged apart from its neighbours.
+    Yields runs of small spans to be packed with each other; a span that is still too long is
+    cut at the next separator, and its runs are packed apart from its neighbours.
     """
     while SEPARATORS[level] and text.find(SEPARATORS[level], start, end) < 0:
         level += 1
     sep = SEPARATORS[level]
     if not sep:
-        yield [(i, i + 1) for i in range(start, end)]
+        spans = [(i, i + 1) for i in range(start, end)]
+        yield spans, lengths(spans)
         return
     cuts, at = [start], text.find(sep, start, end)
     while at >= 0:
         cuts.append(at)
         at = text.find(sep, at + len(sep), end)
     cuts.append(end)
-    run: list[tuple[int, int]] = []
-    for a, b in zip(cuts, cuts[1:]):
-        if a == b:
-            continue
-        if b - a < size:
-            run.append((a, b))
+    spans = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+    run, sizes = [], []
+    for span, n in zip(spans, lengths(spans)):
+        if n < size:
+            run.append(span)
+            sizes.append(n)
             continue
         if run:
-            yield run
-            run = []
-        yield from _atoms(text, a, b, size, level + 1)
+            yield run, sizes
+            run, sizes = [], []
+        yield from _runs(text, *span, size, level + 1, lengths)
     if run:
-        yield run
-
-
-def recursive_spans(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
-    """Chunk spans: adjacent pieces packed up to ``size``, each chunk starting with up to
-    ``overlap`` characters of the one before, whitespace stripped at both ends."""
-    for run in _atoms(text, 0, len(text), size, 0):
-        first = 0  # the chunk in progress is run[first:i]
-        for i, (_, end) in enumerate(run):
-            if i > first and end - run[first][0] > size:
-                yield run[first][0], run[i - 1][1]
-                length = run[i][1] - run[i][0]
-                while first < i and (
-                    run[i - 1][1] - run[first][0] > overlap or run[i - 1][1] - run[first][0] + length > size
-                ):
-                    first += 1
-        yield run[first][0], run[-1][1]
-
-
-def chunk_recursive(df: DataFrame, doc_id: str, text: str, size: int = 1000, overlap: int = 200) -> DataFrame:
-    """Split at paragraphs, lines, spaces, characters into chunks of at most ``size`` characters,
-    with the offset at which each starts."""
+        yield run, sizes
+
+
+def recursive_spans(text: str, size: int, overlap: int, measure: Measure = by_characters) -> Iterator[tuple[int, int]]:
+    """Begin and end of chunks: adjacent pieces packed up to ``size``, each chunk beginning with up to
+    ``overlap`` of the one before. Prefix sums of the lengths tell where a chunk ends and where the next begins, so
+    each level is linear in its pieces."""
+    for run, sizes in _runs(text, 0, len(text), size, 0, measure(text)):
+        upto = [0, *accumulate(sizes)]
+        first, n = 0, len(run)
+        while True:
+            last = max(bisect_right(upto, upto[first] + size, first) - 1, first + 1)
+            yield run[first][0], run[last - 1][1]
+            if last == n:
+                break
+            first = max(bisect_left(upto, max(upto[last] - overlap, upto[last + 1] - size), first, last + 1), first)
+            first = min(first, last)
+
+
+def _chunked(df: DataFrame, doc_id: str, text: str, size: int, overlap: int, measure: Measure, length: str | None) -> DataFrame:
     _check_window(size, overlap)
     id_type = df.schema[doc_id].dataType.simpleString()
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, index, starts, texts = [], [], [], []
+            found = []
             for key, body in zip(batch[doc_id], batch[text]):
-                n = 0
-                for a, b in recursive_spans(body or "", size, overlap):
+                if not body:
+                    continue
+                spans = [(a, b) for a, b in recursive_spans(body, size, overlap, measure) if not body[a:b].isspace()]
+                totals = measure(body)(spans) if length else [None] * len(spans)
+                for n, ((a, b), total) in enumerate(zip(spans, totals)):
                     raw = body[a:b]
-                    chunk = raw.strip()
-                    if not chunk:
-                        continue
-                    ids.append(key)
-                    index.append(n)
-                    starts.append(a + len(raw) - len(raw.lstrip()))
-                    texts.append(chunk)
-                    n += 1
-            yield pd.DataFrame({doc_id: ids, "chunk_index": index, "start_index": starts, "chunk_text": texts})
-
-    schema = f"`{doc_id}` {id_type}, chunk_index int, start_index int, chunk_text string"
+                    found.append((key, n, a + len(raw) - len(raw.lstrip()), total, raw.strip()))
+            told = pd.DataFrame(found, columns=[doc_id, "chunk_index", "start_index", "_length", "chunk_text"])
+            yield told.rename(columns={"_length": length}) if length else told.drop(columns="_length")
+
+    schema = f"`{doc_id}` {id_type}, chunk_index int, start_index int, {length + ' int, ' if length else ''}chunk_text string"
     return spread(df.select(doc_id, text)).mapInPandas(split, schema)
 
 
+def chunk_recursive(df: DataFrame, doc_id: str, text: str, size: int = 1000, overlap: int = 200) -> DataFrame:
+    """Split at paragraphs, lines, spaces, characters into chunks of at most ``size`` characters,
+    with the offset at which each starts."""
+    return _chunked(df, doc_id, text, size, overlap, by_characters, None)
+
+
+def chunk_tokens(
+    df: DataFrame, doc_id: str, text: str, size: int = 250, overlap: int = 0, measure: Measure = by_words
+) -> DataFrame:
+    """Split as ``chunk_recursive`` does, with lengths counted in tokens: whitespace tokens, or those of any tokenizer
+    (``by_tokenizer``). Paragraphs and lines are kept whole where they fit, and so are the blanks between words."""
+    return _chunked(df, doc_id, text, size, overlap, measure, "n_tokens")
+
+
 def sentence_array(text: Column | str) -> Column:
     """Sentences of a text in order. The breaks take all blanks with them, so each is trimmed; only
     a blank text leaves an empty piece to drop."""

