@@ -43,6 +43,9 @@ HISTORY_SCHEMA = (
 )
 
 
+_CHANGE_FIELDS = [StructField(CHANGE_TYPE, StringType()), StructField(VERSION, IntegerType())]
+
+
 class VersionedTable:
     """``key``, one column or several that are unique per row together, is needed for update, delete and merge; appends
     work without. A NULL in a key is a value like any other."""
@@ -71,6 +74,11 @@ class VersionedTable:
         log = self._log()
         return log[-1].version if log else -1
 
+    def versions_since_snapshot(self) -> int:
+        """Versions that a read puts on top of the newest snapshot."""
+        log = self._log()
+        return log[-1].version - max(r.version for r in log if r.snapshot) if log else 0
+
     def schema(self) -> StructType:
         """Columns of the latest version."""
         log = self._log()
@@ -123,6 +131,8 @@ class VersionedTable:
         ]
         if any(r.operation not in ("WRITE", "OPTIMIZE") or r.deleted for r in asked):
             parts.append(self._changes(from_version, last, schema))
+        if not parts:  # compactions only
+            parts = [self.spark.createDataFrame([], StructType([*schema.fields, *_CHANGE_FIELDS]))]
         feed = reduce(DataFrame.unionByName, parts)
         times = self.history().select(F.col("version").alias(VERSION), F.col("timestamp").alias(COMMIT_TIME))
         return feed.join(broadcast_if_small(times), VERSION).select(*schema.names, CHANGE_TYPE, VERSION, COMMIT_TIME)
@@ -135,7 +145,7 @@ class VersionedTable:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}/{VERSION}={version}")
 
     def _changes(self, first: int, last: int, schema: StructType) -> DataFrame:
-        stored = StructType([*schema.fields, StructField(CHANGE_TYPE, StringType()), StructField(VERSION, IntegerType())])
+        stored = StructType([*schema.fields, *_CHANGE_FIELDS])
         changes = self.spark.read.schema(stored).parquet(f"{self.path}/changes")
         return changes.filter(F.col(VERSION).between(first, last))
 

@@ -30,7 +30,8 @@ def medallion_taxi(t: Tables) -> DataFrame:
     return tables["trip_aggregates_with_locations"]
 
 
-_CLOSED = "HAVING w + INTERVAL '{size}' <= (SELECT max(event_timestamp) - INTERVAL '{late}' FROM merged)"
+# A watermark follows the flights that were loaded, whether or not change events have deleted the latest since.
+_CLOSED = "HAVING w + INTERVAL '{size}' <= (SELECT max(event_timestamp) - INTERVAL '{late}' FROM silver)"
 
 
 @query(
@@ -43,7 +44,7 @@ _CLOSED = "HAVING w + INTERVAL '{size}' <= (SELECT max(event_timestamp) - INTERV
     + _CLOSED.format(size="14 days", late="7 days"),
 )
 def medallion_flights(t: Tables) -> DataFrame:
-    """Landing files through bronze, silver, change events and all gold streams; two of the gold tables."""
+    """Landing files through bronze, silver, change events and all gold tables; two of these."""
     tables = _flight_tables(t)
     pick = lambda name, gold, amount: tables[name].select(
         F.lit(gold).alias("gold"), "window_start", F.col(amount).alias("amount")
@@ -71,14 +72,14 @@ def _flight_tables(t: Tables) -> dict[str, DataFrame]:
 # Gold tables as rows of one: size, slide, windows per row and lateness, SQL and column of the key, column of the count,
 # SQL and column of the amount.
 _GOLD = {
-    "monthly_delays": ("30 days", "30 days", 1, "7 days", None, None, "round(avg(delay / 60.0::double), 2)", "moving_avg_delay"),
+    "monthly_delays": ("30 days", "30 days", 1, "7 days", None, None, "round(sum(delay) / (count(delay) * 60.0::double), 2)", "moving_avg_delay"),
     "biweekly_distance": ("14 days", "14 days", 1, "7 days", None, None, "sum(distance)", "total_distance"),
     "monthly_max_delay": (
         "30 days", "30 days", 1, "7 days", ("arg_min(standardized_route, (-delay, standardized_route))", "worst_route"), None,
         "round(max(delay) / 60.0::double, 2)", "max_delay",
     ),
     "hourly_tumbling_flights": ("1 hour", "1 hour", 1, "1 hour", None, "flight_count", None, None),
-    "sliding_avg_delay": ("7 days", "1 day", 7, "8 days", None, None, "round(avg(delay / 60.0::double), 2)", "rolling_avg_delay_hours"),
+    "sliding_avg_delay": ("7 days", "1 day", 7, "8 days", None, None, "round(sum(delay) / (count(delay) * 60.0::double), 2)", "rolling_avg_delay_hours"),
     "sliding_route_traffic": (
         "14 days", "7 days", 2, "15 days", ("standardized_route", "standardized_route"), "flight_count", "sum(distance)", "total_distance",
     ),
@@ -133,7 +134,7 @@ _WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}
 
 @query(
     "rag_documents",
-    f"WITH chunks AS (SELECT (doc_id << 24) + chunk_index AS vec_id, chunk_text FROM ({FIXED_SQL})), "
+    f"WITH chunks AS (SELECT {{'d': doc_id, 'i': chunk_index}} AS vec_id, chunk_text FROM ({FIXED_SQL})), "
     + _slots_sql("c", "chunks", "vec_id", "chunk_text")
     + ", "
     + _slots_sql("q", "benchmark", "item_id", "text")
