@@ -3,6 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.session import workspace, workspace_root
+from tidemark.streaming import run_stream, stream_files
 from tidemark.sources import catalog_overview, read_rescued, schema_overview, split_by_key, with_cached_view, write_table
 
 
@@ -63,12 +64,57 @@ def test_rebalanced_write_keeps_every_row(spark, tables):
     assert plain.exceptAll(even).isEmpty() and plain.count() == even.count()
 
 
-def test_columns_are_found_by_each_files_header(spark):
+def landed(spark, *files):
     path = workspace(spark, "drift")
-    for lines in (["id,name,n", "1,a,10"], ["N,id,name", "20,2,b", "x,3,c"], ["id,extra,name,n", "4,e,d,40", "5,,f,50", "6,g"], ["id,n", "7,70"]):
+    for lines in files:
         spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("append").text(path)
-    got = read_rescued(spark, path, "id int, name string, n int")
-    assert rows(got) == sorted([
+    return path
+
+
+def either_way(spark, path, schema):
+    """The rows of a batch read, which a stream over the same files must give too."""
+    got = rows(read_rescued(spark, path, schema))
+    assert rows(run_stream(stream_files(spark, path, schema, "csv", rescue=True, max_files=1))) == got
+    return got
+
+
+def test_columns_are_found_by_each_files_header(spark):
+    path = landed(spark, ["id,name,n", "1,a,10"], ["N,id,name", "20,2,b", "x,3,c"], ["id,extra,name,n", "4,e,d,40", "5,,f,50", "6,g"], ["id,n", "7,70"])
+    assert either_way(spark, path, "id int, name string, n int") == sorted([
         (1, "a", 10, None), (2, "b", 20, None), (3, "c", None, "x,3,c"), (4, "d", 40, '{"extra":"e"}'), (5, "f", 50, None),
-        (6, None, None, "6,g"), (7, None, 70, None),
+        (6, None, None, '{"extra":"g","_line":"6,g"}'), (7, None, 70, None),
     ], key=str)
+
+
+def test_reordered_flights_in_a_stream(spark):
+    path = landed(spark, ["date,delay,distance,origin,destination", "01010900,7,200,A,B"], ["date,distance,delay", "01020900,300,-2"])
+    schema = "date string, delay int, distance int, origin string, destination string"
+    assert either_way(spark, path, schema) == [("01010900", 7, 200, "A", "B", None), ("01020900", -2, 300, None, None, None)]
+
+
+def test_fields_survive_reordering(spark):
+    """Quotes, separators, backslashes, empty and blank fields read the same whatever the order of columns."""
+    values = [('say "hi", you', "C:\\x\\", 1.5), ("", " padded ", -2.0), (None, "é,日本", None), ("\\", '"', 0.0), ("a\\\"b", "'q'", 3.0)]
+    frame = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "k int, a string, b string, c double").coalesce(1)
+    path = workspace(spark, "quoted")
+    frame.write.mode("append").csv(path, header=True)
+    frame.selectExpr("c", "b", "k + 10 AS k", "a").write.mode("append").csv(path, header=True)
+    got = either_way(spark, path, frame.schema)
+    assert [r[1:4] for r in sorted(got) if r[0] >= 10] == [r[1:4] for r in sorted(got) if r[0] < 10]
+    assert rows(spark.read.schema(frame.schema).csv(path, header=True).where("k < 10")) == sorted([r[:4] for r in got if r[0] < 10], key=str)
+
+
+def test_a_task_in_the_middle_of_a_file_knows_its_header(spark):
+    path = landed(spark, ["b,a,more", *(f"{2 * i},{i},m{i}" for i in range(3_000))])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        whole = read_rescued(spark, path, "a int, b int")
+        assert whole.rdd.getNumPartitions() > 4
+        assert rows(whole) == sorted([(i, 2 * i, f'{{"more":"m{i}"}}') for i in range(3_000)], key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_repeated_and_blank_headers(spark):
+    path = landed(spark, ["\ufeffid,name,name,", "1,a,b,c"], ["", "  ", "name,id", "", "d,2"], ["id"], [""])
+    assert either_way(spark, path, "id int, name string") == [(1, "a", '{"name_2":"b","":"c"}'), (2, "d", None)]

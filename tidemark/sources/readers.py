@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-from functools import reduce
+import io
+import json
+import re
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -82,54 +86,116 @@ def read_rescued(
     and its whole text lands in ``_rescued_data``.
 
     With ``header`` columns are found by the names in each file's own first line, in any order. A column that a file
-    lacks is NULL; columns that ``schema`` lacks land in ``_rescued_data`` as JSON of their names and values.
+    lacks is NULL; columns that ``schema`` lacks land in ``_rescued_data`` as JSON of their names and values, with the
+    whole line as ``_line`` if it is malformed besides. Files are read once.
+    """
+    return rescued_lines(spark.read.text(path), schema, header)
+
+
+def rescued_lines(lines: DataFrame, schema: StructType | str, header: bool = True) -> DataFrame:
+    """The rows of CSV files given as lines of Spark's text source, read at once or as a stream (see ``read_rescued``).
+
+    Lines of files that have the declared header stay as they are. Those of others are put into the declared order in
+    Arrow batches, so that all are parsed by the same expression. A task that begins in the middle of a large file
+    reads the file's first line by itself.
     """
     full = rescued_schema(schema)
-    read = lambda s: (
-        spark.read.schema(s)
-        .option("header", header)
-        .option("enforceSchema", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .csv(path)
-    )
-    fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
-    headers = _headers(spark, path) if header else []
-    if all([fold(n) for n in names] == [fold(n) for n in full.names[:-1]] for names, _ in headers):
-        return read(full)
-    parts = []
-    for names, files in headers:
+    names = full.names[:-1]
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = lines.where(F.trim("value") != "")
+    if header:
+        exact = lines.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+        lines = lines.mapInArrow(_aligned(names, exact), "value string, line string, other string")
+    else:
+        lines = lines.select("value", F.col("value").alias("line"), F.lit(None).cast("string").alias("other"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
+    parsed = lines.withColumn("_row", F.from_csv("line", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED}))
+    whole = F.when(F.col(f"_row.{RESCUED}").isNotNull(), F.col("value"))
+    both = F.concat(F.expr("left(other, length(other) - 1)"), F.lit(","), F.expr("substr(to_json(struct(value AS _line)), 2)"))
+    rescued = F.when(F.col("other").isNull(), whole).otherwise(F.when(whole.isNull(), F.col("other")).otherwise(both))
+    return parsed.select(*[F.col(f"_row.{n}").alias(n) for n in names], rescued.alias(RESCUED))
+
+
+# A field of a CSV line as Spark reads it: in quotes, where a quote is doubled or behind a backslash, or up to the comma.
+_FIELD = re.compile(r'(?:"((?:[^"\\]|\\.|"")*+)"|([^,]*))(?:,|$)', re.DOTALL)
+_ESCAPED = re.compile(r'\\(["\\])|""')
+
+
+def _fields(line: str) -> list[str | None]:
+    """The fields of a CSV line; an empty one without quotes is None."""
+    out, at = [], 0
+    while True:
+        found = _FIELD.match(line, at)
+        quoted, plain = found.groups()
+        out.append((plain or None) if quoted is None else _ESCAPED.sub(lambda m: m[1] or '"', quoted))
+        more = line.endswith(",", at, found.end())
+        at = found.end()
+        if at == len(line):
+            return [*out, None] if more else out
+
+
+def _field(value: str | None) -> str:
+    """A field so that Spark's parser gives the same value back."""
+    if value is None:
+        return ""
+    return '"' + value.replace("\\", "\\\\").replace('"', '\\"') + '"'
+
+
+def _first_line(file: str) -> str:
+    """The first line of a file that is not blank."""
+    fs, path = FileSystem.from_uri(file.replace("file:/", "file:///", 1) if re.match("file:/(?!/)", file) else file)
+    with fs.open_input_stream(path) as source:
+        for line in io.TextIOWrapper(source, "utf-8", errors="replace"):
+            if line.strip():
+                return line.rstrip("\r\n")
+    return ""
+
+
+class _Header:
+    """How the lines of one file become lines in the declared order."""
+
+    def __init__(self, line: str, names: Sequence[str], fold: Callable[[str], str]):
+        own = [n or "" for n in _fields(line.removeprefix("\ufeff"))]
+        self.same = [fold(n) for n in own] == [fold(n) for n in names]
         places: dict[str, int] = {}
-        for i, name in enumerate(names):
+        for i, name in enumerate(own):
             places.setdefault(fold(name), i)
-        known = {places[fold(f.name)]: f for f in full.fields[:-1] if fold(f.name) in places}
-        kinds = [known[i].dataType if i in known else StringType() for i in range(len(names))]
-        own = StructType([*(StructField(f"_c{i}", k) for i, k in enumerate(kinds)), StructField(RESCUED, StringType())])
-        rows = read(own).where(F.col("_metadata.file_path").isin(files))
-        others = [(n if places[fold(n)] == i else f"{n}_{i}", f"_c{i}") for i, n in enumerate(names) if i not in known]
-        rescued = F.col(RESCUED)
-        if others:
-            found = F.coalesce(*(F.col(c) for _, c in others)).isNotNull()
-            rescued = F.coalesce(rescued, F.when(found, F.to_json(F.struct(*(F.col(c).alias(n) for n, c in others)))))
-        at = {f.name: i for i, f in known.items()}
-        columns = [
-            (F.col(f"_c{at[f.name]}") if f.name in at else F.lit(None).cast(f.dataType)).alias(f.name) for f in full.fields[:-1]
-        ]
-        parts.append(rows.select(*columns, rescued.alias(RESCUED)))
-    return reduce(DataFrame.unionAll, parts)
-
-
-def _headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
-    """The different headers of the files under ``path``, each with its files."""
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min_by("value", "row").alias("header"))
-    found = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
-    return [(next(csv.reader([r.header.removeprefix("\ufeff")])), r.files) for r in sorted(found, key=lambda r: r.header)]
+        wanted = {fold(n) for n in names}
+        self.at = [places.get(fold(n)) for n in names]
+        self.others = [(n if places[fold(n)] == i else f"{n}_{i}", i) for i, n in enumerate(own) if fold(n) not in wanted or places[fold(n)] != i]
+        self.width = len(own)
+
+    def aligned(self, line: str) -> tuple[str, str | None]:
+        """The line in the declared order, and its other columns as JSON. One with too many or too few fields stays
+        malformed: it gets one field too many."""
+        fields = _fields(line)
+        found = fields + [None] * (self.width - len(fields))
+        out = ",".join(_field(None if i is None else found[i]) for i in self.at)
+        others = {n: found[i] for n, i in self.others if found[i] is not None}
+        told = json.dumps(others, ensure_ascii=False, separators=(",", ":")) if others else None
+        return out + ("" if len(fields) == self.width else ",?"), told
+
+
+def _aligned(names: list[str], exact: bool):
+    fold = str if exact else str.lower
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, header = None, None
+        for batch in batches:
+            values, lines, others = [], [], []
+            for value, file, start in zip(*(batch.column(c).to_pylist() for c in ("value", "file", "start"))):
+                if (file, start) != part:
+                    part = (file, start)
+                    header = _Header(value if start == 0 else _first_line(file), names, fold)
+                    if start == 0:
+                        continue
+                line, other = (value, None) if header.same else header.aligned(value)
+                values.append(value)
+                lines.append(line)
+                others.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (values, lines, others)], names=["value", "line", "other"])
+
+    return run
 
 
 def file_sizes(spark: SparkSession, path: str | list[str], glob: str = "*.parquet") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
-from tidemark.sources.readers import RESCUED, rescued_schema
+from tidemark.sources.readers import RESCUED, rescued_lines, rescued_schema
 
 
 def stream_files(
@@ -19,9 +19,14 @@ def stream_files(
 ) -> DataFrame:
     """New files under ``path`` as a stream, oldest first.
 
-    ``max_files`` bounds one micro-batch. With ``rescue`` malformed text lines are kept in
-    ``_rescued_data`` instead of failing or vanishing.
+    ``max_files`` bounds one micro-batch. With ``rescue`` what does not fit is kept in ``_rescued_data`` instead of
+    failing or vanishing; CSV columns are then found by each file's own header, as ``read_rescued`` does.
     """
+    if rescue and fmt == "csv":
+        lines = spark.readStream.option("latestFirst", "false")
+        if max_files:
+            lines = lines.option("maxFilesPerTrigger", str(max_files))
+        return rescued_lines(lines.options(**(options or {})).text(path), schema)
     reader = spark.readStream.format(fmt).schema(rescued_schema(schema) if rescue else schema)
     reader = reader.option("latestFirst", "false")
     if fmt == "csv":
