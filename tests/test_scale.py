@@ -258,3 +258,42 @@ def test_interleaved_key_keeps_both_columns_close(tables):
     )
     mean = parts.agg(F.avg("a"), F.avg("b")).first()
     assert mean[0] < 0.6 * whole.a and mean[1] < 0.8 * whole.b
+
+
+def per_file(df, *columns):
+    aggs = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
+    return df.groupBy("_metadata.file_name").agg(F.count("*").alias("n"), *aggs).collect()
+
+
+def test_a_value_of_most_rows_fills_even_files(spark):
+    """Nine of ten rows have one value, and are alike in all columns."""
+    df = spark.range(20_000).selectExpr("IF(id % 10 = 0, CAST(id AS STRING), 'hot') AS k", "'same' AS v").repartition(4)
+    files = per_file(cluster(df, ["k"], workspace(spark, "hot"), partitions=8), "k")
+    assert len(files) == 8 and sum(f.n for f in files) == 20_000
+    assert max(f.n for f in files) < 1.5 * 20_000 / 8
+    files = per_file(cluster(df, ["k", "v"], workspace(spark, "hot"), partitions=8), "k")
+    assert len(files) == 8 and max(f.n for f in files) < 1.5 * 20_000 / 8
+
+
+def test_two_text_columns_skip_files(spark):
+    """A filter on either column leaves most files unread, by what their statistics say."""
+    df = spark.range(40_000).select(
+        F.md5(F.col("id").cast("string")).alias("a"), F.concat(F.lit("k"), F.md5((F.col("id") * 7 + 1).cast("string"))).alias("b"), "id"
+    )
+    stored = cluster(df.repartition(6), ["a", "b"], workspace(spark, "texts"), partitions=64)
+    assert stored.count() == 40_000 and stored.exceptAll(df).isEmpty()
+    files = per_file(stored, "a", "b")
+    for column, low, high in (("a", "3", "38"), ("b", "k9", "k98")):
+        read = [f for f in files if f[f"lo_{column}"] < high and f[f"hi_{column}"] >= low]
+        assert len(read) <= 24, (column, len(read), len(files))
+
+
+def test_layout_of_nulls_dates_and_nothing(spark):
+    df = spark.range(3_000).select(
+        F.when(F.col("id") % 3 > 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 400).cast("int"))).alias("d"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") / 7).cast("decimal(12,3)")).alias("n"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    stored = cluster(df, ["d", "n", "none"], workspace(spark, "mixed"), partitions=5)
+    assert rows(stored) == rows(df)
+    assert cluster(df.limit(0), ["d", "none"], workspace(spark, "empty")).collect() == []

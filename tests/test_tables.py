@@ -129,7 +129,9 @@ def test_broadcast_hints_need_a_known_size(spark, tables):
     assert is_small(tables.nation) and is_small(tables.nation.filter("n_nationkey > 3").distinct())
     blown_up = tables.nation.select(F.explode(F.sequence(F.lit(0), F.lit(50_000_000))).alias("n"))
     assert not is_small(blown_up)
-    assert not is_small(tables.nation.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey")))
+    assert is_small(tables.nation.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey")))
+    assert not is_small(tables.lineitem.join(tables.orders, F.col("l_orderkey") == F.col("o_orderkey")))
+    assert not is_small(blown_up.groupBy("n").count()) and not is_small(blown_up.union(blown_up))
     assert not is_small(tables.nation.mapInPandas(lambda batches: batches, tables.nation.schema))
 
 

@@ -59,9 +59,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 def share_pct(df: DataFrame, key: str, count_name: str = "row_count", pct_name: str = "share_pct") -> DataFrame:
     """Rows per key and their percentage of the total.
 
-    The total is a scalar subquery over the per-key counts: no cross join, no global window.
+    One pass over the rows: the counts per key are written out, and the total is a scalar subquery over these.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
+    counts = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name)), "shares")
     total = counts.agg(F.sum(count_name).alias("total")).scalar()
     return counts.withColumn(pct_name, F.col(count_name) * F.lit(100.0) / total)
 

@@ -14,6 +14,7 @@ from tidemark.sources.writers import split_by_key, with_ingestion_ts, write_tabl
 
 TRIP_KEY = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime"]
 UPDATE_ROWS = 10_000  # Fixed value: how many trips the simulated payment update picks.
+SILVER_LAYOUT = ["VendorID", "tpep_pickup_datetime"]
 VENDORS = (1, 2, 4, 5, 6)  # Fixed values: vendor ids that get a table of their own.
 
 # Result column per summed amount.
@@ -110,11 +111,12 @@ def run_taxi_pipeline(spark: SparkSession, loads: list[DataFrame], zones: DataFr
     bronze.create(first)
     for df in later:
         bronze.append(df)
-    clean = write_table(clean_trips(bronze.as_of()), f"{out}/silver/taxi_trips_clean")
+    # Bronze is scanned again where cleaned trips are needed: silver itself is written once, in its final layout.
+    clean = clean_trips(bronze.as_of())
     updates = write_table(payment_updates(clean.drop("ingestion_timestamp")), f"{out}/silver/payment_updates")
-    merged = apply_payment_updates(clean, updates)
-    silver = write_table(with_driver_notes(merged), f"{out}/silver/taxi_trips")
-    vendors = split_by_key(silver, "VendorID", VENDORS, f"{out}/silver/by_vendor")
+    merged = with_driver_notes(apply_payment_updates(clean, updates))
+    silver = cluster(merged, SILVER_LAYOUT, f"{out}/silver/taxi_trips", like=bronze.as_of())
+    vendors = split_by_key(silver, "VendorID", VENDORS, f"{out}/silver/by_vendor", rebalance=True)
     lookup = write_table(zones, f"{out}/bronze/taxi_zone_lookup")
     return {
         "bronze": bronze.as_of(),

@@ -22,7 +22,7 @@ from tidemark.streaming import windows
 @query("medallion_taxi", ROUTE_TOTALS_SQL)
 def medallion_taxi(t: Tables) -> DataFrame:
     """Trips in two loads through bronze, silver and gold; the gold table of route totals."""
-    trips = derive.trips(t)
+    trips = materialize(derive.trips(t), "raw-trips")
     first = F.col("VendorID") <= 3
     tables = run_taxi_pipeline(
         t.spark, [trips.filter(first), trips.filter(~first)], derive.zones(t), workspace(t.spark, "taxi")

@@ -71,15 +71,19 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-# Plan nodes whose output Catalyst's estimate bounds by what the scan below them reads, and local rows.
-BOUNDED = {"Aggregate", "Deduplicate", "Distinct", "Filter", "GlobalLimit", "LocalLimit", "LocalRelation", "Project", "Relation", "Sort"}
+# Plan nodes whose output Catalyst's estimate bounds: those that give out no more rows than they get, unions (the sum of
+# both sides) and joins (the product), over files whose size is known or local rows.
+BOUNDED = {
+    "Aggregate", "Deduplicate", "Distinct", "Filter", "GlobalLimit", "Join", "LocalLimit", "LocalRelation", "Project", "Relation",
+    "Sort", "Union",
+}
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     """Whether ``df`` is known to be under ``limit`` bytes.
 
-    Catalyst's estimate is trusted only for plans of nodes that never give out more rows than they get, over files
-    whose size is known: it knows nothing of what an explode, a join or a Python function multiplies.
+    Catalyst's estimate is trusted only for plans of ``BOUNDED`` nodes: it knows nothing of what an explode or a Python
+    function multiplies.
     """
     plan = getattr(df, "_jdf", None)
     if plan is None:  # a Connect client cannot see it: leave the choice to the server
