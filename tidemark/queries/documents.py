@@ -250,6 +250,19 @@ def nearest_per_label(t: Tables) -> DataFrame:
     return vector_topk_batch(t.embeddings, _centroids(t), 3).withColumn("similarity", F.round("similarity", 6))
 
 
+@query(
+    "vector_topk_index",
+    f"SELECT q.vec_id AS query_id, v.vec_id, round({_cosine_sql('v.embedding', 'q.embedding')}, 6) AS similarity, row_number() OVER ("
+    f"PARTITION BY q.vec_id ORDER BY round({_cosine_sql('v.embedding', 'q.embedding')}, 12) DESC, v.vec_id)::int AS rank "
+    "FROM embeddings v, embeddings q WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5",
+)
+def vector_topk_index(t: Tables) -> DataFrame:
+    """Every fiftieth vector as a query against all vectors, by the inverted file whatever their number."""
+    queries = t.embeddings.filter(F.col("vec_id") % 50 == 0)
+    queries = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("query_vector"))
+    return vector_topk_batch(t.embeddings, queries, 5, query_limit=0).withColumn("similarity", F.round("similarity", 6))
+
+
 @query(
     "context_assemble",
     f"WITH {_HITS} SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM hits "

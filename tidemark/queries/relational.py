@@ -19,7 +19,7 @@ from tidemark.operators.relational import (
 )
 from tidemark.plans import derive, taxi
 from tidemark.queries.registry import query
-from tidemark.session import broadcast_if_small, workspace
+from tidemark.session import broadcast_if_small, materialize, workspace
 from tidemark.sources import Tables, compare_counts, with_cached_view, write_table
 
 _TRIPS = f"WITH {derive.TRIPS_SQL} "
@@ -27,58 +27,42 @@ _TRIPS_ZONES = f"WITH {derive.TRIPS_SQL}, {derive.ZONES_SQL} "
 _FLIGHTS = f"WITH {derive.FLIGHTS_SQL} "
 
 
-def _yearly(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Orders per year and customer nation, and order lines per shipping year and supplier nation.
-
-    Both sides are summed before they meet, so no join here multiplies raw rows.
-    """
-    customers = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation"))
-    orders = (
-        t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(F.year("o_orderdate").alias("year"), "nation")
-        .agg(F.count(F.lit(1)).alias("n_orders"))
-    )
-    suppliers = broadcast_if_small(t.supplier.select("s_suppkey", F.col("s_nationkey").alias("nation")))
-    shipped = F.year("l_shipdate").alias("year")
-    per_supplier = t.lineitem.groupBy(shipped, "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    lines = (
-        per_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("year", "nation")
-        .agg(F.sum("n").alias("n_lines"))
+def _by_year(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Orders, and their lines, each with the year of its own date: an order has partners only among the lines that were
+    shipped in its year, so at any size both sides have rows without one."""
+    orders = t.orders.select(F.col("o_orderkey").alias("order_key"), F.year("o_orderdate").alias("year"), "o_totalprice")
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("order_key"), F.year("l_shipdate").alias("year"), "l_linenumber", "l_suppkey", "l_extendedprice"
     )
-    return orders, lines.filter(F.col("n_lines") > 300)
+    return orders, lines
 
 
-_YEARLY = """WITH o AS (
-  SELECT year(o_orderdate)::int AS year, c_nationkey AS nation, count(*) AS n_orders
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-l AS (
-  SELECT year(l_shipdate)::int AS year, s_nationkey AS nation, count(*) AS n_lines
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2 HAVING count(*) > 300) """
+_BY_YEAR = """WITH o AS (SELECT o_orderkey AS order_key, year(o_orderdate)::int AS year, o_totalprice FROM orders),
+l AS (SELECT l_orderkey AS order_key, year(l_shipdate)::int AS year, l_linenumber, l_suppkey, l_extendedprice FROM lineitem) """
 
 
-@query("join_inner_multi", _YEARLY + "SELECT * FROM o JOIN l USING (year, nation)")
+@query("join_inner_multi", _BY_YEAR + "SELECT * FROM o JOIN l USING (order_key, year)")
 def join_inner_multi(t: Tables) -> DataFrame:
-    orders, lines = _yearly(t)
-    return orders.join(lines, ["year", "nation"], "inner")
+    orders, lines = _by_year(t)
+    return orders.join(lines, ["order_key", "year"], "inner")
 
 
-@query("join_left", _YEARLY + "SELECT * FROM o LEFT JOIN l USING (year, nation)")
+@query("join_left", _BY_YEAR + "SELECT * FROM o LEFT JOIN l USING (order_key, year)")
 def join_left(t: Tables) -> DataFrame:
-    orders, lines = _yearly(t)
-    return orders.join(lines, ["year", "nation"], "left")
+    orders, lines = _by_year(t)
+    return orders.join(lines, ["order_key", "year"], "left")
 
 
-@query("join_right", _YEARLY + "SELECT * FROM o RIGHT JOIN l USING (year, nation)")
+@query("join_right", _BY_YEAR + "SELECT * FROM o RIGHT JOIN l USING (order_key, year)")
 def join_right(t: Tables) -> DataFrame:
-    orders, lines = _yearly(t)
-    return orders.join(lines, ["year", "nation"], "right")
+    orders, lines = _by_year(t)
+    return orders.join(lines, ["order_key", "year"], "right")
 
 
-@query("join_full", _YEARLY + "SELECT * FROM o FULL JOIN l USING (year, nation)")
+@query("join_full", _BY_YEAR + "SELECT * FROM o FULL JOIN l USING (order_key, year)")
 def join_full(t: Tables) -> DataFrame:
-    orders, lines = _yearly(t)
-    return orders.join(lines, ["year", "nation"], "outer")
+    orders, lines = _by_year(t)
+    return orders.join(lines, ["order_key", "year"], "outer")
 
 
 @query(
@@ -171,9 +155,10 @@ def join_broadcast_lookup(t: Tables) -> DataFrame:
     "FROM lineitem CROSS JOIN (SELECT count(*) AS total FROM lineitem) t GROUP BY l_linenumber, t.total",
 )
 def join_cross_scalar(t: Tables) -> DataFrame:
-    """The one-row total is a scalar subquery, so there is no cross join to plan."""
-    total = t.lineitem.agg(F.count(F.lit(1)).alias("total")).scalar()
+    """The one-row total is a scalar subquery over the stored counts: one scan of the lines, and no cross join to plan."""
     counts = t.lineitem.groupBy(F.col("l_linenumber").alias("vendor")).agg(F.count(F.lit(1)).alias("vendor_count"))
+    counts = materialize(counts, "vendor-counts")
+    total = counts.agg(F.sum("vendor_count").alias("total")).scalar()
     return counts.withColumn("vendor_fraction", F.col("vendor_count") / total)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.queries.registry import query
 from tidemark.session import broadcast_if_small, workspace
@@ -133,17 +136,24 @@ def scan_binary_files(t: Tables) -> DataFrame:
 
 @query(
     "create_from_rows",
-    "SELECT stage, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events "
+    "SELECT stage, weight, goal, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events "
     "JOIN (VALUES ('view', 'browse'), ('click', 'browse'), ('signup', 'join'), ('purchase', 'buy')) "
-    "AS s(event_type, stage) USING (event_type) GROUP BY stage",
+    "AS s(event_type, stage) USING (event_type) JOIN (VALUES ('browse', 1), ('join', 5), ('buy', 9)) AS w(stage, weight) "
+    "USING (stage) LEFT JOIN (VALUES ('buy', 2.5::double), ('join', NULL)) AS g(stage, goal) USING (stage) GROUP BY ALL",
 )
 def create_from_rows(t: Tables) -> DataFrame:
-    rows = [("view", "browse"), ("click", "browse"), ("signup", "join"), ("purchase", "buy")]
-    stages = t.spark.createDataFrame(rows, "event_type string, stage string")
+    """Small tables from literal rows: tuples with names only, tuples with a DDL schema, Rows with a StructType."""
+    named = [("view", "browse"), ("click", "browse"), ("signup", "join"), ("purchase", "buy")]
+    stages = t.spark.createDataFrame(named, ["event_type", "stage"])
+    weights = t.spark.createDataFrame([("browse", 1), ("join", 5), ("buy", 9)], "stage string, weight int")
+    fields = StructType([StructField("stage", StringType(), False), StructField("goal", DoubleType())])
+    goals = t.spark.createDataFrame([Row(stage="buy", goal=2.5), Row(stage="join", goal=None)], fields)
     per_type = t.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+    staged = per_type.join(F.broadcast(stages), "event_type")  # a few literal rows each
     return (
-        per_type.join(broadcast_if_small(stages), "event_type")
-        .groupBy("stage")
+        staged.join(F.broadcast(weights), "stage")
+        .join(F.broadcast(goals), "stage", "left")
+        .groupBy("stage", "weight", "goal")
         .agg(F.sum("n").alias("n_events"), F.round(F.sum("v"), 2).alias("total_value"))
     )
 
@@ -173,16 +183,22 @@ def temp_view_sql(t: Tables) -> DataFrame:
     "catalog_overview",
     "SELECT 'tidemark_' || table_name AS table_name, 'TEMPORARY' AS table_type, true AS is_temporary, row_count FROM ("
     + _union_sql("SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}")
-    + ")",
+    + ") UNION ALL SELECT 'tidemark_managed', 'MANAGED', false, count(*) FROM supplier "
+    "UNION ALL SELECT 'tidemark_external', 'EXTERNAL', false, count(*) FROM nation",
 )
 def catalog_of_tables(t: Tables) -> DataFrame:
-    """The registered views as the catalog lists them, with their row counts."""
+    """Views, a managed and an external table as the catalog lists them, with their row counts. Stored tables have names
+    of their own for each run, which the result leaves out."""
+    run = uuid4().hex[:12]
     views = {f"tidemark_{name}": getattr(t, name) for name in TABLES}
     register_views(views)
-    counts = compare_counts({name: t.spark.table(name) for name in views}, label="table_name")
-    listed = catalog_overview(t.spark).filter(F.col("is_temporary")).drop("database")
-    return broadcast_if_small(listed).join(counts, "table_name").select(
-        "table_name", "table_type", "is_temporary", "row_count"
+    ctas(t.spark, f"tidemark_managed_{run}", t.supplier)
+    ctas(t.spark, f"tidemark_external_{run}", t.nation, workspace(t.spark, "external"))
+    names = [*views, f"tidemark_managed_{run}", f"tidemark_external_{run}"]
+    counts = compare_counts({name: t.spark.table(name) for name in names}, label="table_name")
+    listed = catalog_overview(t.spark).drop("database")
+    return F.broadcast(listed).join(counts, "table_name").select(
+        F.replace("table_name", F.lit(f"_{run}"), F.lit("")).alias("table_name"), "table_type", "is_temporary", "row_count"
     )
 
 
