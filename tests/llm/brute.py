@@ -233,3 +233,41 @@ def codes(rows, parts=16, entries=64, rounds=2):
         (i, "".join(f"{k:02x}" for _, k in o), sum(d for d, _ in o), sums[label], told)
         for (i, _, label), o in zip(kept, own, strict=True)
     ]
+
+
+def spelled(text):
+    """The symbols of a text: its words with a space after each, and the end."""
+    return b" ".join([*lower(text).encode().split(), b"\n"])
+
+
+def suffix_scores(rows, depth, min_count, min_bits):
+    """log10 probability of each text, and the retained contexts, by the definition: symbol by symbol, in dictionaries."""
+    after = defaultdict(Counter)
+    for i, text in rows:
+        if i is None or zlib.crc32(str(i).encode()) % 10:
+            s = b"\n" * depth + spelled(text)
+            for at in range(depth, len(s)):
+                for k in range(depth + 1):
+                    after[s[at - k : at]][s[at]] += 1
+    kept = set()
+    for context, n in after.items():
+        if context and n.total() >= min_count:
+            up = after[context[1:]]
+            bits = sum(m * math.log2(m / n.total() / (up[x] / up.total())) for x, m in n.items())
+            if len(context) <= 2 or bits >= min_bits:
+                kept |= {context[k:] for k in range(len(context))}
+
+    def p(context, x):
+        if not context:
+            return (after[b""][x] + 0.1) / (after[b""].total() + 0.1 * 252)
+        shorter = p(context[1:], x)
+        if context not in kept:
+            return shorter
+        n = after[context]
+        return (n[x] + len(n) * shorter) / (n.total() + len(n))
+
+    out = []
+    for i, text in rows:
+        s = b"\n" * depth + spelled(text)
+        out.append((i, sum(math.log10(p(s[at - depth : at], s[at])) for at in range(depth, len(s)))))
+    return out, kept

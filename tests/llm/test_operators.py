@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -146,38 +147,44 @@ def test_scores_small(spark):
     assert sum(r[6] for r in held) > sum(r[5] for r in held) and all(r[6] < 0 for r in got)
 
 
-def test_suffix_tree_by_brute_force(spark, documents):
-    """Longest retained suffix, smoothing, start and cuts into lanes, read byte by byte."""
-    texts = [(i, t) for i, t in AWKWARD if i < 30 and len(t or "") < 3_000]
-    train = documents(texts)
-    tables = suffix.learn(suffix.texts(train), 3, 1e-3, 1e-4)
-    known = []
-    for k, (context, symbol, n) in enumerate(tables):
-        level = {}
-        for c, x, m in zip(context.tolist(), symbol.tolist(), n.tolist(), strict=True):
-            level.setdefault(int(c).to_bytes(8, "big")[8 - k :], {})[x] = m
-        known.append(level)
-    assert sum(map(len, known)) > 50
-
-    def p(context, x):
-        if not context:
-            c = known[0][b""]
-            return (c.get(x, 0) + 0.1) / (sum(c.values()) + 0.1 * suffix.SYMBOLS)
-        c = known[len(context)][context]
-        return (c.get(x, 0) + len(c) * p(context[1:], x)) / (sum(c.values()) + len(c))
-
-    def plain(s):
-        total, seen = 0.0, b"\n" * 3
-        for x in s:
-            k = next(k for k in range(3, -1, -1) if (seen[-k:] if k else b"") in known[k])
-            total += math.log10(p(seen[-k:] if k else b"", x))
-            seen += bytes([x])
-        return total
-
-    assert abs(sum(p(b"", x) for x in known[0][b""]) + (suffix.SYMBOLS - len(known[0][b""])) * p(b"", 0) - 1) < 1e-9
-    given = [suffix.symbols(suffix.words((t or "").encode())) for _, t in texts] + [b"never ~~ seen " + b"\n"]
-    got = suffix.Tree(tables, 3).score(given)
-    assert np.allclose(got, [plain(s) for s in given], rtol=1e-5)
+def scored(told):
+    return sorted(((r.doc_id, r.score) for r in told.collect()), key=str)
+
+
+@pytest.mark.parametrize("depth,min_count,min_bits,hot_grams,buckets", [(6, 4, 8.0, 10**6, None), (6, 2, 1.0, 0, 7), (4, 4, 8.0, 50, 1), (3, 3, 2.0, 10**6, 3), (2, 2, 0.0, 0, 5)])
+def test_suffix_tree_by_brute_force(documents, depth, min_count, min_bits, hot_grams, buckets):
+    """Counts, divergence test, suffixes of retained contexts, smoothing and the start of a text, whether grams are sent
+    to the tasks or joined, and wherever they are counted."""
+    texts = [(i, t) for i, t in AWKWARD if len(t or "") < 3_000]
+    want, kept = brute.suffix_scores(texts, depth, min_count, min_bits)
+    got = scored(suffix.score(documents(texts), depth, min_count, min_bits, hot=20, hot_grams=hot_grams, buckets=buckets))
+    assert [r[0] for r in got] == [r[0] for r in sorted(want, key=str)]
+    for a, b in zip(sorted(got), sorted(want), strict=True):
+        assert math.isclose(a[1], b[1], rel_tol=1e-9), (a, b)
+    assert depth < 4 or any(len(c) > 2 for c in kept)
+
+
+def test_retained_contexts_are_those_of_the_definition():
+    texts = [(i, t) for i, t in AWKWARD if len(t or "") < 3_000]
+    _, kept = brute.suffix_scores(texts, 6, 4, 8.0)
+    train = [suffix.symbols(suffix.words((t or "").encode())) for i, t in texts if zlib.crc32(str(i).encode()) % 10]
+    codes, n = np.unique(suffix._grams(train, 6), return_counts=True)
+    start = suffix.roots(*suffix._summed(suffix._tail(codes, 3), n), 2, 4)
+    _, found = suffix.learned(codes, n, 6, start, 4, 8.0)
+    got = {int(c).to_bytes(8, "big")[8 - k :] for k, level in enumerate(found, start=3) for c in level.tolist()}
+    assert got == {c for c in kept if len(c) > 2} and len(got) > 50
+
+
+def test_what_is_learned_grows_with_the_corpus(documents):
+    """Ten times the sources retain more contexts: none is measured by its share of the corpus."""
+    rng = random.Random(8)
+    sources = [[f"{''.join(rng.choice('abcdefghij') for _ in range(8))}" for _ in range(30)] for _ in range(20)]
+    texts = [(k, " ".join(rng.choice(sources[k // 10]) for _ in range(80))) for k in range(200)]
+    sizes = [sum(len(c) > 4 for c in brute.suffix_scores(texts[:n], 6, 4, 8.0)[1]) for n in (20, 200)]
+    assert sizes[1] > 5 * sizes[0] > 0
+    some = brute.suffix_scores(texts, 6, 4, 8.0)[0]
+    got = scored(suffix.score(documents(texts)))
+    assert all(math.isclose(a[1], b[1], rel_tol=1e-9) for a, b in zip(sorted(got), sorted(some), strict=True))
 
 
 def test_scores_awkward(documents):
@@ -187,31 +194,19 @@ def test_scores_awkward(documents):
     assert all(math.isclose(a[5], b[5], rel_tol=1e-9) for a, b in zip(got, want, strict=True))
 
 
-def test_retained_contexts_do_not_depend_on_the_share(documents):
+def test_retained_contexts_do_not_depend_on_the_share():
     """A small source's contexts stay when the corpus grows around it, and more text gives more contexts."""
     small = [(i, "kabm rabn") for i in range(1, 40)]
     other = [(i, " ".join(f"{chr(97 + (i * j) % 23)}{i * j % 89}" for j in range(300))) for i in range(100, 400)]
 
     def contexts(rows):
-        levels = suffix.count_levels(suffix.texts(documents(rows)).selectExpr("text", "false AS held_out"), 4)
-        return [{r.context for r in k.collect()} for k in suffix.retained(levels, 10, 20)]
+        codes, n = np.unique(suffix._grams([brute.spelled(t) for _, t in rows], 4), return_counts=True)
+        start = suffix.roots(*suffix._summed(suffix._tail(codes, 3), n), 2, 10)
+        return set(suffix.learned(codes, n, 4, start, 10, 20)[1][0].tolist())
 
     alone, among = contexts(small), contexts(small + other)
-    assert int.from_bytes(b"kab") in alone[3] and int.from_bytes(b"kab") in among[3]
-    assert len(among[3]) > 5 * len(alone[3])
-
-
-@pytest.mark.parametrize("hot_grams", [0, 50, 1_000_000])
-def test_scores_of_joined_grams_are_those_of_the_tree(documents, hot_grams):
-    """With no, few or all grams sent to the tasks: the scores that the automaton of the same contexts gives."""
-    few = [r for r in AWKWARD if r[0] != 200]
-    held = {r[0]: r[1] for r in suffix.score(documents(few)).select("doc_id", "held_out").collect()}
-    train = suffix.texts(documents([r for r in few if not held[r[0]]]))
-    total = sum(len(suffix.symbols(suffix.words((t or "").encode()))) for i, t in few if not held[i])
-    tree = suffix.Tree(suffix.learn(train, 4, 3 / total, 6 / total), 4)
-    want = tree.score([suffix.symbols(suffix.words((t or "").encode())) for _, t in few])
-    got = suffix.score(documents(few), 4, 3, 6, hot_grams=hot_grams).select("doc_id", "score").collect()
-    assert np.allclose(sorted(r.score for r in got), sorted(want), rtol=1e-5)
+    assert int.from_bytes(b"kab") in alone and int.from_bytes(b"kab") in among
+    assert len(among) > 5 * len(alone)
 
 
 def test_token_counts(spark, documents):

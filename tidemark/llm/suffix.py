@@ -37,9 +37,12 @@ HOT_WORDS = 200_000
 # others are joined.
 HOT_GRAMS = 1_000_000
 
-# Bytes that are counted or scored at once, and symbols of a lane of the scoring loop.
-CHUNK = 1 << 22
-LANE = 1024
+# Contexts up to this length are retained whenever they are frequent enough; the divergence decides on longer ones. Their
+# counts are one small table. Grams are counted where all contexts that end in the same SHARED symbols are.
+ROOTS, SHARED = 2, 3
+
+# Bytes that are counted or scored at once, grams that a task holds before it gives them out, and tokens per bucket.
+CHUNK, HELD, BUCKET_TOKENS = 1 << 22, 1 << 22, 2_000_000
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -65,25 +68,66 @@ def _grams(sequences: list[bytes], depth: int) -> np.ndarray:
     return code[real[depth:]]
 
 
-def count_grams(docs: DataFrame, depth: int) -> DataFrame:
-    """``(gram, n, seen)`` over all texts: counts in the rows that are not ``held_out``, and in all rows; summed in each
-    task, then over tasks."""
+def _summed(codes: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each code once, in order, with the sums of its counts."""
+    if not len(codes):
+        return codes, *counts
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    begun = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[begun], *(np.add.reduceat(c[order], begun) for c in counts)
+
+
+def _tail(codes: np.ndarray, k: int) -> np.ndarray:
+    """The last ``k`` symbols of packed grams."""
+    return codes & np.uint64((1 << (8 * k)) - 1)
+
+
+def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where a gram is counted: by the last symbols of its context, so that all longer and shorter contexts that end
+    in them, down to ``SHARED`` symbols, are at one place."""
+    mixed = _tail(codes >> np.uint64(8), SHARED) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+_PACKED = "bucket int, codes binary, n binary, seen binary"
 
-    def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            codes, n, seen = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(codes)
-            codes = codes[order]
-            begun = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-            return codes[begun], np.add.reduceat(n[order], begun), np.add.reduceat(seen[order], begun)
+def count_grams(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """``(bucket, codes, n, seen, low, low_n)``, one row per bucket: all grams of ``depth`` symbols of context and the
+    symbol after it, packed and in order, with their counts in the rows that are not ``held_out`` and in all rows; and
+    the sums of the former for the last ``ROOTS`` symbols of context.
+
+    Each task sums up its texts first. What is shuffled is one row of numbers per task and bucket; how many buckets
+    there are follows from the corpus, so a bucket's numbers fit into a task.
+    """
+
+    def run(batches):
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def merge() -> None:
+            held[:] = [_summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+
+        def flush():
+            merge()
+            codes, n, seen = held.pop()
+            bucket = _bucket(codes, buckets)
+            order = np.argsort(bucket, kind="stable")
+            codes, n, seen, bucket = codes[order], n[order], seen[order], bucket[order]
+            begun = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else order
+            for lo, hi in zip(begun, [*begun[1:], len(bucket)], strict=True):
+                one = [codes[lo:hi].tobytes(), n[lo:hi].tobytes(), seen[lo:hi].tobytes()]
+                yield pa.record_batch([pa.array([bucket[lo]], pa.int32()), *(pa.array([x], pa.binary()) for x in one)], ["bucket", "codes", "n", "seen"])
 
         def add(sequences: list[bytes], out: bool) -> None:
             codes, seen = np.unique(_grams(sequences, depth), return_counts=True)
             held.append((codes, np.zeros_like(seen) if out else seen, seen))
             if sum(len(x[0]) for x in held[1:]) > CHUNK:
-                held[:] = [merged()]
+                merge()
 
         waiting, size = {False: [], True: []}, {False: 0, True: 0}
         for batch in batches:
@@ -93,17 +137,107 @@ def count_grams(docs: DataFrame, depth: int) -> DataFrame:
                 if size[out] > CHUNK:
                     add(waiting[out], out)
                     waiting[out], size[out] = [], 0
+                    if len(held[0][0]) > HELD:
+                        yield from flush()
         for out, rest in waiting.items():
             if rest:
                 add(rest, out)
         if held:
-            codes, n, seen = merged()
-            for at in range(0, len(codes), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield pa.record_batch([pa.array(codes[part].view(np.int64)), pa.array(n[part]), pa.array(seen[part])], ["gram", "n", "seen"])
+            yield from flush()
+
+    def whole(table: pa.Table) -> pa.Table:
+        codes, n, seen = _summed(_unpacked(table["codes"], np.uint64), _unpacked(table["n"], np.int64), _unpacked(table["seen"], np.int64))
+        low, low_n = _summed(_tail(codes, min(ROOTS, depth) + 1), n)
+        told = {"codes": codes, "n": n, "seen": seen, "low": low, "low_n": low_n}
+        bucket = pa.array([table["bucket"][0].as_py()], pa.int32())
+        return pa.table([bucket, *(pa.array([x.tobytes()], pa.binary()) for x in told.values())], ["bucket", *told])
+
+    parts = docs.select("text", "held_out").mapInArrow(run, _PACKED)
+    return parts.groupBy("bucket").applyInArrow(whole, f"{_PACKED}, low binary, low_n binary")
+
+
+class Level:
+    """The contexts of one length, from the grams of that length and their counts in order."""
+
+    def __init__(self, codes: np.ndarray, n: np.ndarray):
+        self.codes, self.n = codes, n
+        self.contexts, self.own = np.unique(codes >> np.uint64(8), return_inverse=True)
+        self.total = np.bincount(self.own, n, minlength=len(self.contexts))
+        self.kinds = np.bincount(self.own, n > 0, minlength=len(self.contexts))
+        self.share = n / np.maximum(self.total[self.own], 1)
+
+    def smoothed(self, shorter: np.ndarray, kept: np.ndarray) -> np.ndarray:
+        """Probabilities of the symbols after their contexts, given those after the next shorter ones."""
+        own = self.own
+        return np.where(kept[own], (self.n + self.kinds[own] * shorter) / np.maximum(self.total + self.kinds, 1)[own], shorter)
 
-    counted = docs.select("text", "held_out").mapInArrow(run, "gram long, n long, seen long")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+
+def roots(low: np.ndarray, low_n: np.ndarray, length: int, min_count: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Grams with contexts of ``length`` symbols, their shares and their probabilities. Contexts up to this length are
+    retained if they are frequent enough. There are at most 252 ** 3 of these grams, whatever the corpus."""
+    p = None
+    for k in range(length + 1):
+        level = Level(*_summed(_tail(low, k + 1), low_n))
+        if p is None:
+            p = (level.n + ADDED) / (low_n.sum() + ADDED * SYMBOLS)
+        else:
+            p = level.smoothed(p[np.searchsorted(before, _tail(level.codes, k))], level.total >= min_count)
+        before = level.codes
+    return level.codes, level.share, p
+
+
+def learned(codes: np.ndarray, n: np.ndarray, depth: int, start: tuple[np.ndarray, ...], min_count: float, min_bits: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Probabilities of one bucket's grams by their longest retained context, and the retained contexts of each length
+    beyond the roots'.
+
+    A context is a candidate if it occurs ``min_count`` times, and is retained if its counts times the divergence of
+    what follows it from what follows the next shorter context is ``min_bits``. The suffixes of a retained context are
+    retained too; as they are no rarer they are candidates.
+    """
+    known, share, p = start
+    first = min(ROOTS, depth)
+    levels, parents, kept = [], [], []
+    for k in range(first + 1, depth + 1):
+        level = Level(*_summed(_tail(codes, k + 1), n))
+        up = np.searchsorted(known, _tail(level.codes, k))
+        seen = np.flatnonzero(level.n)
+        bits = level.n[seen] * np.log2(level.share[seen] / share[up[seen]])
+        told = np.bincount(level.own[seen], bits, minlength=len(level.contexts))
+        kept.append((level.total >= min_count) & (told >= min_bits))
+        levels.append(level)
+        parents.append(up)
+        known, share = level.codes, level.share
+    for at in range(len(levels) - 1, 0, -1):
+        shorter = levels[at - 1].contexts
+        kept[at - 1][np.searchsorted(shorter, _tail(levels[at].contexts[kept[at]], first + at))] = True
+    for level, up, keep in zip(levels, parents, kept, strict=True):
+        p = level.smoothed(p[up], keep)
+    last = levels[-1].codes if levels else start[0]
+    return p[np.searchsorted(last, _tail(codes, depth + 1))], [level.contexts[k] for level, k in zip(levels, kept, strict=True)]
+
+
+def gram_logs(counted: DataFrame, depth: int, min_count: float, min_bits: float) -> DataFrame:
+    """``(gram, seen, log)`` of every gram of full length in any text: log10 of the probability that the longest retained
+    context before its last symbol gives to it. ``counted`` is what ``count_grams`` gives, stored; a bucket needs nothing
+    of any other but the roots, which are sent to every task."""
+    low, low_n = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for row in counted.select("low", "low_n").toLocalIterator():  # a bucket at a time
+        part = np.frombuffer(row.low, np.uint64), np.frombuffer(row.low_n, np.int64)
+        low, low_n = _summed(np.concatenate([low, part[0]]), np.concatenate([low_n, part[1]]))
+    start = roots(low, low_n, min(ROOTS, depth), min_count)
+    sent = counted.sparkSession.sparkContext.broadcast(start)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes, n, seen = (np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in (("codes", np.uint64), ("n", np.int64), ("seen", np.int64)))
+                p, _ = learned(codes, n, depth, sent.value, min_count, min_bits)
+                for lo in range(0, len(codes), 1 << 16):
+                    part = slice(lo, lo + (1 << 16))
+                    columns = [pa.array(codes[part].view(np.int64)), pa.array(seen[part]), pa.array(np.log10(p[part]))]
+                    yield pa.record_batch(columns, ["gram", "seen", "log"])
+
+    return counted.select("codes", "n", "seen").mapInArrow(run, "gram long, seen long, log double")
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -129,153 +263,6 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Tree:
-    """The retained contexts with their smoothed next-symbol distributions, as an automaton.
-
-    State 0 is the empty context. ``follow[s, x]`` is the state after symbol x in state s, the longest retained
-    suffix of what was read; as every part of a retained context is retained, no other suffix needs to be kept.
-    """
-
-    def __init__(self, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int):
-        """``tables[k]``: context, next symbol and count of the contexts of k symbols, sorted."""
-        self.depth = depth
-        _, first, count = tables[0]
-        total = count.sum()
-        self.column = np.full(256, len(first), np.int64)  # the last column is for symbols never seen
-        self.column[first] = np.arange(len(first))
-        width = len(first) + 1
-        p = np.full((1, width), ADDED)
-        p[0, self.column[first]] += count
-        p /= total + ADDED * SYMBOLS
-        contexts = [np.zeros(1, np.uint64)]
-        offset = [0]
-        logs, follow = [np.log10(p).astype(np.float32)], [np.zeros((1, width), np.int32)]
-        shorter = p
-        for k in range(1, depth + 1):
-            context, symbol, count = tables[k]
-            own, row = np.unique(context, return_inverse=True)
-            offset.append(offset[-1] + len(contexts[-1]))
-            contexts.append(own)
-            mask = np.uint64((1 << (8 * (k - 1))) - 1)
-            parent = np.searchsorted(contexts[k - 1], own & mask)
-            kinds = np.bincount(row, minlength=len(own)).astype(np.float64)
-            total = np.bincount(row, count, minlength=len(own))
-            p = shorter[parent] * kinds[:, None]
-            p[row, self.column[symbol]] += count
-            p /= (total + kinds)[:, None]
-            logs.append(np.log10(p).astype(np.float32))
-            follow.append(follow[k - 1][parent].copy())
-            # Reading the last symbol of a context in the state of its beginning leads to it.
-            before = np.searchsorted(contexts[k - 1], own >> np.uint64(8))
-            last = self.column[(own & np.uint64(255)).astype(np.int64)]
-            follow[k - 1][before, last] = offset[k] + np.arange(len(own))
-            follow[k] = follow[k - 1][parent].copy()
-            shorter = p
-        self.logs, self.follow = np.concatenate(logs), np.concatenate(follow)
-
-    def score(self, sequences: list[bytes]) -> np.ndarray:
-        """log10 probability of each sequence. Sequences are cut into lanes that are read side by side; a lane begins
-        ``depth`` symbols early, which is all that the state depends on, so the cuts change nothing."""
-        depth, lanes = self.depth, []
-        for i, s in enumerate(sequences):
-            lanes += [(i, at) for at in range(0, len(s), LANE)]
-        owner = np.array([i for i, _ in lanes])
-        begin = np.array([at for _, at in lanes])
-        base = np.cumsum([0, *(len(s) + depth for s in sequences)])[:-1]
-        flat = np.frombuffer(b"".join([x for s in sequences for x in (b"\n" * depth, s)]), np.uint8)
-        length = np.minimum(np.array([len(s) for s in sequences])[owner] - begin, LANE)
-        order = np.argsort(-length, kind="stable")
-        owner, length = owner[order], length[order]
-        at = base[owner] + begin[order]  # place of the lane's first pad symbol in the flat array
-        state, total = np.zeros(len(order), np.int64), np.zeros(len(order))
-        live = np.searchsorted(-length, -np.arange(LANE), "left")  # lanes longer than k
-        width = self.logs.shape[1]
-        logs, follow = self.logs.ravel(), self.follow.ravel()
-        for k in range(-depth, int(length[0]) if len(length) else 0):
-            n = len(order) if k < 0 else int(live[k])
-            cell = state[:n] * width + self.column[flat[at[:n] + depth + k]]
-            if k >= 0:
-                total[:n] += logs[cell]
-            state[:n] = follow[cell]
-        return np.bincount(owner, total, minlength=len(sequences))
-
-
-def _last(gram: str, k: int) -> Column:
-    """The last ``k`` symbols of a packed gram."""
-    return F.col(gram).bitwiseAND(F.lit((1 << (8 * k)) - 1))
-
-
-def count_levels(docs: DataFrame, depth: int) -> list[DataFrame]:
-    """``(gram, n, seen)`` of contexts of 0 to ``depth`` symbols and the symbol after them. Those of the full length are
-    gathered from the whole corpus, and those of shorter ones summed up from them."""
-    levels = [stored(count_grams(docs, depth), "grams")]
-    for k in range(depth - 1, -1, -1):
-        summed = levels[-1].groupBy(_last("gram", k + 1).alias("gram")).agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
-        levels.append(stored(summed, f"grams-{k}"))
-    return levels[::-1]
-
-
-def retained(levels: list[DataFrame], min_count: float, min_bits: float) -> list[DataFrame]:
-    """``(context, total, kinds)`` of the retained contexts of each length: their counts, and how many different symbols
-    follow.
-
-    A context is a candidate if it occurs ``min_count`` times, and is retained if its counts times the divergence of
-    what follows it from what follows the next shorter context is ``min_bits``. All parts of a retained context are
-    kept too; as they are no rarer they are candidates. Their number has no bound but the corpus: they stay tables.
-    """
-    depth, context = len(levels) - 1, F.shiftrightunsigned("gram", 8)
-    trained = [c.where("n > 0").select("gram", "n", context.alias("context")) for c in levels]
-    often = [
-        stored(c.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where(F.col("total") >= min_count), f"often-{k}")
-        for k, c in enumerate(trained)
-    ]
-    kept = [often[0]] + [None] * depth
-    longer = None
-    for k in range(depth, 0, -1):
-        own = trained[k].join(often[k].hint("merge"), "context")
-        own = own.select("context", "n", "total", _last("gram", k).alias("above"))
-        above = trained[k - 1].join(often[k - 1].hint("merge"), "context")
-        above = above.select(F.col("gram").alias("above"), (F.col("n") / F.col("total")).alias("q"))
-        bits = F.sum(F.col("n") * F.log2(F.col("n") / F.col("total") / F.col("q")))
-        found = own.join(above.hint("merge"), "above").groupBy("context").agg(bits.alias("bits")).where(F.col("bits") >= min_bits).select("context")
-        if longer is not None:
-            found = found.union(longer.select(_last("context", k))).union(longer.select(F.shiftrightunsigned("context", 8))).distinct()
-        longer = kept[k] = stored(often[k].join(found.hint("merge"), "context", "left_semi"), f"kept-{k}")
-    return kept
-
-
-def learn(docs: DataFrame, depth: int, min_share: float, min_gain: float):
-    """The tables of a ``Tree``, learned from all ``docs``, of the contexts that have a share of the corpus and a gain
-    weighted by it: at most 1 / min_share contexts of each length, which come to the driver. ``score`` does not use it."""
-    levels = count_levels(docs.withColumn("held_out", F.lit(False)), depth)
-    total = levels[0].agg(F.sum("n")).first()[0]
-    if not total:
-        empty = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        return [empty] * (depth + 1)
-    tables = []
-    for c, kept in zip(levels, retained(levels, min_share * total, min_gain * total), strict=True):
-        mine = c.select(F.shiftrightunsigned("gram", 8).alias("context"), _last("gram", 1).alias("next"), "n")
-        found = mine.join(kept, "context", "left_semi").toArrow().sort_by([("context", "ascending"), ("next", "ascending")])
-        arrays = [found.column(n).to_numpy() for n in ("context", "next", "n")]
-        tables.append((arrays[0].view(np.uint64), arrays[1].astype(np.int64), arrays[2].astype(np.int64)))
-    return tables
-
-
-def gram_logs(levels: list[DataFrame], kept: list[DataFrame]) -> DataFrame:
-    """``(gram, seen, log)`` of every gram of full length in any text: log10 of the probability that the longest retained
-    context before its last symbol gives to it. Each key of these joins has at most 256 rows."""
-    total = levels[0].agg(F.sum("n")).first()[0] or 0
-    p = (F.col("n") + ADDED) / F.lit(total + ADDED * SYMBOLS)
-    value = levels[0].select("gram", "seen", p.alias("p"))
-    for k in range(1, len(levels)):
-        own = levels[k].select("gram", "n", "seen", F.shiftrightunsigned("gram", 8).alias("context"), _last("gram", k).alias("above"))
-        own = own.join(kept[k].hint("merge"), "context", "left")
-        own = own.join(value.select(F.col("gram").alias("above"), F.col("p").alias("q")).hint("merge"), "above")
-        p = (F.col("n") + F.col("kinds") * F.col("q")) / (F.col("total") + F.col("kinds"))
-        value = own.select("gram", "seen", F.coalesce(p, F.col("q")).alias("p"))
-    return value.select("gram", "seen", F.log10("p").alias("log"))
-
-
 class Lookup:
     """Logarithms of the grams that every task has, in hash tables of single slots: what finds its slot taken goes to
     the next table, so that none is left out."""
@@ -334,7 +321,13 @@ def _most_frequent(counted: DataFrame, most: int, n: str = "n") -> DataFrame:
 
 
 def score(
-    docs: DataFrame, depth: int = DEPTH, min_count: float = MIN_COUNT, min_bits: float = MIN_BITS, hot: int = HOT_WORDS, hot_grams: int = HOT_GRAMS
+    docs: DataFrame,
+    depth: int = DEPTH,
+    min_count: float = MIN_COUNT,
+    min_bits: float = MIN_BITS,
+    hot: int = HOT_WORDS,
+    hot_grams: int = HOT_GRAMS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per document.
 
@@ -360,8 +353,8 @@ def score(
     top = _most_frequent(counted, hot).toArrow()
     values = np.log10((top.column("n").to_numpy() + ADDED) / norm).tolist()
     logs = dict(zip((w.encode() for w in top.column("word").to_pylist()), values, strict=True))
-    levels = count_levels(frame.withColumn("held_out", is_held_out(F.col("doc_id"))), depth)
-    spelled = stored(gram_logs(levels, retained(levels, min_count, min_bits)), "gram-logs")
+    counted_grams = count_grams(frame.withColumn("held_out", is_held_out(F.col("doc_id"))), depth, buckets or max(32, -(-n // BUCKET_TOKENS)))
+    spelled = stored(gram_logs(stored(counted_grams, "grams"), depth, min_count, min_bits), "gram-logs")
     often = _most_frequent(spelled, hot_grams, "seen").select("gram", "log").toArrow()
     sent = spark.sparkContext.broadcast((logs, often.column("gram").to_numpy().view(np.uint64), often.column("log").to_numpy()))
     name = uuid4().hex
