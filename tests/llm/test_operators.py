@@ -313,6 +313,16 @@ def test_vectors_awkward(spark, monkeypatch):
     assert rows(vectors.near_vectors(df.repartition(3))) == sorted(brute.vectors(made), key=str)
 
 
+def test_ids_with_several_vectors_lose_no_link(spark):
+    """An id that is the smallest of two classes: each keeps its own links and component."""
+    a, b = [1.0, 0.0, 0.2], [0.0, 1.0, -0.3]
+    near = lambda v: [x + 0.001 for x in v]
+    data = [(1, a), (1, b), (2, a), (3, b), (4, near(a)), (5, near(b)), (1, a), (6, [0.0, 0.0, 1.0])]
+    got = rows(vectors.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>")))
+    two, three = (1, 2, 1, True), (2, 2, 1, False)
+    assert got == sorted([two, two, two, three, (3, 2, 1, False), (4, 2, 1, False), (5, 2, 1, False), (6, 0, 6, True)], key=str)
+
+
 def test_vector_plan_keeps_recall():
     for n in (10, 10**5, 10**9):
         bits, tables = vectors.plan(n, 0.95)

@@ -30,10 +30,10 @@ def plan(n: int, cosine: float, bucket: int = BUCKET, miss: float = MISS) -> tup
 
 
 def _codes(frame: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
-    """``(id, class, codes)``: a digest of the vector's own bytes and its bucket in each table; null where a
+    """``(id, class, codes, vec)``: a digest of the vector's own bytes and its bucket in each table; null where a
     vector can link with nothing."""
     schema = StructType(
-        [same_type(frame, "id", "id"), StructField("class", BinaryType()), StructField("codes", ArrayType(LongType()))]
+        [same_type(frame, "id", "id"), StructField("class", BinaryType()), StructField("codes", ArrayType(LongType())), same_type(frame, "vec", "vec")]
     )
 
     def make():
@@ -53,7 +53,7 @@ def _codes(frame: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
                 good = v is not None and len(v) and np.isfinite(v).all() and np.isfinite(np.linalg.norm(v)) and v.any()
                 names.append(blake2b((v + 0.0).tobytes(), digest_size=16).digest() if good else None)
                 codes.append(code(v).tolist() if good else None)
-            columns = [batch.column("id"), pa.array(names, pa.binary()), pa.array(codes, pa.list_(pa.int64()))]
+            columns = [batch.column("id"), pa.array(names, pa.binary()), pa.array(codes, pa.list_(pa.int64())), batch.column("vec")]
             return pa.record_batch(columns, schema.names)
 
         return run
@@ -157,15 +157,13 @@ def near_vectors(
     bits, tables = plan(frame.count(), cosine)
     coded = stored(_codes(frame, bits, tables, seed), "codes")
     named = coded.where("class is not null and id is not null")
-    classes = stored(named.groupBy("class").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("weight")), "classes")
-    reps = named.join(classes.hint("merge"), "class").where("id = rep")
-    reps = stored(reps.select("rep", "weight", "codes").dropDuplicates(["rep"]), "reps")
-    whole = reps.select("rep", "weight", "codes").join(
-        frame.where("vec is not null").dropDuplicates(["id"]).hint("merge"), F.col("rep") == F.col("id")
-    )
-    whole = stored(whole.select("rep", "weight", "codes", "vec"), "vectors")
+    # A class goes by its digest until the end: an id may come with several vectors, and be the smallest of several classes.
+    classes = named.groupBy("class").agg(F.min("id").alias("smallest"), F.countDistinct("id").alias("weight"))
+    classes = stored(classes, "classes")
+    whole = named.select("class", "codes", "vec").dropDuplicates(["class"]).join(classes.select("class", "weight").hint("merge"), "class")
+    whole = stored(whole.select(F.col("class").alias("rep"), "weight", "codes", "vec"), "vectors")
 
-    at = reps.select("rep", F.posexplode("codes").alias("table", "code"))
+    at = whole.select("rep", F.posexplode("codes").alias("table", "code"))
     at = at.select("rep", "table", F.xxhash64("table", "code").alias("key"))
     buckets = at.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
@@ -176,17 +174,16 @@ def near_vectors(
     dealt = spread.join(whole.hint("merge"), "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     links = stored(_links(dealt, cosine), "links")
 
-    direct = stored(links.where("links > 0").groupBy("rep").agg(F.sum("links").alias("direct")), "direct")
-    group = stored(components(links.where("b is not null"), "rep", "b"), "components")
-    mine = coded.select("id", "class").join(classes.hint("merge"), "class", "left")
-    mine = mine.select("id", F.coalesce(F.when(F.col("id").isNotNull(), F.col("rep")), "id").alias("rep"), F.when(F.col("id").isNotNull(), F.col("weight")).alias("weight"))
-    mine = mine.join(direct.hint("merge"), "rep", "left").join(
-        group.select(F.col("node").alias("rep"), "component").hint("merge"), "rep", "left"
-    )
-    least = F.coalesce("component", "rep")
+    direct = links.where("links > 0").groupBy("rep").agg(F.sum("links").alias("direct")).withColumnRenamed("rep", "class")
+    group = stored(components(links.where("b is not null"), "rep", "b"), "components").withColumnRenamed("node", "class")
+    least = group.join(classes.hint("merge"), "class").groupBy("component").agg(F.min("smallest").alias("least"))
+    group = group.join(least.hint("merge"), "component").select("class", "least")
+    told = classes.join(stored(direct, "direct").hint("merge"), "class", "left").join(group.hint("merge"), "class", "left")
+    mine = coded.select("id", F.when(F.col("id").isNotNull(), F.col("class")).alias("class")).join(told.hint("merge"), "class", "left")
+    component = F.coalesce("least", "smallest", "id")
     return mine.select(
         F.col("id").alias("vec_id"),
         (F.coalesce("weight", F.lit(1)) - 1 + F.coalesce("direct", F.lit(0))).alias("n_links"),
-        least.alias("component_id"),
-        F.coalesce(F.col("id") == least, F.lit(True)).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
