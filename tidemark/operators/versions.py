@@ -89,7 +89,9 @@ class VersionedTable:
 
     def as_of(self, version: int | None = None, timestamp: datetime | None = None) -> DataFrame:
         """The table at a version, at a point in time, or now."""
-        log = self._log()
+        return self._at(self._log(), version, timestamp)
+
+    def _at(self, log: list, version: int | None = None, timestamp: datetime | None = None) -> DataFrame:
         if timestamp is not None:
             log = [r for r in log if r.timestamp <= timestamp]
         if version is not None:
@@ -157,7 +159,7 @@ class VersionedTable:
         version = len(log)
         replaced = 0
         if log:
-            path = self._write_changes(self.as_of().withColumn(CHANGE_TYPE, F.lit(DELETE)), version)
+            path = self._write_changes(self._at(log).withColumn(CHANGE_TYPE, F.lit(DELETE)), version)
             replaced = self.spark.read.parquet(path).count()
         df.write.mode("overwrite").parquet(f"{self.path}/snapshots/{VERSION}={version}")
         counts = {INSERT: self._folder("snapshots", version, df.schema).count(), DELETE: replaced}
@@ -174,10 +176,11 @@ class VersionedTable:
             raise ValueError(f"new columns {[f.name for f in extra]}: pass evolve=True to add them")
         empty = self.spark.createDataFrame([], current)
         rows = empty.unionByName(df, allowMissingColumns=True)
-        return self._record(rows.withColumn(CHANGE_TYPE, F.lit(INSERT)), "APPEND", batch_tag)
+        return self._record(len(log), rows.withColumn(CHANGE_TYPE, F.lit(INSERT)), "APPEND", batch_tag)
 
     def update(self, predicate: Column, values: Mapping[str, Column]) -> int | None:
-        current = self.as_of()
+        log = self._log()
+        current = self._at(log)
         new_row = [
             values[f.name].cast(f.dataType).alias(f.name) if f.name in values else F.col(f.name)
             for f in current.schema.fields
@@ -187,11 +190,12 @@ class VersionedTable:
             F.struct(F.lit(POSTIMAGE).alias(CHANGE_TYPE), *new_row),
         )
         changes = current.filter(predicate).select(F.explode(images).alias("c")).select("c.*")
-        return self._record(changes, "UPDATE")
+        return self._record(len(log), changes, "UPDATE")
 
     def delete(self, predicate: Column) -> int | None:
-        gone = self.as_of().filter(predicate)
-        return self._record(gone.withColumn(CHANGE_TYPE, F.lit(DELETE)), "DELETE")
+        log = self._log()
+        gone = self._at(log).filter(predicate)
+        return self._record(len(log), gone.withColumn(CHANGE_TYPE, F.lit(DELETE)), "DELETE")
 
     def merge(
         self,
@@ -206,11 +210,12 @@ class VersionedTable:
 
         The source is used several times, so it is written out first; that also tells its true size.
         """
-        if self._done(self._log(), batch_tag):
+        log = self._log()
+        if self._done(log, batch_tag):
             return None
         source = materialize(source, "merge-source")
-        plan = clauses(merge_into(self.as_of(), source, on, source_is_unique, null_safe))
-        return self._record(plan.changes(), "MERGE", batch_tag)
+        plan = clauses(merge_into(self._at(log), source, on, source_is_unique, null_safe))
+        return self._record(len(log), plan.changes(), "MERGE", batch_tag)
 
     def compact(self) -> int:
         """Write a new snapshot of the latest version, in files of even size.
@@ -219,7 +224,7 @@ class VersionedTable:
         """
         log = self._log()
         version = len(log)
-        current = self.as_of()
+        current = self._at(log)
         base = max(r.version for r in log if r.snapshot)
         parts = [self.snapshot_path(base)]
         parts += [f"{self.path}/changes/{VERSION}={r.version}" for r in log if r.version > base]
@@ -236,8 +241,7 @@ class VersionedTable:
         changes.write.mode("overwrite").parquet(path)
         return path
 
-    def _record(self, changes: DataFrame, operation: str, batch_tag: str | None = None) -> int:
-        version = len(self._log())
+    def _record(self, version: int, changes: DataFrame, operation: str, batch_tag: str | None = None) -> int:
         path = self._write_changes(changes, version)
         stored = self.spark.read.schema(changes.schema).parquet(path)
         counts = {r[0]: r[1] for r in stored.groupBy(CHANGE_TYPE).count().collect()}
