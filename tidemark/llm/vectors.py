@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from tidemark.llm.common import map_batches, same_type, stored
+from tidemark.llm.common import hint_if_counted, map_batches, same_type, stored
 from tidemark.llm.graph import components
 
 # Mean number of vectors in a bucket, and the chance that a pair at the threshold shares no bucket.
@@ -177,7 +177,8 @@ def near_vectors(
     direct = links.where("links > 0").groupBy("rep").agg(F.sum("links").alias("direct")).withColumnRenamed("rep", "class")
     group = stored(components(links.where("b is not null"), "rep", "b"), "components").withColumnRenamed("node", "class")
     least = group.join(classes.hint("merge"), "class").groupBy("component").agg(F.min("smallest").alias("least"))
-    group = group.join(least.hint("merge"), "component").select("class", "least")
+    least = stored(least, "least")
+    group = group.join(hint_if_counted(least, least.count()), "component").select("class", "least")
     told = classes.join(stored(direct, "direct").hint("merge"), "class", "left").join(group.hint("merge"), "class", "left")
     mine = coded.select("id", F.when(F.col("id").isNotNull(), F.col("class")).alias("class")).join(told.hint("merge"), "class", "left")
     component = F.coalesce("least", "smallest", "id")
