@@ -35,14 +35,15 @@ HOT_WORDS = 200_000
 
 # The most frequent grams (a context of full length and the symbol after it), whose logarithms go to every task; all
 # others are joined.
-HOT_GRAMS = 1_000_000
+HOT_GRAMS = 2_000_000
 
 # Contexts up to this length are retained whenever they are frequent enough; the divergence decides on longer ones. Their
 # counts are one small table. Grams are counted where all contexts that end in the same SHARED symbols are.
 ROOTS, SHARED = 2, 3
 
-# Bytes that are counted or scored at once, grams that a task holds before it gives them out, and tokens per bucket.
-CHUNK, HELD, BUCKET_TOKENS = 1 << 22, 1 << 22, 2_000_000
+# Bytes that are counted or scored at once, grams that a task holds before it gives them out, and tokens per bucket. A
+# worker has some hundred bytes for each of the former, which is what its memory depends on.
+CHUNK, HELD, BUCKET_TOKENS = 1 << 20, 1 << 21, 2_000_000
 
 
 def is_held_out(doc_id: Column) -> Column:
