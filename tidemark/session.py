@@ -16,6 +16,7 @@ BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 
 # Largest input, by the same estimate, that is dealt out to all cores before costly row work.
 SPREAD_LIMIT_BYTES = 256 * 1024 * 1024
+SPREAD_SHARE_BYTES = 8 * 1024 * 1024
 
 _local_root: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -109,9 +110,10 @@ def spread(df: DataFrame) -> DataFrame:
     A table of one file with one row group is one task however wide it is. Inputs beyond
     ``SPREAD_LIMIT_BYTES`` come in many splits already and are left alone: no shuffle at scale.
     """
-    if df.isStreaming or estimated_bytes(df) > SPREAD_LIMIT_BYTES:
+    size = sys.maxsize if df.isStreaming else estimated_bytes(df)
+    if size > SPREAD_LIMIT_BYTES:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // SPREAD_SHARE_BYTES)))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
