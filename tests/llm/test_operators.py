@@ -82,6 +82,19 @@ def test_near_duplicates_small(spark):
     assert rows(run(spark, "op2_minhash_dedup")) == sorted(brute.near(small(spark, "documents", "doc_id", "text"), 4), key=str)
 
 
+def test_near_copies_meet_in_small_blocks_of_sets(documents, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SETS", 7)
+    rnd = random.Random(5)
+    base = [f"b{j}" for j in range(50)]
+    made = []
+    for k in range(120):  # one bucket in most bands, many pairs near the threshold
+        w = list(base)
+        for _ in range(rnd.randint(1, 3)):
+            w[rnd.randrange(50)] = f"z{rnd.randrange(10**6)}"
+        made.append((k, " ".join(w)))
+    assert rows(minhash.near_duplicates(documents(made), size=4)) == sorted(brute.near(made, 4), key=str)
+
+
 def test_near_duplicates_awkward(documents, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 5)
     rnd = random.Random(3)

@@ -26,8 +26,8 @@ ERRORS = 5
 # Members of a bucket that meet in one join key; the pairs of blocks of larger buckets are dealt out.
 BLOCK = 4096
 
-# Bytes of shingle sets that meet in one join key where sets are compared inside a join.
-BLOCK_BYTES = 32 << 20
+# Bytes and number of shingle sets that meet in one join key where sets are compared inside a join, about a second's work.
+BLOCK_BYTES, BLOCK_SETS = 32 << 20, 512
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -198,7 +198,7 @@ def near_duplicates(
     4. Classes with a partner in a bucket that they are not connected with yet and that the sketch lets through
        meet there again, with their sets. These are compared inside the join, so that only links leave it.
 
-    In 2 and 4 a large bucket's pairs of blocks are dealt out over many join keys, in 4 by the bytes of its sets.
+    In 2 and 4 a large bucket's pairs of blocks are dealt out over many join keys, in 4 by the number and bytes of its sets.
     Links are confirmed on whole sets of 64-bit shingle hashes. No bucket is cut or skipped.
 
     A text without words (also null or empty) has no shingles and links with nothing; one with fewer words
@@ -235,11 +235,19 @@ def near_duplicates(
 
     by_rows = F.ceil(F.col("members") / BLOCK).cast("int")
 
-    def meeting(frame: DataFrame, more: Column, how: str, blocks: Column = by_rows) -> DataFrame:
-        """Members of a bucket against each other, block by block."""
+    def meeting(
+        frame: DataFrame, first: Column, how: str, blocks: Column = by_rows, last: Column | None = None, even: bool = False
+    ) -> DataFrame:
+        """Members of a bucket against each other, block by block: the cheap test first, then the sketches, then the
+        dear test. The condition must stay short: Java leaves a method of more than 8,000 bytes uncompiled. ``even``
+        blocks are shuffled as they are dealt: splitting both sides of a large bucket once more makes a task of each
+        pair of splits, with little to do."""
         left, right = dealt(frame, "a", "i", "j", blocks), dealt(frame, "b", "j", "i", blocks)
+        if even:
+            left, right = left.repartition("key_a", "i", "j"), right.repartition("key_b", "i", "j")
         same = (F.col("key_a") == F.col("key_b")) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-        return left.join(right.hint("merge"), same & likely("a", "b") & more, how)
+        tests = [first, likely("a", "b")] + ([] if last is None else [last])
+        return left.join(right.hint("merge"), reduce(lambda a, b: a & b, tests, same), how)
 
     partnered = meeting(member, F.col("rep_a") != F.col("rep_b"), "left_semi")
     member = stored(
@@ -271,22 +279,19 @@ def near_duplicates(
     open_keys = told.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
     still = stored(told.join(open_keys.select("key").hint("merge"), "key", "left_semi"), "open")
 
-    # All pairs that those links leave unconnected. A pair meets in one of the buckets that it shares, not in each.
-    # For that each row has its open keys by band, a null where a band's bucket is not open.
-    band = [f"b{i}" for i in range(bands)]
-    own_keys = still.groupBy("rep").agg(*(F.max(F.when(F.col("band") == i, F.col("key"))).alias(b) for i, b in enumerate(band)))
-    still = stored(still.join(own_keys.hint("merge"), "rep"), "meeting")
-    shared = reduce(
-        lambda case, i: case.when(F.col(f"b{i}_a") == F.col(f"b{i}_b"), i), range(1, bands), F.when(F.col("b0_a") == F.col("b0_b"), 0)
-    )
-    apart = (F.col("group_a") != F.col("group_b")) & (shared == F.col("band_a"))
-    told = ("key", "band", "rep", "members", "n", "group", *band, *sketch)
-    left = stored(meeting(still, apart, "left_semi").select(*(F.col(f"{c}_a").alias(c) for c in told)), "left")
-    room = left.groupBy("key").agg(F.sum("n").alias("together")).select("key", "together")
+    # All pairs that those links leave unconnected. A pair meets in the first open bucket that it shares, not in each:
+    # a row has its open keys of earlier bands with it (a key is of one band only).
+    own_keys = still.groupBy("rep").agg(F.collect_set(F.struct("band", "key")).alias("open"))
+    earlier = F.transform(F.filter("open", lambda o: o["band"] < F.col("band")), lambda o: o["key"])
+    still = stored(still.join(own_keys.hint("merge"), "rep").withColumn("earlier", earlier).drop("open"), "meeting")
+    apart, once = F.col("group_a") != F.col("group_b"), ~F.arrays_overlap("earlier_a", "earlier_b")
+    told = ("key", "rep", "members", "n", "group", "earlier", *sketch)
+    left = stored(meeting(still, apart, "left_semi", last=once).select(*(F.col(f"{c}_a").alias(c) for c in told)), "left")
+    room = left.groupBy("key").agg(F.sum("n").alias("together"), F.count("*").alias("sets"))
     left = left.join(room, "key").join(sets.hint("merge"), "rep")
-    by_bytes = F.ceil(8 * F.col("together") / BLOCK_BYTES).cast("int")
-    linked = (F.col("rep_a") < F.col("rep_b")) & apart & _similar("shingles_a", "shingles_b", percent)
-    rest = meeting(left, linked, "inner", by_bytes).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
+    by_work = F.greatest(F.ceil(8 * F.col("together") / BLOCK_BYTES), F.ceil(F.col("sets") / BLOCK_SETS)).cast("int")
+    ahead, linked = (F.col("rep_a") < F.col("rep_b")) & apart, once & _similar("shingles_a", "shingles_b", percent)
+    rest = meeting(left, ahead, "inner", by_work, linked, even=True).select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
     joint = components(stored(rest, "more"))  # of whole groups, named like them by their smallest member
 
     renamed = joint.select(F.col("node").alias("component"), F.col("component").alias("joined"))
