@@ -2,6 +2,7 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -69,6 +70,19 @@ def half_lengths(texts):
     return [(len(t) + 1) // 2 for t in texts]
 
 
+def test_chunks_leave_the_worker_in_small_batches(spark):
+    texts = [f"{n} " + "word " * 600 for n in range(2_000)] + [None, ""]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["i", "t"])
+    names = ["i", "chunk_index", "start_index", "n_tokens", "chunk_text"]
+    got = list(docs._chunk_batches(iter([batch]), 250, 0, docs.by_words, names))
+    assert len(got) > 3 and all(b.nbytes < 2 * docs.CHUNKED for b in got)
+    assert sum(n for b in got for n in b["n_tokens"].to_pylist()) == 601 * 2_000
+    assert [r for b in got for r in b["i"].to_pylist()] == sorted(n for n in range(2_000) for _ in range(3))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs.chunk_tokens(spark.createDataFrame([(1, "a b")], "i int, t string"), "i", "t")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1_000
+
+
 def test_chunks_by_tokens_keep_paragraphs_and_blanks(spark):
     text = "One two  three.\n\nFour five\nsix seven eight nine ten\n\n" + "long " * 9 + "end"
     got = docs.chunk_tokens(spark.createDataFrame([(1, text), (2, None), (3, " \n ")], "i int, t string"), "i", "t", 6, 2)

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidemark.session import materialize, ship_package
+from tidemark.session import materialize, ship_package, small_batches
 
 # Words are runs of bytes other than the ASCII blanks; ``bytes.split()`` cuts at the same six.
 BLANKS = "\x20\x09-\x0d"
@@ -16,16 +16,11 @@ BLANKS = "\x20\x09-\x0d"
 # Rows of a side that may be broadcast: at most this many ids or small tuples, counted before the join.
 BROADCAST_ROWS = 1_000_000
 
-# Rows and bytes of an Arrow batch at most. A worker holds a batch of texts several times over (as Arrow, as strings, as
-# results), and the JVM its buffers beside the heap; with some megabytes the cost of a batch is still small.
-BATCH_ROWS, BATCH_BYTES = 1_000, "4m"
-
 
 def prepare(spark: SparkSession) -> None:
     """Send the package to the executors' Python workers, and keep Arrow batches small."""
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    small_batches(spark)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
