@@ -7,7 +7,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import text_features
+from tidemark.functions.text import strip_text, text_features
+from tidemark.functions import vectors
 from tidemark.functions.vectors import hashed_embedder
 from tidemark.operators import documents as docs
 from tidemark.operators.retrieval import render_prompt
@@ -83,6 +84,24 @@ def test_chunks_leave_the_worker_in_small_batches(spark):
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1_000
 
 
+def test_trimming_looks_at_the_ends_only(spark):
+    blanks = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+    texts = [c + "a" + c + "b" + c for c in blanks] + ["", blanks, "\u200b a \u200b", "x" * 70_000 + blanks]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip_text("t").alias("s"))
+    assert all(r.s == r.t.strip() for r in df.collect())
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "trim(" in plan
+
+
+def test_embedder_counts_in_blocks(monkeypatch):
+    texts = ["The cat\nthe  dog", "", None, "É " * 50, "cat"] * 7
+    whole = hashed_embedder(16)(texts)
+    monkeypatch.setattr(vectors, "TOKENS", 3)
+    monkeypatch.setattr(vectors._Hashes, "MOST", 2)
+    assert (hashed_embedder(16)(texts) == whole).all()
+    assert whole.sum(axis=1)[:5].tolist() == [4, 0, 0, 50, 1] and hashed_embedder()([]).shape == (0, 64)
+
+
 def test_chunks_by_tokens_keep_paragraphs_and_blanks(spark):
     text = "One two  three.\n\nFour five\nsix seven eight nine ten\n\n" + "long " * 9 + "end"
     got = docs.chunk_tokens(spark.createDataFrame([(1, text), (2, None), (3, " \n ")], "i int, t string"), "i", "t", 6, 2)

@@ -15,13 +15,13 @@ FENCED_BLOCK = r"(?s)```(?:python)?\n(.*?)```"
 NUMBER = r"\d+(?:\.\d+)?"
 
 
-# The look-behind lets a long run of blanks inside a text be tried once, not at each of its places.
-STRIP = f"^{WHITESPACE}++|(?<!{WHITESPACE}){WHITESPACE}++$"
+# The same characters one by one: trimming looks at the ends of a text only, where a pattern is tried at each place.
+BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)])) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip_text(text: Column | str) -> Column:
     """Trim Unicode whitespace on both ends."""
-    return F.regexp_replace(as_column(text), STRIP, "")
+    return F.trim(as_column(text), F.lit(BLANKS))
 
 
 def text_features(text: Column | str) -> list[Column]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Sequence
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, functions as F
@@ -31,9 +30,22 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return _sum(_product(x, y)) / (norms + F.lit(EPSILON))
 
 
-@lru_cache(maxsize=1 << 17)
-def _token_hash(token: str) -> int:
-    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16)
+class _Hashes(dict):
+    """Hash by token; what is known is found without a call of Python code, and forgotten once it is too much."""
+
+    MOST = 1 << 17
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        self[token] = found = int.from_bytes(hashlib.md5(token.encode()).digest()[:4])
+        return found
+
+
+_hashes = _Hashes()
+
+# Tokens that are counted at once: memory does not grow with the number of texts.
+TOKENS = 1 << 16
 
 
 def hashed_embedder(dim: int = 64) -> Embedder:
@@ -42,12 +54,23 @@ def hashed_embedder(dim: int = 64) -> Embedder:
     An offline stand-in for a remote embedding model: it fixes the data flow, not the quality.
     """
 
+    def counts(tokens: list[str], ends: list[int]) -> np.ndarray:
+        slots = np.fromiter(map(_hashes.__getitem__, tokens), np.int64, len(tokens)) % dim
+        lengths = np.diff(ends, prepend=0)
+        full = np.fromiter(map(bool, tokens), bool, len(tokens))
+        places = (np.repeat(np.arange(len(ends)) * dim, lengths) + slots)[full]
+        return np.bincount(places, minlength=len(ends) * dim).reshape(len(ends), dim)
+
     def embed(texts: Sequence[str]) -> np.ndarray:
-        places: list[int] = []
-        for row, text in enumerate(texts):
-            tokens = (text or "").lower().replace("\n", " ").split(" ")
-            places += [row * dim + _token_hash(t) % dim for t in tokens if t]
-        counts = np.bincount(places, minlength=len(texts) * dim) if places else np.zeros(len(texts) * dim)
-        return counts.reshape(len(texts), dim).astype(np.float32)
+        out = np.zeros((len(texts), dim), np.float32)
+        tokens: list[str] = []
+        ends: list[int] = []
+        for row, text in enumerate(texts, 1):
+            tokens += (text or "").lower().replace("\n", " ").split(" ")
+            ends.append(len(tokens))
+            if len(tokens) >= TOKENS or row == len(texts):
+                out[row - len(ends) : row] = counts(tokens, ends)
+                tokens, ends = [], []
+        return out
 
     return embed
