@@ -1,7 +1,7 @@
 """Restarts, replays, late data and batch/stream agreement."""
 
 import pytest
-from conftest import SMALL, rows
+from conftest import SMALL, plan_of, rows
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -104,6 +104,36 @@ def test_state_of_closed_windows_is_dropped(spark, kind):
     assert out.select("window_start").distinct().count() > 10 * 10  # closed windows stay in the sink
 
 
+def test_one_batch_of_updates_is_not_ranked(spark):
+    """Rows of one batch are the result; with a second batch the last image of each key is."""
+    landing, sink = workspace(spark, "words"), workspace(spark, "words-sink")
+
+    def counted(*texts):
+        made = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+        made.selectExpr("timestamp_seconds(1704067200 + i) AS ts", "text").coalesce(1).write.mode("append").parquet(landing)
+        df = windows.stream_word_count(stream_table(spark, landing), "ts", "text")
+        return run_stream(df, mode="update", path=sink, keys=["window_start", "word"], once_per_batch=True)
+
+    def expected():
+        return rows(windows.stream_word_count(spark.read.parquet(landing), "ts", "text", watermark=None))
+
+    once = counted("a b a", None, "b  c")
+    assert "Window" not in plan_of(once) and rows(once) == expected()
+    twice = counted("a", "", "d")
+    assert "Window" in plan_of(twice) and rows(twice) == expected()
+
+
+def test_keys_that_repeat_in_a_batch_are_still_ranked(spark):
+    """Without the promise, one batch may give a key several times; one row per key is returned."""
+    stream = stream_table(spark, many_files(spark, 1)).select("k", "v")
+    assert sorted(r.k for r in run_stream(stream, mode="update", keys=["k"]).collect()) == [0, 1, 2, 3]
+
+
+def test_no_updates_give_no_rows(spark):
+    stream = stream_table(spark, many_files(spark, 1)).where("v < 0").groupBy("k").count()
+    assert run_stream(stream, mode="update", keys=["k"], once_per_batch=True).collect() == []
+
+
 def test_one_retry_with_a_fresh_checkpoint(spark):
     tried = []
 

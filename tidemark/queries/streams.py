@@ -77,7 +77,7 @@ def stream_change_feed(t: Tables) -> DataFrame:
     """Changes per type and 10 seconds of commit time, streamed from the table itself version by version; the times
     are those of this run, so the counts are added up over the windows."""
     feed = stream_changes(maintenance._accounts(t))
-    per_window = run_stream(windows.stream_change_counts(feed), mode="update", keys=["window_start", "change_type"])
+    per_window = run_stream(windows.stream_change_counts(feed), mode="update", keys=["window_start", "change_type"], once_per_batch=True)
     return per_window.groupBy("change_type").agg(F.sum("n_changes").alias("n_changes"))
 
 
@@ -114,7 +114,7 @@ def stream_tumbling_avg_keyed(t: Tables) -> DataFrame:
     events = Streamed(t.spark, t.folder).events
     aggs = [F.round(F.avg("value"), 6).alias("avg_value")]
     means = windows.tumbling(events, "ts", "10 seconds", aggs, "10 minutes", ["user_id"])
-    return plain_times(run_stream(means, mode="update", keys=["window_start", "user_id"]))
+    return plain_times(run_stream(means, mode="update", keys=["window_start", "user_id"], once_per_batch=True))
 
 
 @query("stream_tumbling_sum", tumbling_sql("14 days", "sum(distance)::bigint AS total_distance", "7 days"))
@@ -177,7 +177,7 @@ def stream_sliding_max(t: Tables) -> DataFrame:
     events = Streamed(t.spark, t.folder).events
     top = [F.max("value").alias("max_value")]
     largest = windows.sliding(events, "ts", "20 seconds", "10 seconds", ["event_type"], top, "10 minutes")
-    return plain_times(run_stream(largest, mode="update", keys=["window_start", "event_type"]))
+    return plain_times(run_stream(largest, mode="update", keys=["window_start", "event_type"], once_per_batch=True))
 
 
 @query(
@@ -194,7 +194,7 @@ def stream_word_count(t: Tables) -> DataFrame:
         F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id") * 8 + F.col("turn")).alias("timestamp"), "text"
     )
     counts = windows.stream_word_count(lines, "timestamp", "text")
-    return plain_times(run_stream(counts, mode="update", keys=["window_start", "word"]))
+    return plain_times(run_stream(counts, mode="update", keys=["window_start", "word"], once_per_batch=True))
 
 
 @query("stream_running_count", 'SELECT event_id % 3 AS "group", count(*) AS n FROM events GROUP BY 1')
@@ -238,7 +238,7 @@ def stream_output_modes(t: Tables) -> DataFrame:
     for mode in ("append", "update", "complete"):
         events = Streamed(t.spark, t.folder).events
         counts = windows.tumbling(events, "ts", "1 day", [F.count("*").alias("n")], "1 hour")
-        stored = run_stream(counts, mode=mode, keys=["window_start"])
+        stored = run_stream(counts, mode=mode, keys=["window_start"], once_per_batch=True)
         row = stored.agg(F.count("*").alias("n_windows"), F.sum("n").alias("n_events"))
         row = row.select(F.lit(mode).alias("mode"), "n_windows", "n_events")
         out = row if out is None else out.unionByName(row)

@@ -29,14 +29,16 @@ def run_stream(
     trigger: dict | None = None,
     limit_seconds: float | None = None,
     progress: list[dict] | None = None,
+    once_per_batch: bool = False,
 ) -> DataFrame:
     """Drive ``df`` over all input at hand and return what the sink holds.
 
     ``append`` writes through the exactly-once Parquet sink (``sink="table"`` also registers the
     result as a catalog table). ``complete`` overwrites one folder per batch. ``update`` stores each
     batch's changed rows under its batch number and returns the last row per ``keys``; a replayed
-    batch overwrites its own folder. ``sink="memory"`` holds the result in the driver: only for
-    results known to be small.
+    batch overwrites its own folder. ``once_per_batch`` says that a batch gives each key once, as an aggregation
+    grouped by ``keys`` does: what a single batch has written is then returned without a ranking.
+    ``sink="memory"`` holds the result in the driver: only for results known to be small.
 
     The default trigger is ``availableNow``. A query with a clock trigger such as ``{"processingTime": "5 seconds"}``
     has no end of its own: it is stopped once it has committed all that its sources had to give. ``limit_seconds`` is
@@ -64,7 +66,17 @@ def run_stream(
         return stored(spark, path, df)
     finish(writer.foreachBatch(_keep_batch(path)).start())
     changed = stored(spark, path, df.withColumn(BATCH, F.lit(0).cast("long")))
-    return top_n_per_key(changed, keys, [F.col(BATCH).desc()]).drop(BATCH) if keys else changed
+    return last_per_key(changed, keys, once_per_batch) if keys else changed
+
+
+def last_per_key(changed: DataFrame, keys: Sequence[str], once_per_batch: bool = False) -> DataFrame:
+    """The row of the latest batch per key. Where a batch gives each key once, and all rows are of the same batch,
+    these are the rows themselves; to see that reads the batch numbers only, which are folder names."""
+    if once_per_batch:
+        first, last = changed.agg(F.min(BATCH), F.max(BATCH)).first()
+        if first == last:
+            return changed.drop(BATCH)
+    return top_n_per_key(changed, keys, [F.col(BATCH).desc()]).drop(BATCH)
 
 
 def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
